@@ -1,0 +1,8 @@
+"""Streaming.
+
+The jobs this library covers are all batch: the observation jobs read whole
+files once, and the classifiers train on static sets. There is no watermark,
+state or incremental operator to provide, so this package is intentionally
+empty; every operator in ``quarry.operators`` works unchanged on a static
+DataFrame read by ``spark.read``.
+"""
