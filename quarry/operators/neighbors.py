@@ -119,14 +119,18 @@ def _knn_block_fn(k: int, exclude: str | None):
     return fn
 
 
-def plan_blocks(n_query: int, n_train: int, block_rows: int, min_groups: int = 1) -> tuple[int, int]:
-    """Number of query and train blocks: each block at most ``block_rows``;
-    the query side is split further (up to ``min_groups``) so small inputs
-    still use several tasks."""
+def plan_blocks(n_query: int, n_train: int, block_rows: int, min_groups: int = 1,
+                min_query_rows: int = 64) -> tuple[int, int]:
+    """Number of query and train blocks: each block at most ``block_rows``.
+    When that gives fewer than ``min_groups`` groups the query side is split
+    further (so small inputs still use several tasks), but never below
+    ``min_query_rows`` queries per block: each extra query block costs one
+    more copy of the train side."""
     n_tb = max(1, math.ceil(n_train / block_rows))
     n_qb = max(1, math.ceil(n_query / block_rows))
     if n_qb * n_tb < min_groups:
-        n_qb = max(n_qb, min(max(1, n_query), math.ceil(min_groups / n_tb)))
+        cap = max(1, n_query // max(1, min_query_rows))
+        n_qb = max(n_qb, min(cap, math.ceil(min_groups / n_tb)))
     return n_qb, n_tb
 
 
