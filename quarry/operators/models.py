@@ -18,6 +18,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import checkpoint_dir
+
 
 def assemble_features(df: DataFrame, inputs: Sequence[str] | str, output: str = "features",
                       keep: Sequence[str] = ()) -> DataFrame:
@@ -54,18 +56,19 @@ def _predict(model, test: DataFrame, label: str, keep: Sequence[str]) -> DataFra
 
 
 def ovr_logistic(max_iter: int = 200, tol: float = 1e-6, fit_intercept: bool = True,
-                 features: str = "features", label: str = "label") -> Estimator:
-    """One-vs-rest logistic regression (defaults: maxIter 200, tol 1e-6)."""
+                 features: str = "features", label: str = "label", parallelism: int = 4) -> Estimator:
+    """One-vs-rest logistic regression (defaults: maxIter 200, tol 1e-6).
+    ``parallelism`` binary models are fitted concurrently."""
     lr = LogisticRegression(maxIter=max_iter, tol=tol, fitIntercept=fit_intercept,
                             featuresCol=features, labelCol=label)
-    return OneVsRest(classifier=lr, featuresCol=features, labelCol=label)
+    return OneVsRest(classifier=lr, featuresCol=features, labelCol=label, parallelism=parallelism)
 
 
 def ovr_linear_svm(max_iter: int = 100, reg_param: float = 0.01, features: str = "features",
-                   label: str = "label") -> Estimator:
+                   label: str = "label", parallelism: int = 4) -> Estimator:
     """One-vs-rest linear SVM (defaults: maxIter 100, regParam 0.01)."""
     svm = LinearSVC(maxIter=max_iter, regParam=reg_param, featuresCol=features, labelCol=label)
-    return OneVsRest(classifier=svm, featuresCol=features, labelCol=label)
+    return OneVsRest(classifier=svm, featuresCol=features, labelCol=label, parallelism=parallelism)
 
 
 def naive_bayes(smoothing: float = 1.0, features: str = "features", label: str = "label") -> Estimator:
@@ -99,8 +102,8 @@ def classify(estimator: Estimator, train: DataFrame, test: DataFrame, pca_k: int
 
 def row_position(df: DataFrame, order_col: str, n_buckets: int | None = None,
                  pos_col: str = "pos") -> DataFrame:
-    """0-based position of every row in the order of ``order_col`` (unique
-    values), without a single-partition sort.
+    """0-based position of every row in the order of ``order_col`` (rows with
+    equal values are ordered by a row hash), without a single-partition sort.
 
     Rows are range-partitioned into ``n_buckets`` buckets and sorted inside
     each; the bucket id and in-bucket index are materialised with a reliable
@@ -108,10 +111,12 @@ def row_position(df: DataFrame, order_col: str, n_buckets: int | None = None,
     table of ``n_buckets`` rows, broadcast by construction).
     """
     spark = df.sparkSession
-    from quarry.session import checkpoint_dir
     checkpoint_dir(spark)
     n_buckets = n_buckets or spark.sparkContext.defaultParallelism
-    local = (df.repartitionByRange(n_buckets, F.col(order_col)).sortWithinPartitions(order_col)
+    # Equal ordering keys are ordered by a hash of the whole row, so a hot key
+    # is split across range buckets instead of landing in one task.
+    order = [F.col(order_col), F.xxhash64(*[F.col(c) for c in df.columns])]
+    local = (df.repartitionByRange(n_buckets, *order).sortWithinPartitions(*order)
              .withColumn("_bucket", F.spark_partition_id())
              .withColumn("_local", F.monotonically_increasing_id()
                          - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
