@@ -168,6 +168,19 @@ def q_csv_roundtrip(spark, sf_dir):
     return back.select(F.col("label").alias("p_partkey"), arr[0].alias("f0"), arr[1].alias("f1"))
 
 
+@register("multiline_observations", sql.MULTILINE_OBSERVATIONS)
+def q_multiline_observations(spark, sf_dir):
+    """Observation CSV whose quoted field holds whole document texts (commas,
+    quotes, line breaks), read back with the multi-line CSV reader."""
+    path = scratch_path(spark, "multiline-csv")
+    docs = fx.table(spark, sf_dir, "documents")
+    _observation_csv(docs, {"item_id": F.col("doc_id"), "obs_date": F.lit("01.01.01"), 2: F.col("text"),
+                            "category": F.col("lang"), "views": F.col("n_chars"), "market": F.col("source")},
+                     path)
+    obs = textio.read_observations(spark, path, multiline=True)
+    return obs.select("item_id", "category", "views", "market")
+
+
 # --------------------------------------------------------------- projections
 
 @register("project_cast", sql.PROJECT_CAST)
@@ -248,6 +261,15 @@ def q_knn_pca_full(spark, sf_dir):
     return nn.knn_classify(qp, tp, fx.K_NEIGHBOURS)
 
 
+@register("predictions_roundtrip", sql.KNN_PREDICT)
+def q_predictions_roundtrip(spark, sf_dir):
+    """KNN predictions written as CSV with a header and read back."""
+    path = scratch_path(spark, "predictions-csv")
+    csvio.write_predictions(_knn_predictions(spark, sf_dir), path, order=["qid"])
+    return spark.read.option("header", True).schema(
+        "qid bigint, actual int, predicted int, votes bigint").csv(path)
+
+
 # ------------------------------------------------------------ MLlib classifiers
 
 def _separable_split(spark, sf_dir):

@@ -110,6 +110,10 @@ SELECT event_id, views_text,
 FROM t
 """
 
+MULTILINE_OBSERVATIONS = """
+SELECT CAST(doc_id AS VARCHAR) AS item_id, lang AS category, n_chars AS views, source AS market FROM documents
+"""
+
 CSV_ROUNDTRIP = """
 SELECT p_partkey, CAST(p_size AS DOUBLE) AS f0, p_retailprice AS f1 FROM part
 """
