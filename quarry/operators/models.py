@@ -100,6 +100,23 @@ def classify(estimator: Estimator, train: DataFrame, test: DataFrame, pca_k: int
     return train_and_predict(estimator, train, test, label, keep)
 
 
+def pca_knn_classify(train: DataFrame, test: DataFrame, dim: int = 10, k: int = 5, *, tid: str = "tid",
+                     tlabel: str = "tlabel", tvec: str = "tvec", qid: str = "qid", qlabel: str = "qlabel",
+                     qvec: str = "qvec", block_rows: int = 2048) -> DataFrame:
+    """The full KNN classifier: PCA to ``dim`` fitted on the train side, both
+    sides projected, then exact KNN with ``k`` neighbours and a majority vote.
+    Inputs hold ``array`` vectors; output ``qid, actual, predicted, votes``."""
+    from quarry.operators.neighbors import knn_classify
+    tv = assemble_features(train, tvec, "_features", keep=[tid, tlabel])
+    qv = assemble_features(test, qvec, "_features", keep=[qid, qlabel])
+    model = fit_pca(tv, dim, "_features", "_pca")
+    tp = model.transform(tv).select(F.col(tid).alias("tid"), F.col(tlabel).alias("tlabel"),
+                                    vector_as_array("_pca").alias("tvec"))
+    qp = model.transform(qv).select(F.col(qid).alias("qid"), F.col(qlabel).alias("qlabel"),
+                                    vector_as_array("_pca").alias("qvec"))
+    return knn_classify(qp, tp, k, block_rows=block_rows)
+
+
 def row_position(df: DataFrame, order_col: str, n_buckets: int | None = None,
                  pos_col: str = "pos") -> DataFrame:
     """0-based position of every row in the order of ``order_col`` (rows with

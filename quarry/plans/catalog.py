@@ -253,12 +253,14 @@ def q_knn_pca_full(spark, sf_dir):
     """PCA at full dimension (fit on the train side) leaves the neighbours
     unchanged."""
     q, t = fx.knn_sides(spark, sf_dir)
-    tv = ml.assemble_features(t, "tvec", "features", keep=["tid", "tlabel"])
-    qv = ml.assemble_features(q, "qvec", "features", keep=["qid", "qlabel"])
-    model = ml.fit_pca(tv, 64, "features", "pca")
-    tp = model.transform(tv).select("tid", "tlabel", ml.vector_as_array("pca").alias("tvec"))
-    qp = model.transform(qv).select("qid", "qlabel", ml.vector_as_array("pca").alias("qvec"))
-    return nn.knn_classify(qp, tp, fx.K_NEIGHBOURS)
+    return ml.pca_knn_classify(t, q, dim=64, k=fx.K_NEIGHBOURS)
+
+
+@register("knn_pca_classify")
+def q_knn_pca_classify(spark, sf_dir):
+    """The default classifier: PCA to 10 dimensions, then 5 neighbours."""
+    q, t = fx.knn_sides(spark, sf_dir)
+    return ml.pca_knn_classify(t, q, dim=10, k=fx.K_NEIGHBOURS)
 
 
 @register("predictions_roundtrip", sql.KNN_PREDICT)

@@ -77,3 +77,21 @@ def test_fold_knn_uses_other_folds_only(spark):
     nb = nn.knn_candidates(q, t, 5, exclude="fold")
     fold_of = {r.vec_id: r.fold for r in folded.select("vec_id", "fold").collect()}
     assert all(fold_of[r.qid] != fold_of[r.tid] for r in nb.collect())
+
+
+def test_pca_knn_matches_brute_force_on_projection(spark):
+    import numpy as np
+
+    from test_neighbors import brute_force
+    q, t = fx.knn_sides(spark, SF001)
+    tv = ml.assemble_features(t, "tvec", "f", keep=["tid", "tlabel"])
+    model = ml.fit_pca(tv, 10, "f", "p")
+    pc = model.pc.toArray()
+    trows = sorted(t.collect(), key=lambda r: r.tid)
+    qrows = sorted(q.collect(), key=lambda r: r.qid)
+    tp = np.array([np.array(r.tvec, dtype=np.float32).astype(np.float64) @ pc for r in trows])
+    qp = np.array([np.array(r.qvec, dtype=np.float32).astype(np.float64) @ pc for r in qrows])
+    want = brute_force(qp, [r.qid for r in qrows], tp, [r.tid for r in trows], [r.tlabel for r in trows], 5)
+    got = {r.qid: r.predicted for r in catalog.q_knn_pca_classify(spark, SF001).collect()}
+    agree = sum(got[k] == v for k, v in want.items())
+    assert len(got) == 100 and agree >= 98  # projection rounding may flip a near tie

@@ -1,6 +1,5 @@
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from quarry.functions.scalars import squared_distance
 from quarry.operators import neighbors as nn
@@ -39,8 +38,10 @@ def _random_sides(spark, n_q=37, n_t=151, dim=6, seed=3, n_labels=4):
 
 
 def test_block_distances_match_native_expression(spark):
-    q, t, _, qdf, tdf = _random_sides(spark, 5, 7)
-    native = {(r.qid, r.tid): r.d for r in qdf.join(tdf, F.lit(True)).select(
+    q, t, _, _, _ = _random_sides(spark, 5, 7)
+    pairs = spark.createDataFrame([(i, 1000 + j, q[i].tolist(), t[j].tolist()) for i in range(5) for j in range(7)],
+                                  "qid long, tid long, qvec array<double>, tvec array<double>")
+    native = {(r.qid, r.tid): r.d for r in pairs.select(
         "qid", "tid", squared_distance("qvec", "tvec").alias("d")).collect()}
     mat = nn.block_distances(q, t)
     for i in range(5):
