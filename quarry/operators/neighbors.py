@@ -8,10 +8,12 @@ Plan (no cross join, no pair rows):
    per query block, and the two sides are co-grouped on
    ``(q_block, t_block)``: each group holds one bounded query block and one
    bounded train block.
-3. Inside a group a NumPy function computes the block's distance matrix by
-   direct differences (summed left to right, the same order as the native
-   ``squared_distance`` expression) and returns only the ``k`` nearest train
-   rows of each query, ranked by (distance, train id).
+3. Inside a group a NumPy function ranks the block with one matrix product,
+   keeps every train row within a rounding margin of each query's k-th
+   value, recomputes those few exactly by direct differences (summed left to
+   right, the same order as the native ``squared_distance`` expression) and
+   returns only the ``k`` nearest train rows of each query, ranked by
+   (distance, train id).
 4. With more than one train block the per-block candidates (``k`` per query
    and train block) are merged by ``row_number() <= k`` per query, which Spark
    trims map-side (``WindowGroupLimit``) before the shuffle.
@@ -69,26 +71,45 @@ def block_distances(q: np.ndarray, t: np.ndarray) -> np.ndarray:
     return acc
 
 
-def block_top_k(dist: np.ndarray, tids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per query row: column indices of the ``k`` smallest distances ordered
-    by (distance, train id), and a validity mask (rows may have fewer)."""
-    n_q, n_t = dist.shape
+def block_top_k(q: np.ndarray, t: np.ndarray, tids: np.ndarray, k: int,
+                blocked: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Exact ``k`` nearest train rows of every query row of one block pair.
+
+    Candidates are found with one matrix product (``|q|^2 + |t|^2 - 2 q.t``);
+    every train row whose approximate distance is within a rounding margin of
+    the k-th smallest is kept, so no true neighbour can be missed. Only the
+    candidates get exact distances (direct differences summed left to right,
+    bit-equal to ``block_distances``) and are ordered by (distance, train id).
+
+    Returns row index, column index, exact distance and rank (1-based) of the
+    selected pairs, grouped by row. Pairs flagged in ``blocked`` are skipped.
+    """
+    n_q, n_t = q.shape[0], t.shape[0]
     kk = min(k, n_t)
-    if kk == 0:
-        return np.zeros((n_q, 0), dtype=np.int64), np.zeros((n_q, 0), dtype=bool)
-    if kk < n_t:
-        part = np.argpartition(dist, kk - 1, axis=1)[:, :kk]
-    else:
-        part = np.tile(np.arange(n_t), (n_q, 1))
-    kth = np.take_along_axis(dist, part, axis=1).max(axis=1)
-    out = np.empty((n_q, kk), dtype=np.int64)
-    ties = (dist <= kth[:, None]).sum(axis=1) > kk
-    for i in range(n_q):
-        cand = np.flatnonzero(dist[i] <= kth[i]) if ties[i] else part[i]
-        order = np.lexsort((tids[cand], dist[i, cand]))[:kk]
-        out[i] = cand[order]
-    valid = np.isfinite(np.take_along_axis(dist, out, axis=1))
-    return out, valid
+    if n_q == 0 or kk == 0:
+        e = np.zeros(0, dtype=np.int64)
+        return e, e, np.zeros(0), e
+    qn = np.einsum("ij,ij->i", q, q)
+    tn = np.einsum("ij,ij->i", t, t)
+    approx = qn[:, None] + tn[None, :] - 2.0 * (q @ t.T)
+    if blocked is not None:
+        approx[blocked] = np.inf
+    part = np.argpartition(approx, kk - 1, axis=1)[:, :kk]
+    kth = np.take_along_axis(approx, part, axis=1).max(axis=1)
+    # Rounding of the product form is below dim * eps * (|q|^2 + |t|^2); the
+    # margin is many orders above that.
+    margin = max(1e-9, 64.0 * q.shape[1] * np.finfo(np.float64).eps) * (qn + tn.max()) + 1e-300
+    rows, cols = np.nonzero((approx <= (kth + margin)[:, None]) & np.isfinite(approx))
+    qr, tc = q[rows], t[cols]
+    dist = np.zeros(len(rows))
+    for j in range(q.shape[1]):
+        d = qr[:, j] - tc[:, j]
+        dist += d * d
+    order = np.lexsort((tids[cols], dist, rows))
+    rows, cols, dist = rows[order], cols[order], dist[order]
+    rank = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") + 1
+    keep = rank <= kk
+    return rows[keep], cols[keep], dist[keep], rank[keep]
 
 
 def _knn_block_fn(k: int, exclude: str | None):
@@ -97,24 +118,18 @@ def _knn_block_fn(k: int, exclude: str | None):
             return _EMPTY.copy()
         q = _stack(qdf["_qv"])
         t = _stack(tdf["_tv"])
-        dist = block_distances(q, t)
+        blocked = None
         if exclude is not None:
-            same = qdf["_qx"].to_numpy()[:, None] == tdf["_tx"].to_numpy()[None, :]
-            dist[same] = np.inf
+            blocked = qdf["_qx"].to_numpy()[:, None] == tdf["_tx"].to_numpy()[None, :]
         tids = tdf["_tid"].to_numpy(dtype=np.int64)
-        idx, valid = block_top_k(dist, tids, k)
-        n_q, kk = idx.shape
-        rows = np.repeat(np.arange(n_q), kk)
-        cols = idx.reshape(-1)
-        keep = valid.reshape(-1)
-        rank = np.tile(np.arange(1, kk + 1, dtype=np.int32), n_q)
+        rows, cols, dist, rank = block_top_k(q, t, tids, k, blocked)
         return pd.DataFrame({
-            "qid": qdf["_qid"].to_numpy(dtype=np.int64)[rows][keep],
-            "qlabel": qdf["_qlabel"].to_numpy()[rows][keep],
-            "tid": tids[cols][keep],
-            "tlabel": tdf["_tlabel"].to_numpy()[cols][keep],
-            "dist": dist[rows, cols][keep],
-            "rank": rank[keep],
+            "qid": qdf["_qid"].to_numpy(dtype=np.int64)[rows],
+            "qlabel": qdf["_qlabel"].to_numpy()[rows],
+            "tid": tids[cols],
+            "tlabel": tdf["_tlabel"].to_numpy()[cols],
+            "dist": dist,
+            "rank": rank.astype(np.int32),
         })
     return fn
 

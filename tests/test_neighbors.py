@@ -103,3 +103,37 @@ def test_driver_table_knn_blocking_invariant(spark):
     a = sorted(map(tuple, nn.knn_classify(q, t, 5).collect()))
     b = sorted(map(tuple, nn.knn_classify(q, t, 5, block_rows=37).collect()))
     assert a == b and len(a) == 100
+
+
+def _direct_top_k(q, t, tids, k, blocked=None):
+    d = nn.block_distances(q, t)
+    if blocked is not None:
+        d[blocked] = np.inf
+    out = []
+    for i in range(len(q)):
+        order = sorted((x for x in range(len(t)) if np.isfinite(d[i, x])), key=lambda x: (d[i, x], tids[x]))[:k]
+        out += [(i, x, d[i, x], r + 1) for r, x in enumerate(order)]
+    return out
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e4])
+def test_block_top_k_is_exact(offset):
+    rng = np.random.default_rng(7)
+    q = rng.normal(size=(40, 16)) + offset
+    t = rng.normal(size=(300, 16)) + offset
+    t[50] = t[10]                      # exact duplicate: tie broken by id
+    q[3] = t[20]                       # zero distance
+    tids = rng.permutation(300).astype(np.int64) + 5
+    blocked = rng.random((40, 300)) < 0.1
+    for b in (None, blocked):
+        rows, cols, dist, rank = nn.block_top_k(q, t, tids, 7, b)
+        got = list(zip(rows.tolist(), cols.tolist(), dist.tolist(), rank.tolist()))
+        assert got == _direct_top_k(q, t, tids, 7, b)
+
+
+def test_block_top_k_all_blocked_row():
+    q = np.zeros((2, 3))
+    t = np.ones((4, 3))
+    blocked = np.array([[True] * 4, [False, True, False, True]])
+    rows, cols, dist, rank = nn.block_top_k(q, t, np.arange(4), 3, blocked)
+    assert rows.tolist() == [1, 1] and cols.tolist() == [0, 2] and rank.tolist() == [1, 2]
