@@ -6,7 +6,6 @@ Every function takes and returns ``Column`` objects, so it composes into any
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -108,5 +107,3 @@ def to_int(x: Column | str) -> Column:
     return _c(x).cast("int")
 
 
-def sum_columns(cols: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, cols)
