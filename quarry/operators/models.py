@@ -18,7 +18,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import checkpoint_dir
+from quarry.session import checkpoint_dir, default_parallelism
 
 
 def assemble_features(df: DataFrame, inputs: Sequence[str] | str, output: str = "features",
@@ -129,7 +129,7 @@ def row_position(df: DataFrame, order_col: str, n_buckets: int | None = None,
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n_buckets = n_buckets or spark.sparkContext.defaultParallelism
+    n_buckets = n_buckets or default_parallelism(spark)
     # Equal ordering keys are ordered by a hash of the whole row, so a hot key
     # is split across range buckets instead of landing in one task.
     order = [F.col(order_col), F.xxhash64(*[F.col(c) for c in df.columns])]

@@ -38,6 +38,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.session import default_parallelism
+
 
 CANDIDATE_SCHEMA = T.StructType([
     T.StructField("qid", T.LongType(), False),
@@ -169,7 +171,7 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
         n_query = queries.count()
     if n_train is None:
         n_train = train.count()
-    n_qb, n_tb = plan_blocks(n_query, n_train, block_rows, spark.sparkContext.defaultParallelism)
+    n_qb, n_tb = plan_blocks(n_query, n_train, block_rows, default_parallelism(spark))
 
     q = queries.select(
         F.col(qid).cast("bigint").alias("_qid"),

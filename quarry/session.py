@@ -40,15 +40,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Read from the SparkContext, then from ``spark.checkpoint.dir``; only when
     neither is set (tests on one machine) is a fresh local folder made.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext on a Spark Connect client
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+    else:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """Task slots of the session (falls back to the shuffle partition count
+    when there is no SparkContext)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
