@@ -84,3 +84,17 @@ def test_cross_validation_job(spark):
     assert len(pred) == 400 and len({r.qid for r in pred}) == 400
     assert res["mean_accuracy"].first().n_folds == 4
     assert res["merged_confusion"].agg(F.sum("n")).first()[0] == 400
+
+
+def test_command_line_overlap_and_growth(spark):
+    from quarry.__main__ import main
+    src = scratch_path(spark, "cli-in")
+    obs = fx.overlap_observations(spark, SF0001)
+    catalog._observation_csv(obs, {"item_id": F.col("item_id"), "category": F.col("category"),
+                                   "market": F.col("market")}, src)
+    out = scratch_path(spark, "cli-out")
+    assert main(["overlap", src, out, fx.MARKET_1, fx.MARKET_2]) == 0
+    assert textio.read_keyed_text(spark, out).count() == 5
+    out2 = scratch_path(spark, "cli-out")
+    assert main(["growth", src, out2, "--threshold", "0"]) == 0
+    assert spark.read.text(out2).count() >= 0
