@@ -293,7 +293,7 @@ def q_ovr_linear_svm(spark, sf_dir):
     return ml.classify(ml.ovr_linear_svm(max_iter=50), train, test, pca_k=32, keep=["vec_id"])
 
 
-@register("naive_bayes")
+@register("naive_bayes", sql.NAIVE_BAYES)
 def q_naive_bayes(spark, sf_dir):
     train, test = _separable_split(spark, sf_dir)
     return ml.classify(ml.naive_bayes(), train, test, keep=["vec_id"])

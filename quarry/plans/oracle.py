@@ -253,3 +253,30 @@ acc AS (SELECT fold, avg(CASE WHEN actual = predicted THEN 1.0::DOUBLE ELSE 0.0:
         FROM pred GROUP BY fold)
 SELECT CAST(count(*) AS BIGINT) AS n_folds, round(avg(a), 9) AS mean_accuracy FROM acc
 """
+
+# Multinomial naive Bayes in closed form (smoothing 1): log prior
+# log(n_c + 1) - log(n + L), log likelihood log(tf_ci + 1) - log(tf_c + d),
+# prediction = argmax over classes of prior + sum_i x_i * likelihood_ci.
+NAIVE_BAYES = """
+WITH e AS (
+  SELECT vec_id, label,
+         list_transform(embedding, lambda x, i: CAST(x AS DOUBLE) + 1.0
+                        + CASE WHEN i - 1 = label THEN 1.0 ELSE 0.0 END) AS f
+  FROM embeddings),
+train AS (SELECT * FROM e WHERE vec_id % 5 <> 0),
+test AS (SELECT * FROM e WHERE vec_id % 5 = 0),
+cells AS (SELECT label, unnest(f) AS v, unnest(generate_series(1, len(f))) AS i FROM train),
+tf AS (SELECT label, i, sum(v) AS s FROM cells GROUP BY label, i),
+tot AS (SELECT label, sum(s) AS total, count(*) AS d FROM tf GROUP BY label),
+theta AS (SELECT tf.label, tf.i, ln(tf.s + 1.0) - ln(tot.total + tot.d * 1.0) AS lt
+          FROM tf JOIN tot ON tf.label = tot.label),
+nc AS (SELECT label, count(*) AS n FROM train GROUP BY label),
+prior AS (SELECT label, ln(n + 1.0) - ln((SELECT count(*) FROM train) + (SELECT count(*) FROM nc) * 1.0) AS lp
+          FROM nc),
+tcells AS (SELECT vec_id, label AS actual, unnest(f) AS v, unnest(generate_series(1, len(f))) AS i FROM test),
+score AS (SELECT t.vec_id, t.actual, th.label, sum(t.v * th.lt) AS s
+          FROM tcells t JOIN theta th ON t.i = th.i GROUP BY t.vec_id, t.actual, th.label),
+final AS (SELECT s.vec_id, s.actual, s.label, s.s + p.lp AS score FROM score s JOIN prior p ON s.label = p.label)
+SELECT vec_id, actual, label AS predicted FROM final
+QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY score DESC) = 1
+"""
