@@ -24,13 +24,19 @@ def prediction_count(pred: DataFrame) -> DataFrame:
     return pred.agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-def accuracy(pred: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
-    """``n, errors, accuracy = (n - errors) / n`` with ``n`` counted."""
+def accuracy(pred: DataFrame, actual: str = "actual", predicted: str = "predicted",
+             total: int | None = None) -> DataFrame:
+    """``n, errors, accuracy = (n - errors) / n`` with ``n`` counted.
+
+    ``total`` replaces the counted ``n`` in the ratio by a fixed row count,
+    as the original reports did (their accuracy is wrong whenever the count
+    differs)."""
     hit = F.col(actual).eqNullSafe(F.col(predicted))
+    denom = F.lit(float(total)) if total is not None else F.col("n").cast("double")
+    num = (F.lit(total) if total is not None else F.col("n")) - F.col("errors")
     return pred.agg(F.count(F.lit(1)).cast("bigint").alias("n"),
                     F.count_if(~hit).cast("bigint").alias("errors")).select(
-        "n", "errors",
-        F.try_divide((F.col("n") - F.col("errors")).cast("double"), F.col("n").cast("double")).alias("accuracy"))
+        "n", "errors", F.try_divide(num.cast("double"), denom).alias("accuracy"))
 
 
 def _class_grid(spark: SparkSession, n_classes: int) -> DataFrame:

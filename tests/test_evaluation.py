@@ -27,6 +27,8 @@ def test_error_count_and_accuracy(spark):
     acc = ev.accuracy(pred).first()
     assert (acc.n, acc.errors, acc.accuracy) == (100, 2, 0.98)
     assert ev.prediction_count(pred).first().n == 100
+    fixed = ev.accuracy(pred, total=10000).first()
+    assert fixed.accuracy == (10000 - 2) / 10000
 
 
 def test_confusion_matrix_reproduces_golden(spark):
