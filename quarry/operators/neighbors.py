@@ -136,6 +136,13 @@ def _knn_block_fn(k: int, exclude: str | None):
     return fn
 
 
+def _count_sides(queries: DataFrame, train: DataFrame) -> tuple[int, int]:
+    """Row counts of both sides in one job (two scalars reach the driver)."""
+    tagged = queries.select(F.lit(0).alias("_side")).unionByName(train.select(F.lit(1).alias("_side")))
+    counts = {r["_side"]: r["n"] for r in tagged.groupBy("_side").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return counts.get(0, 0), counts.get(1, 0)
+
+
 def plan_blocks(n_query: int, n_train: int, block_rows: int, min_groups: int = 1,
                 min_query_rows: int = 64) -> tuple[int, int]:
     """Number of query and train blocks: each block at most ``block_rows``.
@@ -167,10 +174,10 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
     if k < 1:
         raise ValueError("k must be at least 1")
     spark = queries.sparkSession
-    if n_query is None:
-        n_query = queries.count()
-    if n_train is None:
-        n_train = train.count()
+    if n_query is None or n_train is None:
+        counted = _count_sides(queries, train)
+        n_query = counted[0] if n_query is None else n_query
+        n_train = counted[1] if n_train is None else n_train
     n_qb, n_tb = plan_blocks(n_query, n_train, block_rows, default_parallelism(spark))
 
     q = queries.select(
