@@ -103,7 +103,7 @@ def classify(estimator: Estimator, train: DataFrame, test: DataFrame, pca_k: int
 
 def pca_knn_classify(train: DataFrame, test: DataFrame, dim: int = 10, k: int = 5, *, tid: str = "tid",
                      tlabel: str = "tlabel", tvec: str = "tvec", qid: str = "qid", qlabel: str = "qlabel",
-                     qvec: str = "qvec", block_rows: int = 2048) -> DataFrame:
+                     qvec: str = "qvec", block_rows: int | None = None) -> DataFrame:
     """The full KNN classifier: PCA to ``dim`` fitted on the train side, both
     sides projected, then exact KNN with ``k`` neighbours and a majority vote.
     Inputs hold ``array`` vectors; output ``qid, actual, predicted, votes``."""

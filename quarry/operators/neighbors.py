@@ -136,11 +136,22 @@ def _knn_block_fn(k: int, exclude: str | None):
     return fn
 
 
-def _count_sides(queries: DataFrame, train: DataFrame) -> tuple[int, int]:
-    """Row counts of both sides in one job (two scalars reach the driver)."""
-    tagged = queries.select(F.lit(0).alias("_side")).unionByName(train.select(F.lit(1).alias("_side")))
-    counts = {r["_side"]: r["n"] for r in tagged.groupBy("_side").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return counts.get(0, 0), counts.get(1, 0)
+def _count_sides(queries: DataFrame, train: DataFrame, qvec: str, tvec: str) -> tuple[int, int, int]:
+    """Row counts of both sides and the widest vector, in one job (a few
+    scalars reach the driver)."""
+    tagged = (queries.select(F.lit(0).alias("_side"), F.size(qvec).alias("_dim"))
+              .unionByName(train.select(F.lit(1).alias("_side"), F.size(tvec).alias("_dim"))))
+    rows = tagged.groupBy("_side").agg(F.count(F.lit(1)).alias("n"), F.max("_dim").alias("dim")).collect()
+    counts = {r["_side"]: r["n"] for r in rows}
+    dim = max([r["dim"] or 0 for r in rows] + [1])
+    return counts.get(0, 0), counts.get(1, 0), dim
+
+
+def block_rows_for(dim: int, side_bytes: int = 64 << 20, max_rows: int = 2048, min_rows: int = 64) -> int:
+    """Rows per block so one side of a block stays near ``side_bytes`` as
+    doubles; at most ``max_rows`` (the block distance matrix is
+    ``max_rows ** 2`` doubles, 32 MB at 2048)."""
+    return int(max(min_rows, min(max_rows, side_bytes // (8 * max(1, dim)))))
 
 
 def plan_blocks(n_query: int, n_train: int, block_rows: int, min_groups: int = 1,
@@ -160,24 +171,27 @@ def plan_blocks(n_query: int, n_train: int, block_rows: int, min_groups: int = 1
 
 def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "qid",
                    qvec: str = "qvec", qlabel: str | None = "qlabel", tid: str = "tid",
-                   tvec: str = "tvec", tlabel: str = "tlabel", block_rows: int = 2048,
+                   tvec: str = "tvec", tlabel: str = "tlabel", block_rows: int | None = None,
                    exclude: str | None = None, n_query: int | None = None,
                    n_train: int | None = None) -> DataFrame:
     """The ``k`` nearest train rows of every query row, with ranks.
 
     ``exclude`` names a column present on both sides: pairs with equal values
     are never neighbours (e.g. a fold id, for held-out-fold prediction).
-    Row counts are taken from the data unless given.
+    Row counts are taken from the data unless given; ``block_rows`` defaults
+    to ``block_rows_for(dim)`` (2048 rows up to 4096 dimensions, fewer for
+    wider vectors).
 
     Output: ``qid, qlabel, tid, tlabel, dist, rank`` (rank 1 = nearest).
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     spark = queries.sparkSession
-    if n_query is None or n_train is None:
-        counted = _count_sides(queries, train)
+    if n_query is None or n_train is None or block_rows is None:
+        counted = _count_sides(queries, train, qvec, tvec)
         n_query = counted[0] if n_query is None else n_query
         n_train = counted[1] if n_train is None else n_train
+        block_rows = block_rows_for(counted[2]) if block_rows is None else block_rows
     n_qb, n_tb = plan_blocks(n_query, n_train, block_rows, default_parallelism(spark))
 
     q = queries.select(

@@ -216,12 +216,12 @@ def q_pca_project(spark, sf_dir):
 
 # ----------------------------------------------------------------------- KNN
 
-def _knn_neighbours(spark, sf_dir, block_rows=2048):
+def _knn_neighbours(spark, sf_dir, block_rows=None):
     q, t = fx.knn_sides(spark, sf_dir)
     return nn.knn_candidates(q, t, fx.K_NEIGHBOURS, block_rows=block_rows)
 
 
-def _knn_predictions(spark, sf_dir, block_rows=2048):
+def _knn_predictions(spark, sf_dir, block_rows=None):
     return nn.majority_vote(_knn_neighbours(spark, sf_dir, block_rows))
 
 

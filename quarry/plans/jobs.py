@@ -73,7 +73,7 @@ def _evaluate(spark: SparkSession, pred_path: str, output: str, n_classes: int,
 
 def knn_job(spark: SparkSession, test_path: str, train_path: str, output: str, dim: int = 10, k: int = 5,
             n_features: int | None = None, label_first: bool = True, n_classes: int = 10,
-            compat: bool = False, block_rows: int = 2048) -> dict:
+            compat: bool = False, block_rows: int | None = None) -> dict:
     """PCA (fit on train) + exact KNN + vote; writes predictions and the
     confusion matrix, returns the evaluation frames."""
     test = _read_samples(spark, test_path, n_features, label_first, "qid")

@@ -137,3 +137,10 @@ def test_block_top_k_all_blocked_row():
     blocked = np.array([[True] * 4, [False, True, False, True]])
     rows, cols, dist, rank = nn.block_top_k(q, t, np.arange(4), 3, blocked)
     assert rows.tolist() == [1, 1] and cols.tolist() == [0, 2] and rank.tolist() == [1, 2]
+
+
+def test_block_rows_adapt_to_dimension():
+    assert nn.block_rows_for(64) == 2048
+    assert nn.block_rows_for(4096) == 2048
+    assert nn.block_rows_for(16384) == 512
+    assert nn.block_rows_for(10 ** 7) == 64
