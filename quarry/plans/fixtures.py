@@ -26,6 +26,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def overlap_observations_from(li: DataFrame, o: DataFrame, c: DataFrame) -> DataFrame:
+    """Observations from given lineitem / orders / customer frames (e.g. the
+    bucketed tables of ``quarry.sources.tables``, whose order-key join needs
+    no exchange)."""
+    oc = o.join(c, o["o_custkey"] == c["c_custkey"])
+    # Without column statistics Catalyst sizes the filtered orders-customers
+    # side as larger than the two-column lineitem projection and would
+    # broadcast the fact table; the hint keeps the fact side streamed
+    # (sort-merge on the order key) at every scale.
+    return li.hint("merge").join(oc, li["l_orderkey"] == oc["o_orderkey"]).select(
+        F.col("o_orderpriority").alias("category"), F.col("l_partkey").alias("item_id"),
+        F.col("c_mktsegment").alias("market"))
+
+
 def overlap_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One observation per lineitem: category = order priority, item = part,
     market = customer segment.
@@ -38,14 +52,7 @@ def overlap_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    oc = o.join(c, o["o_custkey"] == c["c_custkey"])
-    # Without column statistics Catalyst sizes the filtered orders-customers
-    # side as larger than the two-column lineitem projection and would
-    # broadcast the fact table; the hint keeps the fact side streamed
-    # (sort-merge on the order key) at every scale.
-    return li.hint("merge").join(oc, li["l_orderkey"] == oc["o_orderkey"]).select(
-        F.col("o_orderpriority").alias("category"), F.col("l_partkey").alias("item_id"),
-        F.col("c_mktsegment").alias("market"))
+    return overlap_observations_from(li, o, c)
 
 
 def growth_observations(spark: SparkSession, sf_dir: str) -> DataFrame:

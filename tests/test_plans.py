@@ -60,3 +60,18 @@ def test_evaluation_has_no_join(spark):
         plan = _plan(q(spark, SF001))
         _no_pair_joins(plan)
         assert "Join" not in plan.split("\n\n")[0]
+
+
+def test_bucketed_fact_tables_join_without_exchange(spark):
+    from quarry.operators import trending as tr
+    from quarry.plans import fixtures as fx
+    from quarry.sources.tables import overlap_inputs_bucketed
+    li, o = overlap_inputs_bucketed(spark, SF001, 8, prefix="t_bucket")
+    c = fx.table(spark, SF001, "customer").select("c_custkey", "c_mktsegment")
+    result = tr.category_overlap(fx.overlap_observations_from(li, o, c), fx.MARKET_1, fx.MARKET_2)
+    plan = _plan(result)
+    assert "SortMergeJoin" in plan
+    # both sides of the order-key join are read in bucket order: no exchange on the key
+    assert "hashpartitioning(l_orderkey" not in plan and "hashpartitioning(o_orderkey" not in plan
+    want = sorted(map(tuple, catalog.q_category_overlap(spark, SF001).collect()))
+    assert sorted(map(tuple, result.collect())) == want
