@@ -98,3 +98,17 @@ def test_command_line_overlap_and_growth(spark):
     out2 = scratch_path(spark, "cli-out")
     assert main(["growth", src, out2, "--threshold", "0"]) == 0
     assert spark.read.text(out2).count() >= 0
+
+
+def test_command_line_knn_and_classify(spark, capsys):
+    from quarry.__main__ import main
+    test_path, train_path = _sample_files(spark, SF0001)
+    out = scratch_path(spark, "cli-knn")
+    assert main(["knn", test_path, train_path, out, "--dim", "0", "--k", "5", "--features", "64"]) == 0
+    stored = csvio.read_confusion_csv(spark, f"{out}/confusion", 10)
+    assert stored.agg(F.sum("n")).first()[0] == 100
+    s_test, s_train = _sample_files(spark, SF0001, separable=True, label_first=False)
+    out2 = scratch_path(spark, "cli-clf")
+    assert main(["classify", s_test, s_train, out2, "--model", "bayes", "--pca", "0", "--features", "64",
+                 "--label-last"]) == 0
+    assert "accuracy" in capsys.readouterr().out
