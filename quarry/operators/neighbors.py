@@ -31,6 +31,7 @@ the broadcast strategy without sending anything through the driver.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
@@ -40,6 +41,15 @@ from pyspark.sql import types as T
 
 from quarry.session import default_parallelism
 
+# The block kernel below runs in Python workers. Pickling this module's
+# functions by value ships them with the task, so executors need numpy and
+# pandas but not this package on their path.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):  # older cloudpickle: ship the package with --py-files
+    pass
+
 
 CANDIDATE_SCHEMA = T.StructType([
     T.StructField("qid", T.LongType(), False),
