@@ -92,16 +92,6 @@ def q_parse_long(spark, sf_dir):
     return v.select("event_id", "views_text", parse_long("views_text").alias("views"))
 
 
-def _observation_csv(df: DataFrame, fields: dict[str, F.Column], path: str) -> None:
-    """Write observation records as an 18-field CSV with a header in every
-    part file, doubled quotes as escapes."""
-    cols = []
-    for i in range(textio.OBS_MIN_FIELDS):
-        name = next((n for n, p in textio.OBS_FIELDS.items() if p == i), f"_f{i}")
-        cols.append(fields.get(name, fields.get(i, F.lit(""))).cast("string").alias(name))
-    df.select(*cols).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
-
-
 @register("growth_from_lines", sql.GROWTH_FROM_LINES)
 def q_growth_from_lines(spark, sf_dir):
     """Growth report from raw text lines: orders written as observation CSV
@@ -110,7 +100,7 @@ def q_growth_from_lines(spark, sf_dir):
     by position."""
     o = fx.table(spark, sf_dir, "orders")
     path = scratch_path(spark, "growth-lines")
-    _observation_csv(o, {
+    textio.write_observations(o, {
         "item_id": F.col("o_custkey"),
         "obs_date": F.date_format("o_orderdate", "yy.dd.MM"),
         2: F.col("o_orderkey"),
@@ -134,7 +124,7 @@ def q_overlap_from_csv(spark, sf_dir):
     """Category overlap from an observation CSV read with the CSV reader."""
     path = scratch_path(spark, "overlap-csv")
     obs = fx.overlap_observations(spark, sf_dir)
-    _observation_csv(obs, {"item_id": F.col("item_id"), "category": F.col("category"),
+    textio.write_observations(obs, {"item_id": F.col("item_id"), "category": F.col("category"),
                            "market": F.col("market"), "obs_date": F.lit("01.01.01"), "views": F.lit(0),
                            3: F.lit('a "quoted, text"')}, path)
     return tr.category_overlap(textio.read_observations(spark, path), fx.MARKET_1, fx.MARKET_2)
@@ -174,7 +164,7 @@ def q_multiline_observations(spark, sf_dir):
     quotes, line breaks), read back with the multi-line CSV reader."""
     path = scratch_path(spark, "multiline-csv")
     docs = fx.table(spark, sf_dir, "documents")
-    _observation_csv(docs, {"item_id": F.col("doc_id"), "obs_date": F.lit("01.01.01"), 2: F.col("text"),
+    textio.write_observations(docs, {"item_id": F.col("doc_id"), "obs_date": F.lit("01.01.01"), 2: F.col("text"),
                             "category": F.col("lang"), "views": F.col("n_chars"), "market": F.col("source")},
                      path)
     obs = textio.read_observations(spark, path, multiline=True)

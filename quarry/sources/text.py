@@ -79,6 +79,21 @@ def read_observations(spark: SparkSession, path: str, n_fields: int = OBS_MIN_FI
     return df.select("item_id", "obs_date", "category", parse_long("views").alias("views"), "market")
 
 
+def write_observations(df: DataFrame, fields: dict[str | int, Column], path: str,
+                       n_fields: int = OBS_MIN_FIELDS) -> None:
+    """Write observation records as CSV: ``n_fields`` columns, the named
+    observation fields (or any position given as an int key) filled from
+    ``fields``, every other position empty; a header in every part file;
+    quotes doubled inside quoted values."""
+    names = {p: n for n, p in OBS_FIELDS.items()}
+    cols = []
+    for i in range(n_fields):
+        name = names.get(i, f"_f{i}")
+        value = fields.get(name, fields.get(i, F.lit("")))
+        cols.append(value.cast("string").alias(name))
+    df.select(*cols).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
 def write_keyed_text(df: DataFrame, key: str, value: str, path: str, n_files: int = 3) -> None:
     """``key<TAB>value`` lines, hash-partitioned by key into ``n_files`` part
     files, keys sorted inside each file."""

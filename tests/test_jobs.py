@@ -15,7 +15,7 @@ from conftest import SF0001
 def test_overlap_job_matches_query(spark):
     src, out = scratch_path(spark, "job-in"), scratch_path(spark, "job-out")
     obs = fx.overlap_observations(spark, SF0001)
-    catalog._observation_csv(obs, {"item_id": F.col("item_id"), "category": F.col("category"),
+    textio.write_observations(obs, {"item_id": F.col("item_id"), "category": F.col("category"),
                                    "market": F.col("market")}, src)
     jobs.overlap_job(spark, src, out, fx.MARKET_1, fx.MARKET_2)
     got = sorted(map(tuple, textio.read_keyed_text(spark, out, "category", "line").collect()))
@@ -29,7 +29,7 @@ def test_overlap_job_matches_query(spark):
 def test_growth_job_writes_sorted_report(spark):
     src, out = scratch_path(spark, "job-in"), scratch_path(spark, "job-out")
     o = fx.table(spark, SF0001, "orders")
-    catalog._observation_csv(o, {"item_id": F.col("o_custkey"), "obs_date": F.date_format("o_orderdate", "yy.dd.MM"),
+    textio.write_observations(o, {"item_id": F.col("o_custkey"), "obs_date": F.date_format("o_orderdate", "yy.dd.MM"),
                                  "views": F.floor("o_totalprice").cast("bigint"),
                                  "market": F.col("o_orderpriority")}, src)
     report = jobs.growth_job(spark, src, out)
@@ -90,7 +90,7 @@ def test_command_line_overlap_and_growth(spark):
     from quarry.__main__ import main
     src = scratch_path(spark, "cli-in")
     obs = fx.overlap_observations(spark, SF0001)
-    catalog._observation_csv(obs, {"item_id": F.col("item_id"), "category": F.col("category"),
+    textio.write_observations(obs, {"item_id": F.col("item_id"), "category": F.col("category"),
                                    "market": F.col("market")}, src)
     out = scratch_path(spark, "cli-out")
     assert main(["overlap", src, out, fx.MARKET_1, fx.MARKET_2]) == 0
