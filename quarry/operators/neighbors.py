@@ -164,7 +164,7 @@ def block_rows_for(dim: int, side_bytes: int = 64 << 20, max_rows: int = 2048, m
     return int(max(min_rows, min(max_rows, side_bytes // (8 * max(1, dim)))))
 
 
-def plan_blocks(n_query: int, n_train: int, block_rows: int, min_groups: int = 1,
+def block_counts(n_query: int, n_train: int, block_rows: int, min_groups: int = 1,
                 min_query_rows: int = 64) -> tuple[int, int]:
     """Number of query and train blocks: each block at most ``block_rows``.
     When that gives fewer than ``min_groups`` groups the query side is split
@@ -202,7 +202,7 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
         n_query = counted[0] if n_query is None else n_query
         n_train = counted[1] if n_train is None else n_train
         block_rows = block_rows_for(counted[2]) if block_rows is None else block_rows
-    n_qb, n_tb = plan_blocks(n_query, n_train, block_rows, default_parallelism(spark))
+    n_qb, n_tb = block_counts(n_query, n_train, block_rows, default_parallelism(spark))
 
     q = queries.select(
         F.col(qid).cast("bigint").alias("_qid"),

@@ -90,11 +90,11 @@ def test_fewer_train_rows_than_k(spark):
     assert nn.knn_classify(qdf, tdf, 5).first().predicted == 5
 
 
-def test_plan_blocks_bounds():
-    assert nn.plan_blocks(100, 400, 2048, 8) == (1, 1)
-    n_qb, n_tb = nn.plan_blocks(10_000, 400, 2048, 8)
+def test_block_counts_bounds():
+    assert nn.block_counts(100, 400, 2048, 8) == (1, 1)
+    n_qb, n_tb = nn.block_counts(10_000, 400, 2048, 8)
     assert n_tb == 1 and n_qb >= 5
-    n_qb, n_tb = nn.plan_blocks(10_000, 100_000, 2048, 8)
+    n_qb, n_tb = nn.block_counts(10_000, 100_000, 2048, 8)
     assert n_tb == 49 and n_qb == 5
 
 

@@ -82,7 +82,7 @@ def main(argv):
     rows = ["# Stage metrics per query", "",
             f"From Spark's event log (`python tools/stage_metrics.py <scratch> {sf_dir}`), local[8], one run per",
             "query, no warm-up. Shuffle columns are rows and bytes written to shuffle files by all stages of",
-            "the query, including the count jobs the KNN planner runs.", "",
+            "the query, including the count job that sizes the KNN blocks.", "",
             "| query | wall s | stages | tasks | task s | input rows | shuffle rows | shuffle MB |",
             "| --- | --- | --- | --- | --- | --- | --- | --- |"]
     for n in names:
