@@ -105,3 +105,24 @@ def test_confusion_csv_roundtrip(spark):
         csvio.write_confusion_csv(ev.confusion_wide(m, 3), path, 3, include_row_label=with_label)
         back = csvio.read_confusion_csv(spark, path, 3, has_row_label=with_label)
         assert sorted(map(tuple, back.collect())) == sorted(map(tuple, m.collect()))
+
+
+def test_keyed_text_keeps_tabs_inside_values(spark):
+    df = spark.createDataFrame([("k1", "a\tb"), ("k2", "plain")], "k string, v string")
+    path = scratch_path(spark, "test-keyed-tabs")
+    textio.write_keyed_text(df, "k", "v", path, 2)
+    got = sorted(map(tuple, textio.read_keyed_text(spark, path, "k", "v").collect()))
+    assert got == [("k1", "a\tb"), ("k2", "plain")]
+
+
+def test_read_observations_permissive_on_short_and_long_rows(spark):
+    path = scratch_path(spark, "test-obs-ragged")
+    os.makedirs(_local(path), exist_ok=True)
+    header = ",".join(f"h{i}" for i in range(18))
+    short = "v1,17.14.11,x,x,x,Music"
+    long_ = ",".join(["v2", "17.14.11"] + ["x"] * 3 + ["Film"] + ["x"] * 2 + ["9"] + ["x"] * 8 + ["US", "extra"])
+    with open(os.path.join(_local(path), "part-0.csv"), "w") as f:
+        f.write("\n".join([header, short, long_]) + "\n")
+    rows = {r.item_id: r for r in textio.read_observations(spark, path).collect()}
+    assert rows["v1"].category == "Music" and rows["v1"].market is None and rows["v1"].views is None
+    assert rows["v2"].category == "Film" and rows["v2"].market == "US" and rows["v2"].views == 9

@@ -103,3 +103,11 @@ def test_first_n_by_date_keeps_n_per_key(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("d"))
     out = tr.first_n_by_date(df, ["k"], ["d"], 2).orderBy("k", "d").collect()
     assert [(r.k, r.d) for r in out] == [(0, 0), (0, 3), (1, 1), (1, 4), (2, 2), (2, 5)]
+
+
+def test_overlap_ignores_null_market_and_keeps_null_item_group(spark):
+    obs = _obs(spark, [("c1", "a", None), ("c1", "a", "US"), ("c1", None, "US"), ("c1", None, "GB"),
+                       (None, "z", "US")])
+    out = {r.category: (r.count_m1, r.overlap) for r in tr.category_overlap(obs, "US", "GB").collect()}
+    # the NULL item is one group (seen in both markets); the NULL category is its own group
+    assert out == {"c1": (2, 1), None: (1, 0)}
