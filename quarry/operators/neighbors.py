@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import math
 import sys
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -124,10 +125,13 @@ def block_top_k(q: np.ndarray, t: np.ndarray, tids: np.ndarray, k: int,
     return rows[keep], cols[keep], dist[keep], rank[keep]
 
 
-def _knn_block_fn(k: int, exclude: str | None):
+def _knn_block_fn(k: int, exclude: str | None, carry: tuple[str, ...] = ()):
     def fn(qdf: pd.DataFrame, tdf: pd.DataFrame) -> pd.DataFrame:
         if qdf.empty or tdf.empty:
-            return _EMPTY.copy()
+            empty = _EMPTY.copy()
+            for c in carry:
+                empty[c] = pd.Series(dtype="object")
+            return empty
         q = _stack(qdf["_qv"])
         t = _stack(tdf["_tv"])
         blocked = None
@@ -135,7 +139,7 @@ def _knn_block_fn(k: int, exclude: str | None):
             blocked = qdf["_qx"].to_numpy()[:, None] == tdf["_tx"].to_numpy()[None, :]
         tids = tdf["_tid"].to_numpy(dtype=np.int64)
         rows, cols, dist, rank = block_top_k(q, t, tids, k, blocked)
-        return pd.DataFrame({
+        out = pd.DataFrame({
             "qid": qdf["_qid"].to_numpy(dtype=np.int64)[rows],
             "qlabel": qdf["_qlabel"].to_numpy()[rows],
             "tid": tids[cols],
@@ -143,6 +147,9 @@ def _knn_block_fn(k: int, exclude: str | None):
             "dist": dist,
             "rank": rank.astype(np.int32),
         })
+        for c in carry:
+            out[c] = qdf[f"_c_{c}"].to_numpy()[rows]
+        return out
     return fn
 
 
@@ -183,11 +190,13 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
                    qvec: str = "qvec", qlabel: str | None = "qlabel", tid: str = "tid",
                    tvec: str = "tvec", tlabel: str = "tlabel", block_rows: int | None = None,
                    exclude: str | None = None, n_query: int | None = None,
-                   n_train: int | None = None) -> DataFrame:
+                   n_train: int | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """The ``k`` nearest train rows of every query row, with ranks.
 
     ``exclude`` names a column present on both sides: pairs with equal values
     are never neighbours (e.g. a fold id, for held-out-fold prediction).
+    ``carry`` lists query-side columns copied onto each of the query's
+    candidate rows (no join back needed).
     Row counts are taken from the data unless given; ``block_rows`` defaults
     to ``block_rows_for(dim)`` (2048 rows up to 4096 dimensions, fewer for
     wider vectors).
@@ -209,6 +218,7 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
         (F.col(qlabel).cast("int") if qlabel else F.lit(None).cast("int")).alias("_qlabel"),
         F.col(qvec).alias("_qv"),
         *([F.col(exclude).alias("_qx")] if exclude else []),
+        *[F.col(c).alias(f"_c_{c}") for c in carry],
         F.pmod(F.xxhash64(F.col(qid)), F.lit(n_qb)).cast("int").alias("_qb"))
     t = train.select(
         F.col(tid).cast("bigint").alias("_tid"),
@@ -221,9 +231,11 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
     t_rep = t.withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1)))) if n_qb > 1 \
         else t.withColumn("_qb", F.lit(0))
 
+    schema = T.StructType(CANDIDATE_SCHEMA.fields + [
+        T.StructField(c, queries.schema[c].dataType, True) for c in carry])
     cand = (q_rep.groupBy("_qb", "_tb")
             .cogroup(t_rep.groupBy("_qb", "_tb"))
-            .applyInPandas(_knn_block_fn(k, exclude), CANDIDATE_SCHEMA))
+            .applyInPandas(_knn_block_fn(k, exclude, tuple(carry)), schema))
     if n_tb == 1:
         return cand
     return top_k_per_key(cand.drop("rank"), "qid", [F.col("dist"), F.col("tid")], k, "rank")
@@ -237,19 +249,21 @@ def top_k_per_key(df: DataFrame, key: str, order: list[Column | str], k: int,
 
 
 def majority_vote(neighbors: DataFrame, key: str = "qid", label: str = "tlabel", rank: str = "rank",
-                  actual: str | None = "qlabel") -> DataFrame:
+                  actual: str | None = "qlabel", carry: Sequence[str] = ()) -> DataFrame:
     """Most frequent label among each query's neighbours; a tie goes to the
     label whose nearest member has the best rank.
 
     The neighbours of one query are at most ``k`` rows, so they are gathered
     into one bounded array and voted on with native array functions.
 
-    Output: ``qid, actual, predicted, votes``.
+    Output: ``qid, actual, predicted, votes`` and the ``carry`` columns
+    (constant per query).
     """
     aggs = [F.array_sort(F.collect_list(F.struct(F.col(rank).alias("r"), F.col(label).alias("l"))))
             .alias("_nb")]
     if actual:
         aggs.append(F.first(actual, ignorenulls=True).alias("actual"))
+    aggs += [F.first(c, ignorenulls=True).alias(c) for c in carry]
     voted = neighbors.groupBy(key).agg(*aggs)
     nb = F.col("_nb")
     scored = F.transform(nb, lambda e: F.struct(
@@ -261,11 +275,11 @@ def majority_vote(neighbors: DataFrame, key: str = "qid", label: str = "tlabel",
     if actual:
         cols.append(F.col("actual"))
     cols += [best["label"].alias("predicted"), best["votes"].cast("bigint").alias("votes")]
-    return voted.select(*cols)
+    return voted.select(*cols, *carry)
 
 
 def knn_classify(queries: DataFrame, train: DataFrame, k: int = 5, **kw) -> DataFrame:
     """Exact KNN classifier: candidates -> vote. Output ``qid, actual,
     predicted, votes``."""
-    return majority_vote(knn_candidates(queries, train, k, **kw))
+    return majority_vote(knn_candidates(queries, train, k, **kw), carry=kw.get("carry", ()))
 

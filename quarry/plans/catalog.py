@@ -375,9 +375,7 @@ def _fold_predictions(spark, sf_dir):
                       F.col("vec").alias("qvec"), "fold")
     t = folded.select(F.col("vec_id").alias("tid"), F.col("label").alias("tlabel"),
                       F.col("vec").alias("tvec"), "fold")
-    nb = nn.knn_candidates(q, t, fx.K_NEIGHBOURS, exclude="fold")
-    pred = nn.majority_vote(nb)
-    return pred.join(folded.select(F.col("vec_id").alias("qid"), "fold"), "qid")
+    return nn.knn_classify(q, t, fx.K_NEIGHBOURS, exclude="fold", carry=["fold"])
 
 
 @register("merge_confusion", sql.MERGE_CONFUSION)

@@ -144,3 +144,12 @@ def test_block_rows_adapt_to_dimension():
     assert nn.block_rows_for(4096) == 2048
     assert nn.block_rows_for(16384) == 512
     assert nn.block_rows_for(10 ** 7) == 64
+
+
+@pytest.mark.parametrize("block_rows", [4096, 16])
+def test_carry_columns_reach_the_vote(spark, block_rows):
+    from pyspark.sql import functions as F
+    _, _, _, qdf, tdf = _random_sides(spark)
+    qdf = qdf.withColumn("tag", (F.col("qid") * 3).cast("int"))
+    out = nn.knn_classify(qdf, tdf, 3, block_rows=block_rows, carry=["tag"]).collect()
+    assert len(out) == 37 and all(r.tag == r.qid * 3 for r in out)

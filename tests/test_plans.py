@@ -50,6 +50,10 @@ def test_knn_has_no_pair_join_and_vote_reuses_partitioning(spark):
         plan = _plan(q(spark, SF001))
         _no_pair_joins(plan)
         assert "FlatMapCoGroupsInPandas" in plan
+    fold_plan = _plan(catalog.q_merge_confusion(spark, SF001)).split("\n\n")[0]
+    # the fold travels with the candidates: no shuffle join (only the bounded
+    # bucket-offset broadcast inside the fold positions remains)
+    assert "SortMergeJoin" not in fold_plan and "ShuffledHashJoin" not in fold_plan
     plan = _plan(catalog.q_knn_blocked(spark, SF001))
     assert "WindowGroupLimit" in plan
     assert plan.count("hashpartitioning(qid") == 1  # merge window and vote share one exchange
