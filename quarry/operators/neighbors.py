@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.session import default_parallelism
+from quarry.session import checkpoint_dir, default_parallelism
 
 # The block kernel below runs in Python workers. Pickling this module's
 # functions by value ships them with the task, so executors need numpy and
@@ -153,15 +153,23 @@ def _knn_block_fn(k: int, exclude: str | None, carry: tuple[str, ...] = ()):
     return fn
 
 
-def _count_sides(queries: DataFrame, train: DataFrame, qvec: str, tvec: str) -> tuple[int, int, int]:
-    """Row counts of both sides and the widest vector, in one job (a few
-    scalars reach the driver)."""
-    tagged = (queries.select(F.lit(0).alias("_side"), F.size(qvec).alias("_dim"))
-              .unionByName(train.select(F.lit(1).alias("_side"), F.size(tvec).alias("_dim"))))
-    rows = tagged.groupBy("_side").agg(F.count(F.lit(1)).alias("n"), F.max("_dim").alias("dim")).collect()
-    counts = {r["_side"]: r["n"] for r in rows}
-    dim = max([r["dim"] or 0 for r in rows] + [1])
-    return counts.get(0, 0), counts.get(1, 0), dim
+def _side_stats(queries: DataFrame, train: DataFrame, qid: str, tid: str, qvec: str,
+                tvec: str) -> dict[int, dict[str, int]]:
+    """Per side (0 = queries, 1 = train): row count, the largest number of
+    rows sharing one id, and the widest vector, in one job. Ids are first
+    counted per id (partially aggregated, so a hot id costs nothing extra);
+    a few scalars reach the driver."""
+    tagged = (queries.select(F.lit(0).alias("_side"), F.col(qid).cast("bigint").alias("_id"),
+                             F.size(qvec).alias("_dim"))
+              .unionByName(train.select(F.lit(1).alias("_side"), F.col(tid).cast("bigint").alias("_id"),
+                                        F.size(tvec).alias("_dim"))))
+    per_id = tagged.groupBy("_side", "_id").agg(F.count(F.lit(1)).alias("c"), F.max("_dim").alias("d"))
+    rows = per_id.groupBy("_side").agg(F.sum("c").alias("n"), F.max("c").alias("copies"),
+                                       F.max("d").alias("dim")).collect()
+    out = {0: {"n": 0, "copies": 0, "dim": 1}, 1: {"n": 0, "copies": 0, "dim": 1}}
+    for r in rows:
+        out[r["_side"]] = {"n": int(r["n"]), "copies": int(r["copies"]), "dim": int(r["dim"] or 1)}
+    return out
 
 
 def block_rows_for(dim: int, side_bytes: int = 64 << 20, max_rows: int = 2048, min_rows: int = 64) -> int:
@@ -197,21 +205,31 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
     are never neighbours (e.g. a fold id, for held-out-fold prediction).
     ``carry`` lists query-side columns copied onto each of the query's
     candidate rows (no join back needed).
-    Row counts are taken from the data unless given; ``block_rows`` defaults
-    to ``block_rows_for(dim)`` (2048 rows up to 4096 dimensions, fewer for
-    wider vectors).
+    One sizing job counts the rows and id multiplicities of both sides:
+    query ids must be unique; train rows may repeat (copies are spread over
+    blocks by a checkpointed salt when they would overfill one).
+    ``block_rows`` defaults to ``block_rows_for(dim)`` (2048 rows up to 4096
+    dimensions, fewer for wider vectors).
 
     Output: ``qid, qlabel, tid, tlabel, dist, rank`` (rank 1 = nearest).
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     spark = queries.sparkSession
-    if n_query is None or n_train is None or block_rows is None:
-        counted = _count_sides(queries, train, qvec, tvec)
-        n_query = counted[0] if n_query is None else n_query
-        n_train = counted[1] if n_train is None else n_train
-        block_rows = block_rows_for(counted[2]) if block_rows is None else block_rows
+    stats = _side_stats(queries, train, qid, tid, qvec, tvec)
+    if stats[0]["copies"] > 1:
+        raise ValueError(f"query ids must be unique: some {qid} value occurs {stats[0]['copies']} times")
+    n_query = stats[0]["n"] if n_query is None else n_query
+    n_train = stats[1]["n"] if n_train is None else n_train
+    block_rows = block_rows_for(max(stats[0]["dim"], stats[1]["dim"])) if block_rows is None else block_rows
     n_qb, n_tb = block_counts(n_query, n_train, block_rows, default_parallelism(spark))
+    # Copies of one train row all hash to one block. When they are many, a
+    # per-row salt spreads them; the salted side is checkpointed first, so a
+    # recomputed task can never move a row to another block.
+    salted = stats[1]["copies"] > max(1, block_rows // 2)
+    if salted:
+        checkpoint_dir(spark)
+        train = train.withColumn("_salt", F.monotonically_increasing_id()).checkpoint(eager=True)
 
     q = queries.select(
         F.col(qid).cast("bigint").alias("_qid"),
@@ -225,7 +243,8 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
         F.col(tlabel).cast("int").alias("_tlabel"),
         F.col(tvec).alias("_tv"),
         *([F.col(exclude).alias("_tx")] if exclude else []),
-        F.pmod(F.xxhash64(F.col(tid)), F.lit(n_tb)).cast("int").alias("_tb"))
+        F.pmod(F.xxhash64(F.col(tid), *([F.col("_salt")] if salted else [])), F.lit(n_tb)).cast("int")
+        .alias("_tb"))
     q_rep = q.withColumn("_tb", F.explode(F.sequence(F.lit(0), F.lit(n_tb - 1)))) if n_tb > 1 \
         else q.withColumn("_tb", F.lit(0))
     t_rep = t.withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1)))) if n_qb > 1 \

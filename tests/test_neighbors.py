@@ -153,3 +153,26 @@ def test_carry_columns_reach_the_vote(spark, block_rows):
     qdf = qdf.withColumn("tag", (F.col("qid") * 3).cast("int"))
     out = nn.knn_classify(qdf, tdf, 3, block_rows=block_rows, carry=["tag"]).collect()
     assert len(out) == 37 and all(r.tag == r.qid * 3 for r in out)
+
+
+def test_hot_copies_in_train_are_spread_and_counted(spark):
+    """One train row repeated many times (a third of the train side) still
+    gives the brute-force answer, with each copy a separate neighbour."""
+    from pyspark.sql import functions as F
+    q, t, tl, qdf, tdf = _random_sides(spark, n_q=20, n_t=60)
+    hot = tdf.where("tid = 1000").withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(30)))).drop("copy")
+    tdf2 = tdf.unionByName(hot)
+    nb = nn.knn_candidates(qdf, tdf2, 5, block_rows=8)
+    tids = list(range(1000, 1060)) + [1000] * 30
+    tt = np.vstack([t, np.repeat(t[:1], 30, axis=0)])
+    tl2 = np.concatenate([tl, np.repeat(tl[:1], 30)])
+    want = brute_force(q, list(range(20)), tt, tids, tl2, 5)
+    got = {r.qid: r.predicted for r in nn.majority_vote(nb).collect()}
+    assert got == want
+    assert nb.groupBy("qid").count().where("count <> 5").count() == 0
+
+
+def test_duplicate_query_ids_are_rejected(spark):
+    _, _, _, qdf, tdf = _random_sides(spark, n_q=5, n_t=10)
+    with pytest.raises(ValueError, match="unique"):
+        nn.knn_candidates(qdf.unionByName(qdf), tdf, 3)
