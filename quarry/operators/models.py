@@ -131,8 +131,12 @@ def row_position(df: DataFrame, order_col: str, n_buckets: int | None = None,
     checkpoint_dir(spark)
     n_buckets = n_buckets or default_parallelism(spark)
     # Equal ordering keys are ordered by a hash of the whole row, so a hot key
-    # is split across range buckets instead of landing in one task.
-    order = [F.col(order_col), F.xxhash64(*[F.col(c) for c in df.columns])]
+    # is split across range buckets instead of landing in one task; exact
+    # copies of a row are further ordered by the input split they were read
+    # from (deterministic for file sources), so at most one split's worth of
+    # copies can share a bucket.
+    order = [F.col(order_col), F.xxhash64(*[F.col(c) for c in df.columns]),
+             F.input_file_name(), F.input_file_block_start()]
     local = (df.repartitionByRange(n_buckets, *order).sortWithinPartitions(*order)
              .withColumn("_bucket", F.spark_partition_id())
              .withColumn("_local", F.monotonically_increasing_id()
