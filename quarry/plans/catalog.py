@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.scalars import date_key, parse_long
+from quarry.functions.scalars import date_key, parse_long, squared_distance
 from quarry.operators import evaluation as ev
 from quarry.operators import models as ml
 from quarry.operators import neighbors as nn
@@ -221,6 +221,19 @@ def q_knn_topk(spark, sf_dir):
                                                  F.round("dist", 6).alias("dist"))
 
 
+@register("knn_distance", sql.KNN_TOPK)
+def q_knn_distance(spark, sf_dir):
+    """The native distance expression on the selected neighbour pairs only:
+    the k neighbours of each query are joined back to both vectors by id
+    (equi-joins, k rows per query) and their distance is recomputed on the
+    JVM side."""
+    q, t = fx.knn_sides(spark, sf_dir)
+    nb = _knn_neighbours(spark, sf_dir).select("qid", "qlabel", "tid", "tlabel", "rank")
+    pairs = nb.join(q.select("qid", "qvec"), "qid").join(t.select("tid", "tvec"), "tid")
+    return pairs.select("qid", "qlabel", "tid", "tlabel", "rank",
+                        F.round(squared_distance("qvec", "tvec"), 6).alias("dist"))
+
+
 @register("knn_vote", sql.KNN_PREDICT)
 def q_knn_vote(spark, sf_dir):
     return _knn_predictions(spark, sf_dir)
