@@ -2,8 +2,11 @@
 
 Plan (no cross join, no pair rows):
 
-1. Both sides are hashed into blocks of at most about ``block_rows`` rows
-   (``xxhash64`` of the unique id, so blocks are balanced).
+1. One sizing job counts rows, id multiplicity and vector width per side.
+   Both sides are hashed into blocks of at most about ``block_rows`` rows
+   (``xxhash64`` of the id, so blocks are balanced); query ids must be
+   unique, and when copies of one train row would overfill a block a
+   checkpointed per-row salt spreads them.
 2. Every query row is copied once per train block and every train row once
    per query block, and the two sides are co-grouped on
    ``(q_block, t_block)``: each group holds one bounded query block and one
