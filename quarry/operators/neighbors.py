@@ -201,7 +201,8 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
                    qvec: str = "qvec", qlabel: str | None = "qlabel", tid: str = "tid",
                    tvec: str = "tvec", tlabel: str = "tlabel", block_rows: int | None = None,
                    exclude: str | None = None, n_query: int | None = None,
-                   n_train: int | None = None, carry: Sequence[str] = ()) -> DataFrame:
+                   n_train: int | None = None, carry: Sequence[str] = (),
+                   check_ids: bool = True) -> DataFrame:
     """The ``k`` nearest train rows of every query row, with ranks.
 
     ``exclude`` names a column present on both sides: pairs with equal values
@@ -210,7 +211,9 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
     candidate rows (no join back needed).
     One sizing job counts the rows and id multiplicities of both sides:
     query ids must be unique; train rows may repeat (copies are spread over
-    blocks by a checkpointed salt when they would overfill one).
+    blocks by a checkpointed salt when they would overfill one). A caller
+    that knows both sizes and that ids are unique can pass ``n_query``,
+    ``n_train``, ``block_rows`` and ``check_ids=False`` to skip that job.
     ``block_rows`` defaults to ``block_rows_for(dim)`` (2048 rows up to 4096
     dimensions, fewer for wider vectors).
 
@@ -219,17 +222,23 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
     if k < 1:
         raise ValueError("k must be at least 1")
     spark = queries.sparkSession
-    stats = _side_stats(queries, train, qid, tid, qvec, tvec)
-    if stats[0]["copies"] > 1:
-        raise ValueError(f"query ids must be unique: some {qid} value occurs {stats[0]['copies']} times")
-    n_query = stats[0]["n"] if n_query is None else n_query
-    n_train = stats[1]["n"] if n_train is None else n_train
-    block_rows = block_rows_for(max(stats[0]["dim"], stats[1]["dim"])) if block_rows is None else block_rows
+    known = n_query is not None and n_train is not None and block_rows is not None
+    if check_ids or not known:
+        stats = _side_stats(queries, train, qid, tid, qvec, tvec)
+        if stats[0]["copies"] > 1:
+            raise ValueError(f"query ids must be unique: some {qid} value occurs {stats[0]['copies']} times")
+        n_query = stats[0]["n"] if n_query is None else n_query
+        n_train = stats[1]["n"] if n_train is None else n_train
+        if block_rows is None:
+            block_rows = block_rows_for(max(stats[0]["dim"], stats[1]["dim"]))
+        train_copies = stats[1]["copies"]
+    else:
+        train_copies = 1  # the caller vouches for unique ids and gives the sizes
     n_qb, n_tb = block_counts(n_query, n_train, block_rows, default_parallelism(spark))
     # Copies of one train row all hash to one block. When they are many, a
     # per-row salt spreads them; the salted side is checkpointed first, so a
     # recomputed task can never move a row to another block.
-    salted = stats[1]["copies"] > max(1, block_rows // 2)
+    salted = train_copies > max(1, block_rows // 2)
     if salted:
         checkpoint_dir(spark)
         train = train.withColumn("_salt", F.monotonically_increasing_id()).checkpoint(eager=True)

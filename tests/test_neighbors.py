@@ -176,3 +176,11 @@ def test_duplicate_query_ids_are_rejected(spark):
     _, _, _, qdf, tdf = _random_sides(spark, n_q=5, n_t=10)
     with pytest.raises(ValueError, match="unique"):
         nn.knn_candidates(qdf.unionByName(qdf), tdf, 3)
+
+
+def test_known_sizes_skip_the_sizing_job(spark):
+    q, t, tl, qdf, tdf = _random_sides(spark)
+    a = sorted(map(tuple, nn.knn_classify(qdf, tdf, 5).collect()))
+    b = sorted(map(tuple, nn.knn_classify(qdf, tdf, 5, n_query=37, n_train=151, block_rows=64,
+                                          check_ids=False).collect()))
+    assert a == b
