@@ -56,3 +56,42 @@ def test_row_positions_with_exact_copies(spark):
     assert sorted(r.pos for r in pos) == list(range(3000))
     keys = [r.key for r in sorted(pos, key=lambda r: r.pos)]
     assert keys == sorted(keys)
+
+
+def test_hot_order_key_is_split_by_adaptive_skew_join(spark):
+    """A third of the fact rows share one order key; with the skew thresholds
+    scaled down to test size, AQE splits that partition of the sort-merge
+    join, and the overlap stays exact."""
+    from quarry.plans import fixtures as fx
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        n = 30000
+        li = spark.range(n).select(F.when(F.col("id") < n / 3, F.lit(0)).otherwise(F.col("id") % 5000)
+                                   .alias("l_orderkey"), (F.col("id") % 997).alias("l_partkey"))
+        o = spark.range(5000).select(F.col("id").alias("o_orderkey"), (F.col("id") % 300).alias("o_custkey"),
+                                     F.concat(F.lit("P"), (F.col("id") % 5).cast("string")).alias("o_orderpriority"))
+        c = spark.range(300).select(F.col("id").alias("c_custkey"),
+                                    F.when(F.col("id") % 2 == 0, F.lit("BUILDING")).otherwise(F.lit("AUTOMOBILE"))
+                                    .alias("c_mktsegment"))
+        df = tr.category_overlap(fx.overlap_observations_from(li, o, c), "BUILDING", "AUTOMOBILE")
+        got = {r.category: (r.count_m1, r.overlap, r.pct) for r in df.collect()}
+        assert "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    cust = {i: ("BUILDING" if i % 2 == 0 else "AUTOMOBILE") for i in range(300)}
+    rows = []
+    for i in range(n):
+        ok = 0 if i < n / 3 else i % 5000
+        rows.append((f"P{ok % 5}", str(i % 997), cust[ok % 300]))
+    assert got == _py_overlap(rows, "BUILDING", "AUTOMOBILE")
