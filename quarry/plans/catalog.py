@@ -391,6 +391,13 @@ def _fold_predictions(spark, sf_dir):
     return nn.knn_classify(q, t, fx.K_NEIGHBOURS, exclude="fold", carry=["fold"])
 
 
+@register("knn_fold_predict", sql.KNN_FOLD_PREDICT)
+def q_knn_fold_predict(spark, sf_dir):
+    """Every row of the table classified by its 5 nearest rows in the other
+    folds (10 contiguous folds): whole-table KNN with no id-based split."""
+    return _fold_predictions(spark, sf_dir).select("qid", "fold", "actual", "predicted", "votes")
+
+
 @register("merge_confusion", sql.MERGE_CONFUSION)
 def q_merge_confusion(spark, sf_dir):
     return ev.merge_confusion(ev.per_fold_confusion(_fold_predictions(spark, sf_dir)))

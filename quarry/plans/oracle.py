@@ -280,3 +280,10 @@ final AS (SELECT s.vec_id, s.actual, s.label, s.s + p.lp AS score FROM score s J
 SELECT vec_id, actual, label AS predicted FROM final
 QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY score DESC) = 1
 """
+
+KNN_FOLD_PREDICT = _FOLD_PRED + """,
+v AS (SELECT qid, fold, tlabel, count(*) AS votes, min(rank) AS best FROM nb GROUP BY qid, fold, tlabel),
+top AS (SELECT qid, fold, tlabel, CAST(votes AS BIGINT) AS votes FROM v
+        QUALIFY row_number() OVER (PARTITION BY qid ORDER BY votes DESC, best) = 1)
+SELECT p.qid, p.fold, p.actual, p.predicted, top.votes FROM pred p JOIN top ON p.qid = top.qid
+"""
