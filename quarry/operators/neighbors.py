@@ -2,7 +2,8 @@
 
 Plan (no cross join, no pair rows):
 
-1. One sizing job counts rows, id multiplicity and vector width per side.
+1. One sizing job counts rows and id multiplicity per side, reading only
+   the id columns (the vector width comes from one row of each side).
    Both sides are hashed into blocks of at most about ``block_rows`` rows
    (``xxhash64`` of the id, so blocks are balanced); query ids must be
    unique, and when copies of one train row would overfill a block a
@@ -156,25 +157,29 @@ def _knn_block_fn(k: int, exclude: str | None, carry: tuple[str, ...] = ()):
     return fn
 
 
-def _side_stats(queries: DataFrame, train: DataFrame, qid: str, tid: str, qvec: str,
-                tvec: str) -> dict[int, dict[str, int]]:
-    """Per side (0 = queries, 1 = train): row count, the largest number of
-    rows sharing one id, and the widest vector, in one job. Ids are first
-    counted per id (partially aggregated, so a hot id costs nothing extra);
-    a few scalars reach the driver."""
-    tagged = (queries.select(F.lit(0).alias("_side"), F.col(qid).cast("bigint").alias("_id"),
-                             F.size(qvec).alias("_dim"))
-              .unionByName(train.select(F.lit(1).alias("_side"), F.col(tid).cast("bigint").alias("_id"),
-                                        F.size(tvec).alias("_dim"))))
-    per_id = tagged.groupBy("_side", "_id").agg(F.count(F.lit(1)).alias("c"), F.max("_dim").alias("d"))
-    rows = per_id.groupBy("_side").agg(F.sum("c").alias("n"), F.max("c").alias("copies"),
-                                       F.max("d").alias("dim")).collect()
-    out = {0: {"n": 0, "copies": 0, "dim": 1}, 1: {"n": 0, "copies": 0, "dim": 1}}
+def _side_stats(queries: DataFrame, train: DataFrame, qid: str, tid: str) -> dict[int, dict[str, int]]:
+    """Per side (0 = queries, 1 = train): row count and the largest number of
+    rows sharing one id, in one job that reads only the id columns. Ids are
+    counted per id first (partially aggregated, so a hot id costs nothing
+    extra); a few scalars reach the driver."""
+    tagged = (queries.select(F.lit(0).alias("_side"), F.col(qid).cast("bigint").alias("_id"))
+              .unionByName(train.select(F.lit(1).alias("_side"), F.col(tid).cast("bigint").alias("_id"))))
+    per_id = tagged.groupBy("_side", "_id").agg(F.count(F.lit(1)).alias("c"))
+    rows = per_id.groupBy("_side").agg(F.sum("c").alias("n"), F.max("c").alias("copies")).collect()
+    out = {0: {"n": 0, "copies": 0}, 1: {"n": 0, "copies": 0}}
     for r in rows:
-        out[r["_side"]] = {"n": int(r["n"]), "copies": int(r["copies"]), "dim": int(r["dim"] or 1)}
+        out[r["_side"]] = {"n": int(r["n"]), "copies": int(r["copies"])}
     return out
 
 
+def _vector_width(queries: DataFrame, train: DataFrame, qvec: str, tvec: str) -> int:
+    """Vector length from one row of each side (all vectors of a KNN input
+    have one length): a tiny job instead of another scan of the vectors."""
+    one = (queries.select(F.size(qvec).alias("d")).limit(1)
+           .unionByName(train.select(F.size(tvec).alias("d")).limit(1)))
+    return max([r["d"] or 0 for r in one.collect()] + [1])
+
+
 def block_rows_for(dim: int, side_bytes: int = 64 << 20, max_rows: int = 2048, min_rows: int = 64) -> int:
     """Rows per block so one side of a block stays near ``side_bytes`` as
     doubles; at most ``max_rows`` (the block distance matrix is
@@ -223,14 +228,14 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
         raise ValueError("k must be at least 1")
     spark = queries.sparkSession
     known = n_query is not None and n_train is not None and block_rows is not None
+    if block_rows is None:
+        block_rows = block_rows_for(_vector_width(queries, train, qvec, tvec))
     if check_ids or not known:
-        stats = _side_stats(queries, train, qid, tid, qvec, tvec)
+        stats = _side_stats(queries, train, qid, tid)
         if stats[0]["copies"] > 1:
             raise ValueError(f"query ids must be unique: some {qid} value occurs {stats[0]['copies']} times")
         n_query = stats[0]["n"] if n_query is None else n_query
         n_train = stats[1]["n"] if n_train is None else n_train
-        if block_rows is None:
-            block_rows = block_rows_for(max(stats[0]["dim"], stats[1]["dim"]))
         train_copies = stats[1]["copies"]
     else:
         train_copies = 1  # the caller vouches for unique ids and gives the sizes
