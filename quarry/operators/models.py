@@ -15,7 +15,7 @@ from pyspark.ml.classification import (LinearSVC, LogisticRegression, Multilayer
                                        NaiveBayes, OneVsRest)
 from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.neighbors import knn_classify
@@ -121,11 +121,19 @@ def row_position(df: DataFrame, order_col: str, n_buckets: int | None = None,
                  pos_col: str = "pos") -> DataFrame:
     """0-based position of every row in the order of ``order_col`` (rows with
     equal values are ordered by a row hash), without a single-partition sort.
+    See ``row_position_and_count``."""
+    return row_position_and_count(df, order_col, n_buckets, pos_col)[0]
+
+
+def row_position_and_count(df: DataFrame, order_col: str, n_buckets: int | None = None,
+                           pos_col: str = "pos") -> tuple[DataFrame, int]:
+    """Row positions plus the total row count.
 
     Rows are range-partitioned into ``n_buckets`` buckets and sorted inside
     each; the bucket id and in-bucket index are materialised with a reliable
-    checkpoint (stable across task retries); bucket sizes give offsets (a
-    table of ``n_buckets`` rows, broadcast by construction).
+    checkpoint (stable across task retries). The bucket sizes (``n_buckets``
+    numbers) come back to the driver once and give both the offsets (a
+    bounded table, broadcast) and the total.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
@@ -142,13 +150,17 @@ def row_position(df: DataFrame, order_col: str, n_buckets: int | None = None,
              .withColumn("_local", F.monotonically_increasing_id()
                          - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
     local = local.checkpoint(eager=True)
-    sizes = local.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select("_bucket", F.coalesce(
-        F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_offset"))
-    return (local.join(F.broadcast(offsets), "_bucket")
-            .withColumn(pos_col, (F.col("_offset") + F.col("_local")).cast("bigint"))
-            .drop("_bucket", "_local", "_offset"))
+    sizes = sorted((r["_bucket"], r["_n"]) for r in
+                   local.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).collect())
+    offsets, total = [], 0
+    for bucket, n in sizes:
+        offsets.append((int(bucket), total))
+        total += int(n)
+    off = spark.createDataFrame(offsets or [(0, 0)], "_bucket int, _offset bigint")
+    positioned = (local.join(F.broadcast(off), "_bucket")
+                  .withColumn(pos_col, (F.col("_offset") + F.col("_local")).cast("bigint"))
+                  .drop("_bucket", "_local", "_offset"))
+    return positioned, total
 
 
 def contiguous_folds(df: DataFrame, order_col: str, n_folds: int = 10, fold_size: int | None = None,
@@ -160,8 +172,7 @@ def contiguous_folds(df: DataFrame, order_col: str, n_folds: int = 10, fold_size
     ``[i * size, (i + 1) * size)`` and the last fold the final ``size`` rows;
     rows in neither get a NULL fold (never held out).
     """
-    positioned = row_position(df, order_col, n_buckets)
-    n = positioned.count()
+    positioned, n = row_position_and_count(df, order_col, n_buckets)
     pos = F.col("pos")
     if fold_size is None:
         fold = F.floor(pos * F.lit(n_folds) / F.lit(n)).cast("int") if n else F.lit(None).cast("int")
