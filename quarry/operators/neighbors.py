@@ -3,7 +3,7 @@
 Plan (no cross join, no pair rows):
 
 1. One sizing job counts rows and id multiplicity per side, reading only
-   the id columns (the vector width comes from one row of each side).
+   the id columns (the vector width comes from one query row).
    Both sides are hashed into blocks of at most about ``block_rows`` rows
    (``xxhash64`` of the id, so blocks are balanced); query ids must be
    unique, and when copies of one train row would overfill a block a
@@ -172,12 +172,12 @@ def _side_stats(queries: DataFrame, train: DataFrame, qid: str, tid: str) -> dic
     return out
 
 
-def _vector_width(queries: DataFrame, train: DataFrame, qvec: str, tvec: str) -> int:
-    """Vector length from one row of each side (all vectors of a KNN input
-    have one length): a tiny job instead of another scan of the vectors."""
-    one = (queries.select(F.size(qvec).alias("d")).limit(1)
-           .unionByName(train.select(F.size(tvec).alias("d")).limit(1)))
-    return max([r["d"] or 0 for r in one.collect()] + [1])
+def _vector_width(queries: DataFrame, qvec: str) -> int:
+    """Vector length from one query row (distances need query and train
+    vectors of one length): ``first()`` takes rows incrementally from one
+    partition, so this is a tiny job, not another scan of the vectors."""
+    row = queries.select(F.size(qvec).alias("d")).where(F.col("d") >= 0).first()
+    return max(row["d"] if row else 0, 1)
 
 
 def block_rows_for(dim: int, side_bytes: int = 64 << 20, max_rows: int = 2048, min_rows: int = 64) -> int:
@@ -229,7 +229,7 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
     spark = queries.sparkSession
     known = n_query is not None and n_train is not None and block_rows is not None
     if block_rows is None:
-        block_rows = block_rows_for(_vector_width(queries, train, qvec, tvec))
+        block_rows = block_rows_for(_vector_width(queries, qvec))
     if check_ids or not known:
         stats = _side_stats(queries, train, qid, tid)
         if stats[0]["copies"] > 1:
