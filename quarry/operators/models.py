@@ -156,7 +156,10 @@ def row_position_and_count(df: DataFrame, order_col: str, n_buckets: int | None
     for bucket, n in sizes:
         offsets.append((int(bucket), total))
         total += int(n)
-    off = spark.createDataFrame(offsets or [(0, 0)], "_bucket int, _offset bigint")
+    # A literal table built on the JVM side (no Python rows to convert).
+    off = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(b).cast("int").alias("_bucket"), F.lit(o).cast("bigint").alias("_offset"))
+        for b, o in (offsets or [(0, 0)])])))
     positioned = (local.join(F.broadcast(off), "_bucket")
                   .withColumn(pos_col, (F.col("_offset") + F.col("_local")).cast("bigint"))
                   .drop("_bucket", "_local", "_offset"))
