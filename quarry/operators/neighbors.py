@@ -157,15 +157,20 @@ def _knn_block_fn(k: int, exclude: str | None, carry: tuple[str, ...] = ()):
     return fn
 
 
+def _id_counts(queries: DataFrame, train: DataFrame, qid: str, tid: str) -> DataFrame:
+    """``_side, n, copies`` per side, from the id columns only."""
+    tagged = (queries.select(F.lit(0).alias("_side"), F.col(qid).cast("bigint").alias("_id"))
+              .unionByName(train.select(F.lit(1).alias("_side"), F.col(tid).cast("bigint").alias("_id"))))
+    per_id = tagged.groupBy("_side", "_id").agg(F.count(F.lit(1)).alias("c"))
+    return per_id.groupBy("_side").agg(F.sum("c").alias("n"), F.max("c").alias("copies"))
+
+
 def _side_stats(queries: DataFrame, train: DataFrame, qid: str, tid: str) -> dict[int, dict[str, int]]:
     """Per side (0 = queries, 1 = train): row count and the largest number of
     rows sharing one id, in one job that reads only the id columns. Ids are
     counted per id first (partially aggregated, so a hot id costs nothing
     extra); a few scalars reach the driver."""
-    tagged = (queries.select(F.lit(0).alias("_side"), F.col(qid).cast("bigint").alias("_id"))
-              .unionByName(train.select(F.lit(1).alias("_side"), F.col(tid).cast("bigint").alias("_id"))))
-    per_id = tagged.groupBy("_side", "_id").agg(F.count(F.lit(1)).alias("c"))
-    rows = per_id.groupBy("_side").agg(F.sum("c").alias("n"), F.max("c").alias("copies")).collect()
+    rows = _id_counts(queries, train, qid, tid).collect()
     out = {0: {"n": 0, "copies": 0}, 1: {"n": 0, "copies": 0}}
     for r in rows:
         out[r["_side"]] = {"n": int(r["n"]), "copies": int(r["copies"])}

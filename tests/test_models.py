@@ -95,3 +95,9 @@ def test_pca_knn_matches_brute_force_on_projection(spark):
     got = {r.qid: r.predicted for r in catalog.q_knn_pca_classify(spark, SF001).collect()}
     agree = sum(got[k] == v for k, v in want.items())
     assert len(got) == 100 and agree >= 98  # projection rounding may flip a near tie
+
+
+def test_row_position_and_count_total(spark):
+    df = spark.range(0, 1000, 3).withColumnRenamed("id", "k")
+    pos, n = ml.row_position_and_count(df.repartition(4), "k", n_buckets=3)
+    assert n == 334 and sorted(r.pos for r in pos.collect()) == list(range(334))

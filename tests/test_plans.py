@@ -79,3 +79,12 @@ def test_bucketed_fact_tables_join_without_exchange(spark):
     assert "hashpartitioning(l_orderkey" not in plan and "hashpartitioning(o_orderkey" not in plan
     want = sorted(map(tuple, catalog.q_category_overlap(spark, SF001).collect()))
     assert sorted(map(tuple, result.collect())) == want
+
+
+def test_knn_sizing_job_reads_only_ids(spark):
+    from quarry.operators import neighbors as nn
+    from quarry.plans import fixtures as fx
+    q, t = fx.knn_sides(spark, SF001)
+    plan = _plan(nn._id_counts(q, t, "qid", "tid"))
+    schemas = [ln for ln in plan.splitlines() if "ReadSchema" in ln]
+    assert schemas and all(ln.strip() == "ReadSchema: struct<vec_id:bigint>" for ln in schemas)
