@@ -5,7 +5,7 @@
     python -m quarry growth   IN OUT [--threshold 1000]
     python -m quarry knn      TEST TRAIN OUT [--dim 10] [--k 5]
     python -m quarry classify TEST TRAIN OUT --model logistic|svm|bayes|mlp [--pca 200]
-    python -m quarry cv       TRAIN OUT [--folds 10] [--fold-size N] [--pca 200]
+    python -m quarry cv       TRAIN OUT [--folds 10] [--fold-size N] [--pca 200] [--layers 200,150,150,10]
 
 Metric tables are printed; everything else is written under OUT.
 """
@@ -48,6 +48,9 @@ def _parser() -> argparse.ArgumentParser:
     v.add_argument("--pca", type=int, default=200)
     v.add_argument("--features", type=int, default=None)
     v.add_argument("--label-first", action="store_true")
+    v.add_argument("--layers", default="200,150,150,10",
+                   help="MLP layer sizes; the first must equal the PCA size (or the feature count)")
+    v.add_argument("--max-iter", type=int, default=400)
     return p
 
 
@@ -69,8 +72,10 @@ def main(argv: list[str] | None = None) -> int:
         res["accuracy"].show()
         show_metrics(res["metrics"])
     elif a.job == "cv":
+        layers = [int(x) for x in a.layers.split(",")]
         res = jobs.cross_validation_job(spark, a.train, a.output, a.folds, a.fold_size, a.pca or None,
-                                        n_features=a.features, label_first=a.label_first)
+                                        layers=layers, max_iter=a.max_iter, n_features=a.features,
+                                        label_first=a.label_first)
         res["mean_accuracy"].show()
         show_metrics(res["metrics"])
     return 0

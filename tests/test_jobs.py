@@ -112,3 +112,13 @@ def test_command_line_knn_and_classify(spark, capsys):
     assert main(["classify", s_test, s_train, out2, "--model", "bayes", "--pca", "0", "--features", "64",
                  "--label-last"]) == 0
     assert "accuracy" in capsys.readouterr().out
+
+
+def test_command_line_cross_validation(spark, capsys):
+    from quarry.__main__ import main
+    _, train_path = _sample_files(spark, SF0001, separable=True, label_first=False)
+    out = scratch_path(spark, "cli-cv")
+    assert main(["cv", train_path, out, "--folds", "3", "--pca", "16", "--features", "64",
+                 "--layers", "16,12,10", "--max-iter", "40"]) == 0
+    assert spark.read.option("header", True).csv(f"{out}/predictions").count() == 400
+    assert "mean_accuracy" in capsys.readouterr().out
