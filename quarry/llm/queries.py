@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import packing, quality_rules, url_filter
+from quarry.llm import packing, quality_rules, substring_dedup, suffix_dedup, url_filter
 from quarry.llm import sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,3 +54,16 @@ def op9_packing(spark, sf_dir):
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                          "offset", "bucket")
+
+
+@register("op2_suffix_dedup")
+def op2_suffix_dedup(spark, sf_dir):
+    out = suffix_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op3_substring_dedup")
+def op3_substring_dedup(spark, sf_dir):
+    out = substring_dedup.remove_repeated_windows(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
