@@ -14,11 +14,17 @@ def space_words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+"))
 
 
+#: ASCII characters that are neither letters nor digits.
+MARKS = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
+
+
 def token_words(text: Column) -> Column:
     """Runs of ASCII letters (lower-cased), digits and non-ASCII characters; none for null."""
-    plain = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " ")
-    trimmed = F.btrim(F.translate(plain, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(" "))
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, " "))
+    text = F.coalesce(text, F.lit(""))
+    low = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(
+        F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    trimmed = F.btrim(low, F.lit(MARKS))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
 
 
 def gram_hashes(words: Column, k: int) -> Column:

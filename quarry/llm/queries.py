@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import packing, quality_rules, substring_dedup, suffix_dedup, url_filter
+from quarry.llm import decontaminate, packing, quality_rules, substring_dedup, suffix_dedup, url_filter
 from quarry.llm import sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,3 +67,12 @@ def op2_suffix_dedup(spark, sf_dir):
 def op3_substring_dedup(spark, sf_dir):
     out = substring_dedup.remove_repeated_windows(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@register("op5_decontamination", sql.DECONTAMINATION)
+def op5_decontamination(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, r: n + (r["end"] - r["start"]))
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))

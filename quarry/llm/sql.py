@@ -22,3 +22,26 @@ SELECT page_id, host, path, rule, CASE
   ELSE 'allow' END AS verdict
 FROM r
 """
+
+DECONTAMINATION = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS gram
+  FROM b, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS t(i) WHERE len(w) > 0
+), sizes AS (SELECT DISTINCT size FROM windows),
+grams AS (
+  SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS gram
+  FROM d, sizes, unnest(range(1, len(w) - size + 2)) AS t(i)
+), hits AS (SELECT doc_id, i, g.size, item_id FROM grams g JOIN windows x ON g.gram = x.gram AND g.size = x.size),
+words AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT DISTINCT doc_id, i, size FROM hits), unnest(range(i, i + size)) AS t(p) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS list
+          FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(items.n, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items.list, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words ON d.doc_id = words.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
+"""
