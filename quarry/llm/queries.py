@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, packing, quality_rules, substring_dedup, suffix_dedup, url_filter
+from quarry.llm import decontaminate, importance, license_scan, packing, quality_rules, substring_dedup, suffix_dedup, url_filter
 from quarry.llm import sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +76,14 @@ def op5_decontamination(spark, sf_dir):
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, r: n + (r["end"] - r["start"]))
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
+
+
+@register("op6_quality_classifier")
+def op6_quality_classifier(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op10_license_scan")
+def op10_license_scan(spark, sf_dir):
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "license", "template", "n_shingles", "n_found", "first_word")
