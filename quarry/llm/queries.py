@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, importance, license_scan, packing, quality_rules, substring_dedup, suffix_dedup, url_filter
+from quarry.llm import decontaminate, importance, license_scan, packing, quality_rules, substring_dedup, suffix_dedup, toxicity, url_filter
 from quarry.llm import sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +87,12 @@ def op6_quality_classifier(spark, sf_dir):
 def op10_license_scan(spark, sf_dir):
     found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "license", "template", "n_shingles", "n_found", "first_word")
+
+
+@register("op4_toxicity")
+def op4_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
