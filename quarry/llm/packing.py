@@ -9,7 +9,10 @@ Tokenizing and cutting need no shuffle; the work is one pass over the rows.
 
 from __future__ import annotations
 
+import os
+import unicodedata
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -20,21 +23,30 @@ from pyspark.sql import types as T
 from quarry.llm import kernels as kn
 
 #: Distinct chunks and ids a task remembers before it starts afresh.
-CACHE_CHUNKS, CACHE_IDS = 400_000, 4_000_000
+CACHE_CHUNKS, CACHE_IDS = 600_000, 6_000_000
+#: Marks that end a chunk without being part of a contraction, and what may stand before them.
+MARKS = b".,;:!?"
+CLOSED = frozenset(bytes([c]) for c in b"abcdefghijklmnopqrstuvwxyz0123456789")
 
 
 class ChunkEncoder:
     """Ids of texts by way of their space-separated chunks.
 
-    The tokenizer drops white space and its pre-tokens never hold any, so the
-    ids of a text are those of its chunks in turn; each distinct chunk is
-    encoded once while it is remembered.
+    The tokenizer lower-cases, drops white space, and its pre-tokens never hold
+    any, so the ids of a text are those of its chunks in turn; each distinct
+    chunk is encoded once while it is remembered. Chunks of plain letters are
+    one pre-token each; they are encoded together and told apart by the ids
+    that end a word.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        words = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(words.values()) + 1, dtype=bool)
+        self.ends_word[[i for w, i in words.items() if w.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
@@ -43,20 +55,47 @@ class ChunkEncoder:
         self.ends = np.zeros(1 << 14, dtype=np.int64)
         self.used = 0
 
-    def _learn(self, chunks: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch([c.decode("utf-8", "replace") for c in chunks], add_special_tokens=False)
-        ids = [np.array(x.ids, dtype=np.uint32) for x in found]
-        new = np.concatenate(ids)
-        while self.used + len(new) > len(self.flat):
+    def _store(self, chunks: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used: self.used + len(new)] = new
+        self.flat[self.used: self.used + len(ids)] = ids
         first = len(self.codes)
         while first + len(chunks) + 1 > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.ends[first + 1: first + len(chunks) + 1] = self.used + np.cumsum([len(x) for x in ids])
-        self.used += len(new)
+        self.ends[first + 1: first + len(chunks) + 1] = self.used + np.cumsum(sizes)
+        self.used += len(ids)
         self.codes.update(zip(chunks, range(first, first + len(chunks))))
 
+    def _learn(self, chunks: list[bytes]) -> None:
+        plain, other = [], []
+        for c in chunks:
+            (plain if c.islower() and c.isalpha() or is_plain(c) else other).append(c)
+        if plain:
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(plain).decode()], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            last = np.flatnonzero(self.ends_word[ids])
+            if len(last) == len(plain) and last[-1] == len(ids) - 1:
+                self._store(plain, ids, np.diff(last, prepend=-1))
+            else:
+                other += plain
+        if other:
+            texts = [c.decode("utf-8", "replace") for c in other]
+            found = [np.array(x.ids, dtype=np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            self._store(other, np.concatenate(found), np.array([len(x) for x in found]))
+
+    def _learn_marked(self, chunks: list[bytes]) -> None:
+        """Chunks of a letter or digit and closing marks behind it: two pre-token runs."""
+        parts = [p for c in chunks for p in (c[: len(c.rstrip(MARKS))], c[len(c.rstrip(MARKS)):])]
+        if missing := {p for p in parts if p not in self.codes}:
+            self._learn(list(missing))
+        ids, off = self._ids(np.array([self.codes[p] for p in parts]))
+        self._store(chunks, ids, np.diff(off[::2]))
+
+    def _ids(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        begin = self.ends[codes]
+        length = self.ends[codes + 1] - begin
+        upto = np.concatenate([[0], np.cumsum(length)])
+        return self.flat[np.repeat(begin - upto[:-1], length) + np.arange(upto[-1])], upto
+
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the offsets of the texts."""
         if len(self.codes) > CACHE_CHUNKS or self.used > CACHE_IDS:
@@ -64,18 +103,28 @@ class ChunkEncoder:
         chunks: list[bytes] = []
         sizes = []
         for text in texts:
-            own = text.split()  # bytes split at ASCII white space only
+            own = (text if b"<|" in text else text.lower()).split()  # bytes: ASCII letters and ASCII white space only
             chunks += own
             sizes.append(len(own))
-        if missing := [c for c in set(chunks) if c not in self.codes]:
-            self._learn(missing)
-        codes = np.fromiter(map(self.codes.__getitem__, chunks), dtype=np.int64, count=len(chunks))
-        begin, length = self.ends[codes], self.ends[codes + 1] - self.ends[codes]
-        upto = np.concatenate([[0], np.cumsum(length)])
-        ids = self.flat[np.repeat(begin - upto[:-1], length) + np.arange(upto[-1])]
+        codes = np.fromiter(map(self.codes.get, chunks, repeat(-1)), dtype=np.int64, count=len(chunks))
+        if len(unknown := np.flatnonzero(codes < 0).tolist()):
+            missing = {chunks[i] for i in unknown}
+            marked = [c for c in missing if len(body := c.rstrip(MARKS)) < len(c) and body[-1:] in CLOSED]
+            if rest := list(missing.difference(marked)):
+                self._learn(rest)
+            if marked := [c for c in marked if c not in self.codes]:
+                self._learn_marked(marked)
+            codes[unknown] = [self.codes[chunks[i]] for i in unknown]
+        ids, upto = self._ids(codes)
         return ids, upto[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])]
 
 
+def is_plain(chunk: bytes) -> bool:
+    """Lower-case letters of Latin blocks, composed: surely one pre-token."""
+    text = chunk.decode("utf-8", "replace")
+    return text.isalpha() and max(text) < "\u0250" and text == text.lower() and unicodedata.is_normalized("NFC", text)
+
+
 def piece_lengths(n: int, most: int) -> list[int]:
     """Full sequences, then the binary digits of the rest from the largest."""
     out = [most] * (n // most)
