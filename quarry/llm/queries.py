@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, importance, license_scan, packing, quality_rules, substring_dedup, suffix_dedup, toxicity, url_filter
+from quarry.llm import decontaminate, importance, jaccard_join, license_scan, packing, quality_rules, substring_dedup, suffix_dedup, toxicity, url_filter
 from quarry.llm import sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +96,8 @@ def op4_toxicity(spark, sf_dir):
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
     scored = toxicity.score_toxicity(docs, model)
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op7_jaccard_join")
+def op7_jaccard_join(spark, sf_dir):
+    return jaccard_join.similarity_classes(table(spark, sf_dir, "documents"))
