@@ -10,7 +10,6 @@ operators  DataFrame -> DataFrame operators (observation analytics, exact
            KNN, MLlib classifiers and folds, evaluation)
 plans      driver-table fixtures and the registered queries with their SQL
            equivalents
-streaming  (no streaming operators: every job is batch)
 """
 
 __version__ = "0.1.0"

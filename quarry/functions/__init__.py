@@ -1,4 +0,0 @@
-"""Column expressions."""
-from quarry.functions.scalars import (date_key, format_pct, growth_line, growth_pct,  # noqa: F401
-                                      is_well_formed_date, overlap_line, parse_long, squared_distance,
-                                      to_int, trunc_long)

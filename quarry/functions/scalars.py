@@ -26,18 +26,24 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _date_pieces(text: Column | str) -> Column:
+    """Dot-separated pieces; empty ones at the end do not count."""
+    return F.split(F.regexp_replace(_c(text), r"\.+\z", ""), r"\.", -1)
+
+
 def date_key(text: Column | str) -> Column:
     """``yy.dd.MM`` text -> int ``yyMMdd`` for ordering; NULL unless the text
-    has exactly three dot-separated numeric pieces."""
-    parts = F.split(_c(text), r"\.", -1)
+    is well formed and its pieces together are a number. An empty piece before
+    the last adds no digits (``17..11`` -> 1711)."""
+    parts = _date_pieces(text)
     key = F.concat(F.get(parts, 0), F.get(parts, 2), F.get(parts, 1))
-    return F.when(F.size(parts) == 3, parse_long(key).try_cast("int"))
+    return F.when(is_well_formed_date(text), parse_long(key).try_cast("int"))
 
 
 def is_well_formed_date(text: Column | str) -> Column:
     """True when the date text has exactly three dot pieces (rows failing this
     are skipped by the growth job)."""
-    return F.size(F.split(_c(text), r"\.", -1)) == 3
+    return F.size(_date_pieces(text)) == 3
 
 
 def parse_long(text: Column | str) -> Column:

@@ -39,6 +39,13 @@ def accuracy(pred: DataFrame, actual: str = "actual", predicted: str = "predicte
         "n", "errors", F.try_divide(num.cast("double"), denom).alias("accuracy"))
 
 
+def accuracy_from_matrix(matrix: DataFrame) -> DataFrame:
+    """``n, errors, accuracy`` of the predictions that a long-form matrix counts."""
+    wrong = F.sum(F.when(F.col("predicted").eqNullSafe(F.col("actual")), 0).otherwise(F.col("n")))
+    return matrix.agg(F.sum("n").cast("bigint").alias("n"), wrong.cast("bigint").alias("errors")).select(
+        "n", "errors", F.try_divide((F.col("n") - F.col("errors")).cast("double"), F.col("n").cast("double")).alias("accuracy"))
+
+
 def _class_grid(spark: SparkSession, n_classes: int) -> DataFrame:
     """All (predicted, actual) cells of an n x n matrix with count 0, without a
     cross join (``n_classes ** 2`` rows)."""
@@ -59,13 +66,31 @@ def confusion_matrix(pred: DataFrame, n_classes: int = 10, actual: str = "actual
     return counts.unionByName(grid).groupBy("predicted", "actual").agg(F.sum("n").cast("bigint").alias("n"))
 
 
-def confusion_wide(matrix: DataFrame, n_classes: int = 10, prefix: str = "actual_") -> DataFrame:
+#: More distinct labels than this are no classes; a matrix of them is refused.
+MAX_CLASSES = 10_000
+
+
+def class_labels(matrix: DataFrame, n_classes: int = 10) -> list[int | None]:
+    """All labels of a matrix in order: ``0..n_classes-1`` and every other label
+    that occurs as predicted or actual, NULL last. One row per label reaches
+    the driver, at most ``MAX_CLASSES``."""
+    labels = matrix.select(F.explode(F.array("predicted", "actual")).alias("l")).distinct()
+    found = {r["l"] for r in labels.limit(MAX_CLASSES + 1).collect()} | set(range(n_classes))
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"over {MAX_CLASSES} distinct labels: these are no classes")
+    return sorted(found - {None}) + ([None] if None in found else [])
+
+
+def confusion_wide(matrix: DataFrame, n_classes: int = 10, prefix: str = "actual_",
+                   labels: list[int | None] | None = None) -> DataFrame:
     """Wide form: one row per predicted class, one count column per actual
-    class (``actual_0 ..``)."""
-    wide = (matrix.groupBy("predicted").pivot("actual", list(range(n_classes)))
-            .agg(F.sum("n")).na.fill(0))
-    return wide.select("predicted", *[F.col(str(j)).cast("bigint").alias(f"{prefix}{j}")
-                                      for j in range(n_classes)])
+    class (``actual_0 ..``, ``actual_null`` for a missing label). The classes
+    come from the data (``class_labels``) unless they are given, so no
+    prediction is left out: all cells sum up to the matrix."""
+    labels = class_labels(matrix, n_classes) if labels is None else labels
+    cells = [F.sum(F.when(F.col("actual").eqNullSafe(F.lit(j)), F.col("n")).otherwise(0)).cast("bigint")
+             .alias(f"{prefix}{'null' if j is None else j}") for j in labels]
+    return matrix.groupBy("predicted").agg(*cells)
 
 
 def merge_confusion(matrices: DataFrame | list[DataFrame]) -> DataFrame:
@@ -99,23 +124,8 @@ def mean_fold_accuracy(pred: DataFrame, fold: str = "fold", actual: str = "actua
 def class_counts(pred: DataFrame, n_classes: int = 10, actual: str = "actual",
                  predicted: str = "predicted") -> DataFrame:
     """Per class: ``tp``, ``n_actual`` (column sum), ``n_pred`` (row sum), and
-    ``total`` (all predictions). Each prediction contributes one row to its
-    actual class and one to its predicted class."""
-    a = F.col(actual).cast("int")
-    p = F.col(predicted).cast("int")
-    both = F.explode(F.array(
-        F.struct(a.alias("label"), F.lit(1).alias("is_a"), F.lit(0).alias("is_p"),
-                 (a == p).cast("int").alias("tp")),
-        F.struct(p.alias("label"), F.lit(0).alias("is_a"), F.lit(1).alias("is_p"), F.lit(0).alias("tp"))))
-    rows = pred.select(both.alias("r")).select("r.*")
-    zeros = pred.sparkSession.range(n_classes).select(F.col("id").cast("int").alias("label"),
-                                                      F.lit(0).alias("is_a"), F.lit(0).alias("is_p"),
-                                                      F.lit(0).alias("tp"))
-    per = rows.unionByName(zeros).groupBy("label").agg(
-        F.sum("tp").cast("bigint").alias("tp"), F.sum("is_a").cast("bigint").alias("n_actual"),
-        F.sum("is_p").cast("bigint").alias("n_pred"))
-    # The per-class table has one row per class: a window over all of it is bounded.
-    return per.withColumn("total", F.sum("n_actual").over(Window.partitionBy()))
+    ``total`` (all predictions), from the matrix of the predictions."""
+    return class_counts_from_matrix(confusion_matrix(pred, n_classes, actual, predicted))
 
 
 def class_counts_from_matrix(matrix: DataFrame) -> DataFrame:
@@ -172,6 +182,6 @@ def metrics_from_matrix(matrix: DataFrame, compat: bool = False, digits: int = 3
     return metrics_from_counts(class_counts_from_matrix(matrix), compat, digits)
 
 
-def show_metrics(metrics: DataFrame, n: int = 100) -> None:
-    """Print the metric table."""
-    metrics.orderBy("label").show(n, truncate=False)
+def show_metrics(metrics: DataFrame) -> None:
+    """Print the metric table: one row per class, all of them."""
+    metrics.orderBy("label").show(max(1, metrics.count()), truncate=False)

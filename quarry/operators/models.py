@@ -1,14 +1,14 @@
 """MLlib classifiers, PCA, contiguous folds and cross-validation.
 
 Training is MLlib's distributed optimisation (tree-aggregated gradients);
-predictions are plain DataFrame columns. The only driver-side loop is over
-folds in ``cross_validate``: each fold is a separate distributed fit, as in
-any k-fold scheme.
+predictions are plain DataFrame columns. ``cross_validate`` starts one
+distributed fit per fold, a few at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Estimator
 from pyspark.ml.classification import (LinearSVC, LogisticRegression, MultilayerPerceptronClassifier,
@@ -23,13 +23,14 @@ from quarry.session import checkpoint_dir, default_parallelism
 
 
 def assemble_features(df: DataFrame, inputs: Sequence[str] | str, output: str = "features",
-                      keep: Sequence[str] = ()) -> DataFrame:
+                      keep: Sequence[str] = (), invalid: str = "error") -> DataFrame:
     """Column slice -> one MLlib vector. A single ``array`` column is converted
     with ``array_to_vector``; several numeric columns go through
-    ``VectorAssembler``."""
+    ``VectorAssembler``, where ``invalid`` says what a missing value does
+    (``error``, ``skip`` or ``keep`` as NaN)."""
     if isinstance(inputs, str):
         return df.select(*keep, array_to_vector(F.col(inputs)).alias(output))
-    assembler = VectorAssembler(inputCols=list(inputs), outputCol=output, handleInvalid="keep")
+    assembler = VectorAssembler(inputCols=list(inputs), outputCol=output, handleInvalid=invalid)
     return assembler.transform(df).select(*keep, output)
 
 
@@ -103,10 +104,11 @@ def classify(estimator: Estimator, train: DataFrame, test: DataFrame, pca_k: int
 
 def pca_knn_classify(train: DataFrame, test: DataFrame, dim: int = 10, k: int = 5, *, tid: str = "tid",
                      tlabel: str = "tlabel", tvec: str = "tvec", qid: str = "qid", qlabel: str = "qlabel",
-                     qvec: str = "qvec", block_rows: int | None = None) -> DataFrame:
+                     qvec: str = "qvec", block_rows: int | None = None, **sizes) -> DataFrame:
     """The full KNN classifier: PCA to ``dim`` fitted on the train side, both
     sides projected, then exact KNN with ``k`` neighbours and a majority vote.
-    Inputs hold ``array`` vectors; output ``qid, actual, predicted, votes``."""
+    Inputs hold ``array`` vectors; output ``qid, actual, predicted, votes``.
+    ``sizes`` (``n_query, n_train, check_ids``) go to ``knn_candidates``."""
     tv = assemble_features(train, tvec, "_features", keep=[tid, tlabel])
     qv = assemble_features(test, qvec, "_features", keep=[qid, qlabel])
     model = fit_pca(tv, dim, "_features", "_pca")
@@ -114,7 +116,7 @@ def pca_knn_classify(train: DataFrame, test: DataFrame, dim: int = 10, k: int =
                                     vector_as_array("_pca").alias("tvec"))
     qp = model.transform(qv).select(F.col(qid).alias("qid"), F.col(qlabel).alias("qlabel"),
                                     vector_as_array("_pca").alias("qvec"))
-    return knn_classify(qp, tp, k, block_rows=block_rows)
+    return knn_classify(qp, tp, k, block_rows=block_rows, **sizes)
 
 
 def row_position(df: DataFrame, order_col: str, n_buckets: int | None = None,
@@ -188,16 +190,18 @@ def contiguous_folds(df: DataFrame, order_col: str, n_folds: int = 10, fold_size
 
 def cross_validate(df: DataFrame, make_estimator: Callable[[], Estimator], n_folds: int,
                    fold_col: str = "fold", pca_k: int | None = None, features: str = "features",
-                   label: str = "label", keep: Sequence[str] = ()) -> DataFrame:
+                   label: str = "label", keep: Sequence[str] = (), parallelism: int = 4) -> DataFrame:
     """For each fold: fit (PCA +) classifier on the other folds, predict the
-    held-out fold. Returns all held-out predictions with their fold:
-    ``fold, *keep, actual, predicted``."""
-    parts = []
-    for i in range(n_folds):
+    held-out fold; ``parallelism`` folds are fitted at a time. Returns all
+    held-out predictions with their fold: ``fold, *keep, actual, predicted``."""
+    def one(i: int) -> DataFrame:
         held = df.where(F.col(fold_col) == i)
         rest = df.where(F.col(fold_col).isNull() | (F.col(fold_col) != i))
         pred = classify(make_estimator(), rest, held, pca_k, features, label, keep)
-        parts.append(pred.withColumn(fold_col, F.lit(i)))
+        return pred.withColumn(fold_col, F.lit(i))
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_folds))) as pool:
+        parts = list(pool.map(one, range(n_folds)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

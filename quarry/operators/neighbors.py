@@ -88,45 +88,62 @@ def block_distances(q: np.ndarray, t: np.ndarray) -> np.ndarray:
     return acc
 
 
-def block_top_k(q: np.ndarray, t: np.ndarray, tids: np.ndarray, k: int,
-                blocked: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+#: Entries of a strip's distance matrix (8 MB of doubles).
+STRIP_CELLS = 1 << 20
+
+
+def block_top_k(q: np.ndarray, t: np.ndarray, tids: np.ndarray, k: int, qx: np.ndarray | None = None,
+                tx: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """Exact ``k`` nearest train rows of every query row of one block pair.
 
-    Candidates are found with one matrix product (``|q|^2 + |t|^2 - 2 q.t``);
-    every train row whose approximate distance is within a rounding margin of
-    the k-th smallest is kept, so no true neighbour can be missed. Only the
-    candidates get exact distances (direct differences summed left to right,
-    bit-equal to ``block_distances``) and are ordered by (distance, train id).
+    Works in strips of queries, so that memory is a few arrays of
+    ``STRIP_CELLS`` numbers besides the vectors, also where all distances are
+    equal. In a strip, candidates are found with one matrix product on vectors
+    centred at the train mean (``|q|^2 + |t|^2 - 2 q.t``); every train row
+    whose approximate distance is within a rounding margin of the k-th
+    smallest is kept, so no true neighbour can be missed. Only the candidates
+    get exact distances (direct differences summed left to right, one
+    dimension at a time, bit-equal to ``block_distances``) and are ordered by
+    (distance, train id).
 
     Returns row index, column index, exact distance and rank (1-based) of the
-    selected pairs, grouped by row. Pairs flagged in ``blocked`` are skipped.
+    selected pairs, grouped by row. Pairs with equal ``qx`` and ``tx`` are skipped.
     """
     n_q, n_t = q.shape[0], t.shape[0]
     kk = min(k, n_t)
+    e = np.zeros(0, dtype=np.int64)
     if n_q == 0 or kk == 0:
-        e = np.zeros(0, dtype=np.int64)
         return e, e, np.zeros(0), e
-    qn = np.einsum("ij,ij->i", q, q)
-    tn = np.einsum("ij,ij->i", t, t)
-    approx = qn[:, None] + tn[None, :] - 2.0 * (q @ t.T)
-    if blocked is not None:
-        approx[blocked] = np.inf
-    part = np.argpartition(approx, kk - 1, axis=1)[:, :kk]
-    kth = np.take_along_axis(approx, part, axis=1).max(axis=1)
-    # Rounding of the product form is below dim * eps * (|q|^2 + |t|^2); the
-    # margin is many orders above that.
-    margin = max(1e-9, 64.0 * q.shape[1] * np.finfo(np.float64).eps) * (qn + tn.max()) + 1e-300
-    rows, cols = np.nonzero((approx <= (kth + margin)[:, None]) & np.isfinite(approx))
-    qr, tc = q[rows], t[cols]
-    dist = np.zeros(len(rows))
-    for j in range(q.shape[1]):
-        d = qr[:, j] - tc[:, j]
-        dist += d * d
-    order = np.lexsort((tids[cols], dist, rows))
-    rows, cols, dist = rows[order], cols[order], dist[order]
-    rank = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") + 1
-    keep = rank <= kk
-    return rows[keep], cols[keep], dist[keep], rank[keep]
+    centre = t.mean(axis=0)
+    tc = t - centre
+    tn = np.einsum("ij,ij->i", tc, tc)
+    far = float(np.abs(t).max(initial=0.0))
+    eps, dim = np.finfo(np.float64).eps, q.shape[1]
+    step = max(1, STRIP_CELLS // n_t)
+    found = []
+    for at in range(0, n_q, step):
+        own = q[at: at + step]
+        qc = own - centre
+        qn = np.einsum("ij,ij->i", qc, qc)
+        approx = qn[:, None] + tn[None, :] - 2.0 * (qc @ tc.T)
+        if qx is not None:
+            approx[qx[at: at + step, None] == tx[None, :]] = np.inf
+        kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1]
+        # Rounding of the product form is below dim * eps * (|q|^2 + |t|^2), that of the centring
+        # below dim * eps * (largest entry) * distance; the margin is many orders above both.
+        spread = np.maximum(far, np.abs(own).max(axis=1, initial=0.0))
+        margin = max(1e-9, 64.0 * dim * eps) * (qn + tn.max()) + 64.0 * dim * eps * spread * np.sqrt(qn + tn.max()) + (64.0 * dim * eps * spread) ** 2 + 1e-300
+        rows, cols = np.nonzero((approx <= (kth + margin)[:, None]) & np.isfinite(approx))
+        dist = np.zeros(len(rows))
+        for j in range(dim):
+            d = own[rows, j] - t[cols, j]
+            dist += d * d
+        order = np.lexsort((tids[cols], dist, rows))
+        rows, cols, dist = rows[order], cols[order], dist[order]
+        rank = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") + 1
+        keep = rank <= kk
+        found.append((rows[keep] + at, cols[keep], dist[keep], rank[keep]))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _knn_block_fn(k: int, exclude: str | None, carry: tuple[str, ...] = ()):
@@ -138,11 +155,9 @@ def _knn_block_fn(k: int, exclude: str | None, carry: tuple[str, ...] = ()):
             return empty
         q = _stack(qdf["_qv"])
         t = _stack(tdf["_tv"])
-        blocked = None
-        if exclude is not None:
-            blocked = qdf["_qx"].to_numpy()[:, None] == tdf["_tx"].to_numpy()[None, :]
         tids = tdf["_tid"].to_numpy(dtype=np.int64)
-        rows, cols, dist, rank = block_top_k(q, t, tids, k, blocked)
+        sides = () if exclude is None else (qdf["_qx"].to_numpy(), tdf["_tx"].to_numpy())
+        rows, cols, dist, rank = block_top_k(q, t, tids, k, *sides)
         out = pd.DataFrame({
             "qid": qdf["_qid"].to_numpy(dtype=np.int64)[rows],
             "qlabel": qdf["_qlabel"].to_numpy()[rows],
@@ -185,11 +200,16 @@ def _vector_width(queries: DataFrame, qvec: str) -> int:
     return max(row["d"] if row else 0, 1)
 
 
-def block_rows_for(dim: int, side_bytes: int = 64 << 20, max_rows: int = 2048, min_rows: int = 64) -> int:
+def block_rows_for(dim: int, side_bytes: int = 64 << 20, min_rows: int = 64) -> int:
     """Rows per block so one side of a block stays near ``side_bytes`` as
-    doubles; at most ``max_rows`` (the block distance matrix is
-    ``max_rows ** 2`` doubles, 32 MB at 2048)."""
-    return int(max(min_rows, min(max_rows, side_bytes // (8 * max(1, dim)))))
+    doubles. The distances of a block pair are computed in strips, so their
+    number sets no further bound."""
+    return int(max(min_rows, side_bytes // (8 * max(1, dim))))
+
+
+def _finite(vector: str) -> Column:
+    """True for a vector without missing, NaN or infinite entries."""
+    return F.coalesce(F.forall(vector, lambda x: x.isNotNull() & (F.abs(x.cast("double")) < F.lit(float("inf")))), F.lit(False))
 
 
 def block_counts(n_query: int, n_train: int, block_rows: int, min_groups: int = 1,
@@ -216,7 +236,10 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
     """The ``k`` nearest train rows of every query row, with ranks.
 
     ``exclude`` names a column present on both sides: pairs with equal values
-    are never neighbours (e.g. a fold id, for held-out-fold prediction).
+    are never neighbours (e.g. a fold id, for held-out-fold prediction), and
+    NULL equals NULL there.
+    A train vector with a missing, NaN or infinite entry is nobody's
+    neighbour; a query vector with one stops the job with its id.
     ``carry`` lists query-side columns copied onto each of the query's
     candidate rows (no join back needed).
     One sizing job counts the rows and id multiplicities of both sides:
@@ -224,10 +247,10 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
     blocks by a checkpointed salt when they would overfill one). A caller
     that knows both sizes and that ids are unique can pass ``n_query``,
     ``n_train``, ``block_rows`` and ``check_ids=False`` to skip that job.
-    ``block_rows`` defaults to ``block_rows_for(dim)`` (2048 rows up to 4096
-    dimensions, fewer for wider vectors).
+    ``block_rows`` defaults to ``block_rows_for(dim)`` (64 MB of doubles).
 
-    Output: ``qid, qlabel, tid, tlabel, dist, rank`` (rank 1 = nearest).
+    Output: ``qid, qlabel, tid, tlabel, dist, rank`` (rank 1 = nearest) and
+    the ``carry`` columns, in this order for any number of blocks.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
@@ -256,15 +279,17 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
     q = queries.select(
         F.col(qid).cast("bigint").alias("_qid"),
         (F.col(qlabel).cast("int") if qlabel else F.lit(None).cast("int")).alias("_qlabel"),
-        F.col(qvec).alias("_qv"),
-        *([F.col(exclude).alias("_qx")] if exclude else []),
+        F.when(_finite(qvec), F.col(qvec)).otherwise(
+            F.raise_error(F.concat(F.lit("query vector is not finite: "), F.coalesce(F.col(qid).cast("string"), F.lit("NULL"))))
+            .cast(queries.schema[qvec].dataType)).alias("_qv"),
+        *([F.xxhash64(exclude).alias("_qx")] if exclude else []),
         *[F.col(c).alias(f"_c_{c}") for c in carry],
         F.pmod(F.xxhash64(F.col(qid)), F.lit(n_qb)).cast("int").alias("_qb"))
-    t = train.select(
+    t = train.where(_finite(tvec)).select(
         F.col(tid).cast("bigint").alias("_tid"),
         F.col(tlabel).cast("int").alias("_tlabel"),
         F.col(tvec).alias("_tv"),
-        *([F.col(exclude).alias("_tx")] if exclude else []),
+        *([F.xxhash64(exclude).alias("_tx")] if exclude else []),
         F.pmod(F.xxhash64(F.col(tid), *([F.col("_salt")] if salted else [])), F.lit(n_tb)).cast("int")
         .alias("_tb"))
     q_rep = q.withColumn("_tb", F.explode(F.sequence(F.lit(0), F.lit(n_tb - 1)))) if n_tb > 1 \
@@ -277,9 +302,9 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
     cand = (q_rep.groupBy("_qb", "_tb")
             .cogroup(t_rep.groupBy("_qb", "_tb"))
             .applyInPandas(_knn_block_fn(k, exclude, tuple(carry)), schema))
-    if n_tb == 1:
-        return cand
-    return top_k_per_key(cand.drop("rank"), "qid", [F.col("dist"), F.col("tid")], k, "rank")
+    if n_tb > 1:
+        cand = top_k_per_key(cand.drop("rank"), "qid", [F.col("dist"), F.col("tid")], k, "rank")
+    return cand.select([f.name for f in schema.fields])
 
 
 def top_k_per_key(df: DataFrame, key: str, order: list[Column | str], k: int,

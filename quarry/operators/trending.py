@@ -86,18 +86,21 @@ def growth_first_two(obs: DataFrame, keys: Sequence[str] = ("market", "item_id")
     left; a key with fewer than two valid rows gets 0. ``zero_base`` handles a
     zero first value (see ``growth_pct``).
 
-    Output: ``*keys, n_valid bigint, early, late, pct double``.
+    Rows of one date are ordered by ``tiebreak``, NULL last. ``n_used`` counts
+    the valid rows among the two earliest.
+
+    Output: ``*keys, n_used bigint, early, late, pct double``.
     """
     order = [F.col(date).asc_nulls_last()]
     if tiebreak:
-        order.append(F.col(tiebreak).asc())
+        order.append(F.col(tiebreak).asc_nulls_last())
     valid = F.col(date).isNotNull()
     ranked = first_n_by_date(obs, keys, order, 2, "_rn")
     per_key = ranked.groupBy(*keys).agg(
-        F.count(F.when(valid, 1)).alias("n_valid"),
+        F.count(F.when(valid, 1)).alias("n_used"),
         F.max(F.when(valid & (F.col("_rn") == 1), F.col(views))).alias("early"),
         F.max(F.when(valid & (F.col("_rn") == 2), F.col(views))).alias("late"))
-    pct = F.when(F.col("n_valid") < 2, F.lit(0.0)).otherwise(growth_pct("early", "late", zero_base))
+    pct = F.when(F.col("n_used") < 2, F.lit(0.0)).otherwise(growth_pct("early", "late", zero_base))
     return per_key.withColumn("pct", pct)
 
 

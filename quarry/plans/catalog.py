@@ -14,12 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.scalars import date_key, parse_long, squared_distance
+from quarry.functions.scalars import date_key, parse_long, squared_distance, to_int
 from quarry.operators import evaluation as ev
 from quarry.operators import models as ml
 from quarry.operators import neighbors as nn
 from quarry.operators import trending as tr
 from quarry.plans import fixtures as fx
+from quarry.plans import jobs
 from quarry.plans import oracle as sql
 from quarry.session import scratch_path
 from quarry.sources import csv as csvio
@@ -58,7 +59,7 @@ def _growth(spark, sf_dir):
 
 @register("growth_first_two", sql.GROWTH_FIRST_TWO)
 def q_growth_first_two(spark, sf_dir):
-    return _growth(spark, sf_dir).select("market", "item_id", "n_valid", "early", "late", "pct")
+    return _growth(spark, sf_dir).select("market", "item_id", "n_used", "early", "late", "pct")
 
 
 @register("growth_over_1000", sql.GROWTH_OVER_1000)
@@ -72,18 +73,13 @@ def q_date_key(spark, sf_dir):
     return d.select("event_id", "obs_date", date_key("obs_date").alias("date_key"))
 
 
-def _split_query(method):
-    def q(spark, sf_dir):
-        lines = fx.quoted_lines(spark, sf_dir)
-        fields = textio.split_quoted("line", method)
-        return lines.select("event_id", F.size(fields).cast("int").alias("n_fields"),
-                            F.get(fields, 0).alias("f0"), F.get(fields, 1).alias("f1"),
-                            F.get(fields, 2).alias("f2"))
-    return q
-
-
-register("split_quoted", sql.SPLIT_QUOTED)(_split_query("scan"))
-register("split_quoted_lookahead", sql.SPLIT_QUOTED)(_split_query("lookahead"))
+@register("split_quoted", sql.SPLIT_QUOTED)
+def q_split_quoted(spark, sf_dir):
+    lines = fx.quoted_lines(spark, sf_dir)
+    fields = textio.split_quoted("line")
+    return lines.select("event_id", F.size(fields).cast("int").alias("n_fields"),
+                        F.get(fields, 0).alias("f0"), F.get(fields, 1).alias("f1"),
+                        F.get(fields, 2).alias("f2"))
 
 
 @register("parse_long", sql.PARSE_LONG)
@@ -167,8 +163,8 @@ def q_multiline_observations(spark, sf_dir):
     textio.write_observations(docs, {"item_id": F.col("doc_id"), "obs_date": F.lit("01.01.01"), 2: F.col("text"),
                             "category": F.col("lang"), "views": F.col("n_chars"), "market": F.col("source")},
                      path)
-    obs = textio.read_observations(spark, path, multiline=True)
-    return obs.select("item_id", "category", "views", "market")
+    obs = textio.read_observations(spark, path, multiline=True, more={"body": 2})
+    return obs.select("item_id", "category", "views", "market", "body")
 
 
 # --------------------------------------------------------------- projections
@@ -176,32 +172,38 @@ def q_multiline_observations(spark, sf_dir):
 @register("project_cast", sql.PROJECT_CAST)
 def q_project_cast(spark, sf_dir):
     e = fx.table(spark, sf_dir, "embeddings")
-    return e.selectExpr("vec_id AS id", "label AS label_test", "CAST(label AS DOUBLE) AS prediction",
-                        "CAST(CAST(label AS DOUBLE) AS INT) AS prediction_int")
+    score = F.col("label").cast("double")
+    return e.select(F.col("vec_id").alias("id"), F.col("label").alias("label_test"), score.alias("prediction"),
+                    to_int(score).alias("prediction_int"))
 
 
 @register("row_id", sql.ROW_ID)
 def q_row_id(spark, sf_dir):
-    e = fx.table(spark, sf_dir, "embeddings").withColumn("row_id", F.monotonically_increasing_id())
-    return e.agg(F.count(F.lit(1)).cast("bigint").alias("n"),
-                 F.count_distinct("row_id").cast("bigint").alias("n_distinct"))
+    """Row ids that the sample reader of the jobs gives to a written table."""
+    path = scratch_path(spark, "row-id")
+    e = fx.embeddings(spark, sf_dir)
+    csvio.write_labelled_csv(e, "label", "vec", path, n_features=64)
+    rows = jobs.read_samples(spark, path, 64, True, "row_id")
+    return rows.agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                    F.count_distinct("row_id").cast("bigint").alias("n_distinct"))
 
 
 @register("assemble_features", sql.ASSEMBLE_FEATURES)
 def q_assemble_features(spark, sf_dir):
+    """All values of the assembled vectors, one row each."""
     e = fx.table(spark, sf_dir, "embeddings")
     v = ml.assemble_features(e, "embedding", "features", keep=["vec_id"])
-    arr = ml.vector_as_array("features")
-    return v.select("vec_id", F.size(arr).cast("int").alias("dim"), arr[0].alias("f0"))
+    return v.select("vec_id", F.posexplode(ml.vector_as_array("features")).alias("i", "value"))
 
 
-@register("pca_project")
+@register("pca_project", sql.PCA_PROJECT)
 def q_pca_project(spark, sf_dir):
+    """Projection of both sides at full dimension, which keeps squared norms."""
     e = fx.embeddings(spark, sf_dir)
-    vec = ml.assemble_features(e, "vec", "features", keep=["vec_id", "label"])
-    _, train = fx.holdout(vec)
-    model = ml.fit_pca(train, 10, "features", "pca")
-    return model.transform(vec).select("vec_id", "label", ml.vector_as_array("pca").alias("pca"))
+    test, train = fx.holdout(ml.assemble_features(e, "vec", "features", keep=["vec_id", "label"]))
+    _, train_p, (test_p,) = ml.pca_project(train, [test], 64, "features", "pca")
+    norm = F.aggregate(ml.vector_as_array("pca"), F.lit(0.0), lambda a, x: a + x * x)
+    return train_p.unionByName(test_p).select("vec_id", "label", F.round(norm, 6).alias("norm"))
 
 
 # ----------------------------------------------------------------------- KNN
@@ -259,11 +261,15 @@ def q_knn_pca_full(spark, sf_dir):
     return ml.pca_knn_classify(t, q, dim=64, k=fx.K_NEIGHBOURS)
 
 
-@register("knn_pca_classify")
+@register("knn_pca_classify", sql.KNN_PCA_CLASSIFY)
 def q_knn_pca_classify(spark, sf_dir):
-    """The default classifier: PCA to 10 dimensions, then 5 neighbours."""
-    q, t = fx.knn_sides(spark, sf_dir)
-    return ml.pca_knn_classify(t, q, dim=10, k=fx.K_NEIGHBOURS)
+    """The default classifier: PCA to 10 dimensions, then 5 neighbours, on
+    classes far apart."""
+    e = fx.separable_embeddings(spark, sf_dir, FAR)
+    test, train = fx.holdout(e)
+    q = test.select(F.col("vec_id").alias("qid"), F.col("label").alias("qlabel"), F.col("feat_array").alias("qvec"))
+    t = train.select(F.col("vec_id").alias("tid"), F.col("label").alias("tlabel"), F.col("feat_array").alias("tvec"))
+    return ml.pca_knn_classify(t, q, dim=10, k=fx.K_NEIGHBOURS).select("qid", "actual", "predicted")
 
 
 @register("predictions_roundtrip", sql.KNN_PREDICT)
@@ -277,20 +283,24 @@ def q_predictions_roundtrip(spark, sf_dir):
 
 # ------------------------------------------------------------ MLlib classifiers
 
-def _separable_split(spark, sf_dir):
-    e = ml.assemble_features(fx.separable_embeddings(spark, sf_dir), "feat_array", "features",
+#: Distance of the classes at which any sound fit predicts every label.
+FAR = 8.0
+
+
+def _separable_split(spark, sf_dir, apart=FAR):
+    e = ml.assemble_features(fx.separable_embeddings(spark, sf_dir, apart), "feat_array", "features",
                              keep=["vec_id", "label"])
     test, train = fx.holdout(e)
     return train, test
 
 
-@register("ovr_logistic")
+@register("ovr_logistic", sql.CLASSIFY_FAR)
 def q_ovr_logistic(spark, sf_dir):
     train, test = _separable_split(spark, sf_dir)
     return ml.classify(ml.ovr_logistic(max_iter=50), train, test, pca_k=32, keep=["vec_id"])
 
 
-@register("ovr_linear_svm")
+@register("ovr_linear_svm", sql.CLASSIFY_FAR)
 def q_ovr_linear_svm(spark, sf_dir):
     train, test = _separable_split(spark, sf_dir)
     return ml.classify(ml.ovr_linear_svm(max_iter=50), train, test, pca_k=32, keep=["vec_id"])
@@ -298,19 +308,19 @@ def q_ovr_linear_svm(spark, sf_dir):
 
 @register("naive_bayes", sql.NAIVE_BAYES)
 def q_naive_bayes(spark, sf_dir):
-    train, test = _separable_split(spark, sf_dir)
+    train, test = _separable_split(spark, sf_dir, apart=1.0)
     return ml.classify(ml.naive_bayes(), train, test, keep=["vec_id"])
 
 
-@register("mlp_classify")
+@register("mlp_classify", sql.CLASSIFY_FAR)
 def q_mlp_classify(spark, sf_dir):
     train, test = _separable_split(spark, sf_dir)
     return ml.classify(ml.mlp(layers=(32, 24, 24, 10), max_iter=100), train, test, pca_k=32, keep=["vec_id"])
 
 
-@register("cross_validate")
+@register("cross_validate", sql.CROSS_VALIDATE_FAR)
 def q_cross_validate(spark, sf_dir):
-    e = ml.assemble_features(fx.separable_embeddings(spark, sf_dir), "feat_array", "features",
+    e = ml.assemble_features(fx.separable_embeddings(spark, sf_dir, FAR), "feat_array", "features",
                              keep=["vec_id", "label"])
     folded = ml.contiguous_folds(e, "vec_id", n_folds=3)
     return ml.cross_validate(folded, lambda: ml.mlp(layers=(32, 24, 10), max_iter=60), 3, pca_k=32,
@@ -360,8 +370,20 @@ def q_class_metrics_compat(spark, sf_dir):
 
 def _stored_matrix(spark, sf_dir):
     path = scratch_path(spark, "confusion-csv")
-    csvio.write_confusion_csv(q_confusion_wide(spark, sf_dir), path, fx.N_CLASSES)
-    return csvio.read_confusion_csv(spark, path, fx.N_CLASSES)
+    csvio.write_confusion_csv(q_confusion_wide(spark, sf_dir), path)
+    return csvio.read_confusion_csv(spark, path)
+
+
+@register("confusion_other_labels", sql.CONFUSION_OTHER_LABELS)
+def q_confusion_other_labels(spark, sf_dir):
+    """Labels outside 0..9 and missing ones, through the wide form and the
+    stored file: the cells still add up to the rows."""
+    e = fx.table(spark, sf_dir, "embeddings")
+    pred = e.select(F.when(F.col("vec_id") % 7 == 0, F.col("label") + 10).when(F.col("vec_id") % 11 != 0, F.col("label")).alias("actual"),
+                    F.when(F.col("vec_id") % 5 == 0, F.lit(-1)).otherwise(F.col("label")).alias("predicted"))
+    path = scratch_path(spark, "confusion-other")
+    csvio.write_confusion_csv(ev.confusion_wide(ev.confusion_matrix(pred, fx.N_CLASSES), fx.N_CLASSES), path)
+    return csvio.read_confusion_csv(spark, path).where("n > 0")
 
 
 @register("confusion_from_csv", sql.CONFUSION_MATRIX)

@@ -65,13 +65,17 @@ def growth_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with the timestamp rendered as ``yy.dd.MM`` text; every 7th
-    event's date is malformed (dots replaced by dashes)."""
+    """Events with the timestamp rendered as ``yy.dd.MM`` text; some dates have
+    dashes instead of dots (every 7th event), one more dot at the end (11th),
+    no last piece (13th), an empty last piece (17th) or an empty middle one (19th)."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts")
     txt = F.date_format("ts", DATE_TEXT_FORMAT)
     broken = (F.col("event_id") % BROKEN_EVERY) == 0
-    return ev.select("event_id", F.when(broken, F.regexp_replace(txt, r"\.", "-")).otherwise(txt)
-                     .alias("obs_date"))
+    eid = F.col("event_id")
+    text = (F.when(broken, F.regexp_replace(txt, r"\.", "-")).when(eid % 11 == 0, F.concat(txt, F.lit(".")))
+            .when(eid % 13 == 0, F.substring(txt, 1, 5)).when(eid % 17 == 0, F.substring(txt, 1, 6))
+            .when(eid % 19 == 0, F.concat(F.substring(txt, 1, 3), F.substring(txt, 6, 3))).otherwise(txt))
+    return ev.select("event_id", text.alias("obs_date"))
 
 
 def view_text_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,10 +93,14 @@ def view_text_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events rendered as CSV lines ``event_id,event_type,"props"`` with the
-    JSON quoted and inner quotes doubled (commas and quotes inside)."""
+    JSON quoted and inner quotes doubled (commas and quotes inside). Every 5th
+    line has a stray quote at the end of the event type, every 9th one behind
+    the last field."""
     ev = table(spark, sf_dir, "events").select("event_id", "event_type", "props")
-    line = F.concat(F.col("event_id").cast("string"), F.lit(","), F.col("event_type"), F.lit(',"'),
-                    F.regexp_replace("props", '"', '""'), F.lit('"'))
+    line = F.concat(F.col("event_id").cast("string"), F.lit(","), F.col("event_type"),
+                    F.when(F.col("event_id") % 5 == 0, F.lit('"')).otherwise(F.lit("")), F.lit(',"'),
+                    F.regexp_replace("props", '"', '""'), F.lit('"'),
+                    F.when(F.col("event_id") % 9 == 0, F.lit('"')).otherwise(F.lit("")))
     return ev.select("event_id", line.alias("line"))
 
 
@@ -116,10 +124,11 @@ def knn_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
             t.select(F.col("vec_id").alias("tid"), F.col("label").alias("tlabel"), F.col("vec").alias("tvec")))
 
 
-def separable_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``vec_id, label, features`` with feature i = embedding[i] + 1 + (i ==
-    label): classes become separable and every feature positive."""
+def separable_embeddings(spark: SparkSession, sf_dir: str, apart: float = 1.0) -> DataFrame:
+    """``vec_id, label, features`` with feature i = embedding[i] + 1, and
+    ``apart`` more where i is the label: every feature is positive, and classes
+    far apart leave any sound fit one answer."""
     e = table(spark, sf_dir, "embeddings")
     feats = F.transform("embedding", lambda x, i: x.cast("double") + F.lit(1.0)
-                        + F.when(i == F.col("label"), F.lit(1.0)).otherwise(F.lit(0.0)))
+                        + F.when(i == F.col("label"), F.lit(apart)).otherwise(F.lit(0.0)))
     return e.select("vec_id", "label", feats.alias("feat_array"))

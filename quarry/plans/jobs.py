@@ -28,24 +28,24 @@ PREDICTION_SCHEMA = "qid bigint, actual int, predicted int"
 
 
 def overlap_job(spark: SparkSession, input_path: str, output_path: str, market1: str, market2: str,
-                n_files: int = 3, raw_lines: bool = False) -> DataFrame:
+                n_files: int = 3, raw_lines: bool = False, multiline: bool = False) -> DataFrame:
     """Per-category overlap of two markets -> ``category<TAB>total ...`` text
     in ``n_files`` hash-partitioned files. Returns the overlap table."""
     obs = (textio.read_observation_lines(spark, input_path) if raw_lines
-           else textio.read_observations(spark, input_path))
+           else textio.read_observations(spark, input_path, multiline=multiline))
     overlap = tr.category_overlap(obs, market1, market2)
     textio.write_keyed_text(tr.category_overlap_text(overlap, market2), "category", "line", output_path, n_files)
     return overlap
 
 
 def growth_job(spark: SparkSession, input_path: str, output_path: str, threshold: int = 1000,
-               zero_base: str = "null", raw_lines: bool = True) -> DataFrame:
+               zero_base: str = "null", raw_lines: bool = True, multiline: bool = False) -> DataFrame:
     """Early growth per (market, item) from the two earliest dated rows ->
     globally sorted report lines (market desc, growth desc). Rows tied on
     date are ordered by their view count, so the result never depends on
     arrival order. Returns the report table."""
     obs = (textio.read_observation_lines(spark, input_path) if raw_lines
-           else textio.read_observations(spark, input_path))
+           else textio.read_observations(spark, input_path, multiline=multiline))
     obs = obs.withColumn("date_key", date_key("obs_date"))
     g = tr.growth_first_two(obs, keys=("market", "item_id"), date="date_key", views="views",
                             tiebreak="views", zero_base=zero_base)
@@ -55,20 +55,30 @@ def growth_job(spark: SparkSession, input_path: str, output_path: str, threshold
     return report
 
 
-def _read_samples(spark: SparkSession, path: str, n_features: int | None, label_first: bool,
+def read_samples(spark: SparkSession, path: str, n_features: int | None, label_first: bool,
                   id_col: str) -> DataFrame:
     """Labelled CSV with a row id: the position-derived id of the file scan
-    (file splits and their row order are fixed, so the id is reproducible)."""
+    (file splits and their row order are fixed, so the id is reproducible).
+    ``_place`` orders the rows by file name, then by place in the file."""
     df = csvio.read_labelled_csv(spark, path, n_features, label_first)
-    return df.withColumn(id_col, F.monotonically_increasing_id())
+    row = F.monotonically_increasing_id()
+    return df.withColumn("_place", F.struct(F.input_file_name().alias("file"), F.input_file_block_start().alias("block"), row.alias("row"))
+                         ).withColumn(id_col, row)
 
 
 def _evaluate(spark: SparkSession, pred_path: str, output: str, n_classes: int, compat: bool) -> dict:
     pred = spark.read.option("header", True).schema(PREDICTION_SCHEMA).csv(pred_path)
-    matrix = ev.confusion_matrix(pred, n_classes)
-    csvio.write_confusion_csv(ev.confusion_wide(matrix, n_classes), f"{output}/confusion", n_classes)
-    return {"predictions": pred, "accuracy": ev.accuracy(pred), "confusion": matrix,
-            "metrics": ev.class_metrics(pred, n_classes, compat)}
+    matrix = _store_matrix(pred, output, n_classes)
+    return {"predictions": pred, "accuracy": ev.accuracy_from_matrix(matrix), "confusion": matrix,
+            "metrics": ev.metrics_from_matrix(matrix, compat)}
+
+
+def _store_matrix(pred: DataFrame, output: str, n_classes: int) -> DataFrame:
+    """The matrix of the predictions, counted once and written; every report reads the written one."""
+    counted = ev.confusion_matrix(pred, n_classes).cache()  # one row per cell
+    csvio.write_confusion_csv(ev.confusion_wide(counted, n_classes), f"{output}/confusion")
+    counted.unpersist()
+    return csvio.read_confusion_csv(pred.sparkSession, f"{output}/confusion")
 
 
 def knn_job(spark: SparkSession, test_path: str, train_path: str, output: str, dim: int = 10, k: int = 5,
@@ -76,8 +86,8 @@ def knn_job(spark: SparkSession, test_path: str, train_path: str, output: str, d
             compat: bool = False, block_rows: int | None = None) -> dict:
     """PCA (fit on train) + exact KNN + vote; writes predictions and the
     confusion matrix, returns the evaluation frames."""
-    test = _read_samples(spark, test_path, n_features, label_first, "qid")
-    train = _read_samples(spark, train_path, n_features, label_first, "tid")
+    test = read_samples(spark, test_path, n_features, label_first, "qid")
+    train = read_samples(spark, train_path, n_features, label_first, "tid")
     arr = ml.vector_as_array("features")
     q = test.select("qid", F.col("label").alias("qlabel"), arr.alias("qvec"))
     t = train.select("tid", F.col("label").alias("tlabel"), arr.alias("tvec"))
@@ -100,8 +110,8 @@ def classifier_job(spark: SparkSession, test_path: str, train_path: str, output:
                    label_first: bool = False, n_classes: int = 10, compat: bool = False) -> dict:
     """Optional PCA + one MLlib classifier (``logistic``, ``svm``, ``bayes``,
     ``mlp``); writes predictions and the confusion matrix."""
-    test = _read_samples(spark, test_path, n_features, label_first, "qid")
-    train = _read_samples(spark, train_path, n_features, label_first, "tid")
+    test = read_samples(spark, test_path, n_features, label_first, "qid")
+    train = read_samples(spark, train_path, n_features, label_first, "tid")
     est = CLASSIFIERS[model](params or {})
     pred = ml.classify(est, train, test, pca_k, keep=["qid"])
     csvio.write_predictions(pred.select("qid", "actual", "predicted"), f"{output}/predictions")
@@ -116,16 +126,14 @@ def cross_validation_job(spark: SparkSession, train_path: str, output: str, n_fo
     """Contiguous k-fold cross-validation of the MLP in file order; writes
     all held-out predictions (with their fold) and the merged confusion
     matrix, returns the mean fold accuracy too."""
-    df = _read_samples(spark, train_path, n_features, label_first, "qid")
-    folded = ml.contiguous_folds(df, "qid", n_folds, fold_size)
+    df = read_samples(spark, train_path, n_features, label_first, "qid")
+    folded = ml.contiguous_folds(df, "_place", n_folds, fold_size)
     pred = ml.cross_validate(folded, lambda: ml.mlp(layers, max_iter), n_folds, pca_k=pca_k, keep=["qid"])
     pred.write.mode("overwrite").option("header", True).csv(f"{output}/predictions")
     back = spark.read.option("header", True).schema(
         T.StructType([T.StructField("fold", T.IntegerType()), T.StructField("qid", T.LongType()),
                       T.StructField("actual", T.IntegerType()), T.StructField("predicted", T.IntegerType())])
     ).csv(f"{output}/predictions")
-    merged = ev.merge_confusion(ev.per_fold_confusion(back, "fold", n_classes))
-    csvio.write_confusion_csv(ev.confusion_wide(ev.confusion_matrix(back, n_classes), n_classes),
-                              f"{output}/confusion", n_classes)
-    return {"predictions": back, "merged_confusion": merged, "mean_accuracy": ev.mean_fold_accuracy(back),
-            "metrics": ev.class_metrics(back, n_classes, compat)}
+    matrix = _store_matrix(back, output, n_classes)
+    return {"predictions": back, "merged_confusion": ev.merge_confusion(ev.per_fold_confusion(back, "fold", n_classes)),
+            "mean_accuracy": ev.mean_fold_accuracy(back), "metrics": ev.metrics_from_matrix(matrix, compat)}

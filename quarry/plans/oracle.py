@@ -41,13 +41,13 @@ r AS (
   FROM obs),
 k AS (
   SELECT market, item_id,
-         CAST(count(CASE WHEN date_key IS NOT NULL AND rn <= 2 THEN 1 END) AS BIGINT) AS n_valid,
+         CAST(count(CASE WHEN date_key IS NOT NULL AND rn <= 2 THEN 1 END) AS BIGINT) AS n_used,
          max(CASE WHEN date_key IS NOT NULL AND rn = 1 THEN views END) AS early,
          max(CASE WHEN date_key IS NOT NULL AND rn = 2 THEN views END) AS late
   FROM r GROUP BY market, item_id),
 g AS (
-  SELECT market, item_id, n_valid, early, late,
-         CASE WHEN n_valid < 2 THEN 0.0::DOUBLE
+  SELECT market, item_id, n_used, early, late,
+         CASE WHEN n_used < 2 THEN 0.0::DOUBLE
               WHEN early = 0 THEN NULL
               ELSE (CAST(late AS DOUBLE) - CAST(early AS DOUBLE)) / CAST(early AS DOUBLE) * 100.0 END AS pct
   FROM k),
@@ -64,7 +64,7 @@ WITH obs AS (
   FROM orders),
 """ + _GROWTH_CORE
 
-GROWTH_FIRST_TWO = _GROWTH_ORDERS + "SELECT market, item_id, n_valid, early, late, pct FROM g"
+GROWTH_FIRST_TWO = _GROWTH_ORDERS + "SELECT market, item_id, n_used, early, late, pct FROM g"
 
 GROWTH_OVER_1000 = _GROWTH_ORDERS + "SELECT market, item_id, pct_trunc, line FROM rep"
 
@@ -79,22 +79,41 @@ WITH obs AS (
 """ + _GROWTH_CORE + "SELECT market, item_id, pct_trunc, line FROM rep"
 
 DATE_KEY = """
-WITH d AS (
+WITH t AS (SELECT event_id, strftime(ts, '%y.%d.%m') AS txt FROM events),
+d AS (
   SELECT event_id,
-         CASE WHEN event_id % 7 = 0 THEN replace(strftime(ts, '%y.%d.%m'), '.', '-')
-              ELSE strftime(ts, '%y.%d.%m') END AS obs_date
-  FROM events)
+         CASE WHEN event_id % 7 = 0 THEN replace(txt, '.', '-')
+              WHEN event_id % 11 = 0 THEN txt || '.'
+              WHEN event_id % 13 = 0 THEN substr(txt, 1, 5)
+              WHEN event_id % 17 = 0 THEN substr(txt, 1, 6)
+              WHEN event_id % 19 = 0 THEN substr(txt, 1, 3) || substr(txt, 6, 3)
+              ELSE txt END AS obs_date
+  FROM t),
+p AS (SELECT event_id, obs_date, string_split(rtrim(obs_date, '.'), '.') AS piece FROM d)
 SELECT event_id, obs_date,
-       CASE WHEN len(string_split(obs_date, '.')) = 3
-            THEN TRY_CAST(split_part(obs_date, '.', 1) || split_part(obs_date, '.', 3)
-                          || split_part(obs_date, '.', 2) AS INTEGER) END AS date_key
-FROM d
+       CASE WHEN len(piece) = 3 AND regexp_full_match(piece[1] || piece[3] || piece[2], '[+-]?[0-9]+')
+            THEN TRY_CAST(piece[1] || piece[3] || piece[2] AS INTEGER) END AS date_key
+FROM p
 """
 
+# A comma splits if the quotes behind it are even in number. Of a line
+# id,type,"props" with inner quotes doubled: one stray quote behind the type
+# joins id and type; one behind the last field does so for all but the commas
+# inside props, which then do split; both together leave the plain fields.
 SPLIT_QUOTED = """
-SELECT event_id, 3 AS n_fields, CAST(event_id AS VARCHAR) AS f0, event_type AS f1,
-       '"' || replace(props, '"', '""') || '"' AS f2
-FROM events
+WITH l AS (
+  SELECT event_id, CAST(event_id AS VARCHAR) || ',' || event_type || CASE WHEN event_id % 5 = 0 THEN '"' ELSE '' END
+         || ',"' || replace(props, '"', '""') || '"' || CASE WHEN event_id % 9 = 0 THEN '"' ELSE '' END AS line
+  FROM events),
+c AS (
+  SELECT event_id, line, list_filter(range(1, len(line) + 1), lambda i: line[i] = ','
+           AND (len(line[i:]) - len(replace(line[i:], '"', ''))) % 2 = 0) AS cuts
+  FROM l)
+SELECT event_id, CAST(len(cuts) + 1 AS INTEGER) AS n_fields,
+       substr(line, 1, coalesce(cuts[1], len(line) + 1) - 1) AS f0,
+       CASE WHEN len(cuts) >= 1 THEN substr(line, cuts[1] + 1, coalesce(cuts[2], len(line) + 1) - cuts[1] - 1) END AS f1,
+       CASE WHEN len(cuts) >= 2 THEN substr(line, cuts[2] + 1, coalesce(cuts[3], len(line) + 1) - cuts[2] - 1) END AS f2
+FROM c
 """
 
 PARSE_LONG = """
@@ -111,7 +130,8 @@ FROM t
 """
 
 MULTILINE_OBSERVATIONS = """
-SELECT CAST(doc_id AS VARCHAR) AS item_id, lang AS category, n_chars AS views, source AS market FROM documents
+SELECT CAST(doc_id AS VARCHAR) AS item_id, lang AS category, n_chars AS views, source AS market, text AS body
+FROM documents
 """
 
 CSV_ROUNDTRIP = """
@@ -127,7 +147,30 @@ FROM embeddings
 ROW_ID = "SELECT CAST(count(*) AS BIGINT) AS n, CAST(count(*) AS BIGINT) AS n_distinct FROM embeddings"
 
 ASSEMBLE_FEATURES = """
-SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dim, CAST(embedding[1] AS DOUBLE) AS f0 FROM embeddings
+SELECT vec_id, CAST(i AS INTEGER) AS i, CAST(embedding[i + 1] AS DOUBLE) AS value
+FROM embeddings, unnest(range(len(embedding))) AS t(i)
+"""
+
+PCA_PROJECT = """
+SELECT vec_id, label, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))), 6) AS norm
+FROM embeddings
+"""
+
+# Classes far apart: the only sound prediction of every row is its label.
+CLASSIFY_FAR = "SELECT vec_id, label AS actual, label AS predicted FROM embeddings WHERE vec_id % 5 = 0"
+
+KNN_PCA_CLASSIFY = "SELECT vec_id AS qid, label AS actual, label AS predicted FROM embeddings WHERE vec_id % 5 = 0"
+
+CROSS_VALIDATE_FAR = """
+SELECT CAST(floor((row_number() OVER (ORDER BY vec_id) - 1) * 3 / count(*) OVER ()) AS INTEGER) AS fold,
+       vec_id, label AS actual, label AS predicted
+FROM embeddings
+"""
+
+CONFUSION_OTHER_LABELS = """
+SELECT CAST(CASE WHEN vec_id % 5 = 0 THEN -1 ELSE label END AS INTEGER) AS predicted,
+       CAST(CASE WHEN vec_id % 7 = 0 THEN label + 10 WHEN vec_id % 11 <> 0 THEN label END AS INTEGER) AS actual, count(*) AS n
+FROM embeddings GROUP BY 1, 2
 """
 
 _DIST = ("list_sum(list_transform(list_zip({a}, {b}), lambda x: "

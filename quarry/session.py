@@ -2,13 +2,14 @@
 scratch location used for lineage cuts and written intermediate tables.
 
 Library functions never change session settings except one: if the cluster
-names no checkpoint directory (``spark.checkpoint.dir``), one is created, as
-tests need it. On a cluster the setting points at shared storage and is used
-as it is.
+names no checkpoint directory (``spark.checkpoint.dir``), one is created on a
+local master, as tests need it. On a cluster the setting points at shared
+storage and is used as it is; without it intermediate data is refused.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -38,7 +39,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint directory of the session.
 
     Read from the SparkContext, then from ``spark.checkpoint.dir``; only when
-    neither is set (tests on one machine) is a fresh local folder made.
+    neither is set and the master is local (tests on one machine) is a fresh
+    local folder made; elsewhere that raises.
     """
     try:
         sc = spark.sparkContext
@@ -52,6 +54,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     else:
         configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(configured)

@@ -14,9 +14,6 @@ from quarry.functions.scalars import parse_long
 # Fixed values of the observation record layout (0-based field positions).
 OBS_FIELDS = {"item_id": 0, "obs_date": 1, "category": 5, "views": 8, "market": 17}
 OBS_MIN_FIELDS = 18
-# Comma outside double quotes: the comma must be followed by an even number of
-# quotes up to the end of the line (quadratic in line length).
-SPLIT_OUTSIDE_QUOTES = r',(?=([^"]*"[^"]*")*[^"]*$)'
 # One field after a leading comma: runs of non-comma/non-quote characters or
 # complete quoted segments (linear scan, possessive so it never backtracks).
 FIELD_AFTER_COMMA = r',((?:[^,"]++|"[^"]*+")*+)'
@@ -31,18 +28,18 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def split_quoted(line: Column | str, method: str = "scan") -> Column:
+def split_quoted(line: Column | str) -> Column:
     """Split a line on commas outside double quotes; quotes stay in the value.
 
-    ``method='lookahead'`` is the look-ahead regex split (quadratic in line
-    length); ``'scan'`` (default) tokenises left to right in linear time.
-    Both give the same fields for lines whose quotes are balanced.
+    A comma splits if an even number of quotes follows it up to the end of the
+    line. With quotes in pairs that is the case where an even number precedes
+    it, so one scan from the left finds the fields; a line with a stray quote
+    is scanned with one more quote in front, which is taken off again.
     """
-    if method == "lookahead":
-        return F.split(_c(line), SPLIT_OUTSIDE_QUOTES, -1)
-    if method == "scan":
-        return F.regexp_extract_all(F.concat(F.lit(","), _c(line)), F.lit(FIELD_AFTER_COMMA), F.lit(1))
-    raise ValueError(f"unknown split method {method!r}")
+    text = _c(line)
+    odd = F.length(F.regexp_replace(text, '[^"]+', "")) % 2 == 1
+    fields = F.regexp_extract_all(F.concat(F.when(odd, F.lit(',"')).otherwise(F.lit(",")), text), F.lit(FIELD_AFTER_COMMA), F.lit(1))
+    return F.when(odd, F.transform(fields, lambda f, i: F.when(i == 0, F.substr(f, F.lit(2))).otherwise(f))).otherwise(fields)
 
 
 def observations_from_fields(fields: Column | str) -> list[Column]:
@@ -56,10 +53,10 @@ def observations_from_fields(fields: Column | str) -> list[Column]:
             F.get(f, OBS_FIELDS["market"]).alias("market")]
 
 
-def read_observation_lines(spark: SparkSession, path: str, method: str = "scan") -> DataFrame:
+def read_observation_lines(spark: SparkSession, path: str) -> DataFrame:
     """Raw-line form of the observation reader: every line (the header too)
     split by ``split_quoted`` and picked by position."""
-    return read_lines(spark, path).select(*observations_from_fields(split_quoted("value", method)))
+    return read_lines(spark, path).select(*observations_from_fields(split_quoted("value")))
 
 
 def observation_schema(n_fields: int = OBS_MIN_FIELDS) -> T.StructType:
@@ -69,14 +66,17 @@ def observation_schema(n_fields: int = OBS_MIN_FIELDS) -> T.StructType:
 
 
 def read_observations(spark: SparkSession, path: str, n_fields: int = OBS_MIN_FIELDS,
-                      header: bool = True, multiline: bool = False) -> DataFrame:
+                      header: bool = True, multiline: bool = False,
+                      more: dict[str, int] | None = None) -> DataFrame:
     """CSV reader form: explicit schema (one pass, no inference), doubled
-    quotes as escapes, PERMISSIVE rows; returns the five observation fields."""
+    quotes as escapes, PERMISSIVE rows; returns the five observation fields
+    and those of ``more`` (name -> position), as text."""
     df = (spark.read.schema(observation_schema(n_fields))
           .option("header", header).option("quote", '"').option("escape", '"')
           .option("multiLine", multiline).option("mode", "PERMISSIVE")
           .csv(path))
-    return df.select("item_id", "obs_date", "category", parse_long("views").alias("views"), "market")
+    return df.select("item_id", "obs_date", "category", parse_long("views").alias("views"), "market",
+                     *[F.col(df.columns[i]).alias(name) for name, i in (more or {}).items()])
 
 
 def write_observations(df: DataFrame, fields: dict[str | int, Column], path: str,

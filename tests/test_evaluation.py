@@ -78,3 +78,17 @@ def test_merge_confusion_and_mean_fold_accuracy(spark):
     assert {k: v for k, v in listed.items() if v} == merged
     mfa = ev.mean_fold_accuracy(pred).first()
     assert mfa.n_folds == 2 and abs(mfa.mean_accuracy - (0.5 + 0.5) / 2) < 1e-12
+
+
+def test_accuracy_from_matrix_and_null_labels(spark):
+    pred = spark.createDataFrame([(0, 0), (None, 1), (2, None), (None, None), (3, 3)], "actual int, predicted int")
+    a, b = ev.accuracy(pred).first(), ev.accuracy_from_matrix(ev.confusion_matrix(pred, 2)).first()
+    assert tuple(a) == tuple(b) == (5, 2, 0.6)
+    wide = ev.confusion_wide(ev.confusion_matrix(pred, 2), 2)
+    assert sum(sum(v or 0 for k, v in r.asDict().items() if k != "predicted") for r in wide.collect()) == 5
+
+
+def test_show_metrics_prints_every_class(spark, capsys):
+    pred = spark.range(150).selectExpr("cast(id as int) as actual", "cast(id as int) as predicted")
+    ev.show_metrics(ev.class_metrics(pred, 10))
+    assert "|149  |" in capsys.readouterr().out

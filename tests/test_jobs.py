@@ -60,7 +60,7 @@ def test_knn_job_matches_query(spark):
     got = sorted((r.actual, r.predicted) for r in res["predictions"].collect())
     want = sorted((r.actual, r.predicted) for r in catalog.q_knn_predict(spark, SF0001).collect())
     assert got == want
-    stored = csvio.read_confusion_csv(spark, f"{out}/confusion", 10)
+    stored = csvio.read_confusion_csv(spark, f"{out}/confusion")
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, res["confusion"].collect()))
     assert res["accuracy"].first().n == len(want)
     pca = jobs.knn_job(spark, test_path, train_path, scratch_path(spark, "knn-job"), dim=10, k=5)
@@ -105,7 +105,7 @@ def test_command_line_knn_and_classify(spark, capsys):
     test_path, train_path = _sample_files(spark, SF0001)
     out = scratch_path(spark, "cli-knn")
     assert main(["knn", test_path, train_path, out, "--dim", "0", "--k", "5", "--features", "64"]) == 0
-    stored = csvio.read_confusion_csv(spark, f"{out}/confusion", 10)
+    stored = csvio.read_confusion_csv(spark, f"{out}/confusion")
     assert stored.agg(F.sum("n")).first()[0] == 100
     s_test, s_train = _sample_files(spark, SF0001, separable=True, label_first=False)
     out2 = scratch_path(spark, "cli-clf")

@@ -124,9 +124,9 @@ def test_block_top_k_is_exact(offset):
     t[50] = t[10]                      # exact duplicate: tie broken by id
     q[3] = t[20]                       # zero distance
     tids = rng.permutation(300).astype(np.int64) + 5
-    blocked = rng.random((40, 300)) < 0.1
-    for b in (None, blocked):
-        rows, cols, dist, rank = nn.block_top_k(q, t, tids, 7, b)
+    qx, tx = rng.integers(0, 6, 40), rng.integers(0, 6, 300)
+    for b, sides in ((None, ()), (qx[:, None] == tx[None, :], (qx, tx))):
+        rows, cols, dist, rank = nn.block_top_k(q, t, tids, 7, *sides)
         got = list(zip(rows.tolist(), cols.tolist(), dist.tolist(), rank.tolist()))
         assert got == _direct_top_k(q, t, tids, 7, b)
 
@@ -134,14 +134,12 @@ def test_block_top_k_is_exact(offset):
 def test_block_top_k_all_blocked_row():
     q = np.zeros((2, 3))
     t = np.ones((4, 3))
-    blocked = np.array([[True] * 4, [False, True, False, True]])
-    rows, cols, dist, rank = nn.block_top_k(q, t, np.arange(4), 3, blocked)
-    assert rows.tolist() == [1, 1] and cols.tolist() == [0, 2] and rank.tolist() == [1, 2]
+    rows, cols, dist, rank = nn.block_top_k(q, t, np.arange(4), 3, np.array([1, 2]), np.array([1, 1, 1, 1]))
+    assert rows.tolist() == [1, 1, 1] and cols.tolist() == [0, 1, 2] and rank.tolist() == [1, 2, 3]
 
 
 def test_block_rows_adapt_to_dimension():
-    assert nn.block_rows_for(64) == 2048
-    assert nn.block_rows_for(4096) == 2048
+    assert nn.block_rows_for(64) == (64 << 20) // 512
     assert nn.block_rows_for(16384) == 512
     assert nn.block_rows_for(10 ** 7) == 64
 
@@ -184,3 +182,53 @@ def test_known_sizes_skip_the_sizing_job(spark):
     b = sorted(map(tuple, nn.knn_classify(qdf, tdf, 5, n_query=37, n_train=151, block_rows=64,
                                           check_ids=False).collect()))
     assert a == b
+
+
+def _sides(spark, vectors, fold=None):
+    rows = [(i, i % 3, [float(x) for x in v] if v is not None else None, None if fold is None else fold(i)) for i, v in enumerate(vectors)]
+    q = spark.createDataFrame(rows, "qid long, qlabel int, qvec array<double>, fold int")
+    t = spark.createDataFrame(rows, "tid long, tlabel int, tvec array<double>, fold int")
+    return q, t
+
+
+def test_nan_train_rows_cost_no_query(spark):
+    q, _ = _sides(spark, [[i, 1] for i in range(30)])
+    _, t = _sides(spark, [[i, 1] for i in range(40)] + [[float("nan"), 1], [float("inf"), 0], None])
+    got = nn.knn_classify(q, t, 3)
+    assert got.count() == 30
+    assert {r.tid for r in nn.knn_candidates(q, t, 3).collect()} <= set(range(40))
+
+
+def test_bad_query_vector_is_named(spark):
+    import pytest
+    q, t = _sides(spark, [[1, 1], [2, 2], [float("nan"), 0]])
+    with pytest.raises(Exception, match="query vector is not finite: 2"):
+        nn.knn_classify(q, t, 1).collect()
+
+
+def test_null_folds_exclude_each_other(spark):
+    q, t = _sides(spark, [[i, 0] for i in range(12)], fold=lambda i: None if i % 3 == 0 else i % 2)
+    for r in nn.knn_candidates(q, t, 2, exclude="fold").collect():
+        assert r.qid != r.tid and not (r.qid % 3 == 0 and r.tid % 3 == 0)
+
+
+def test_columns_do_not_depend_on_the_number_of_blocks(spark):
+    q, t = _sides(spark, [[i, 0] for i in range(300)], fold=lambda i: i % 2)
+    one = nn.knn_candidates(q, t, 2, exclude="fold", carry=["fold"])
+    many = nn.knn_candidates(q, t, 2, exclude="fold", carry=["fold"], block_rows=64)
+    assert one.columns == many.columns == ["qid", "qlabel", "tid", "tlabel", "dist", "rank", "fold"]
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
+
+
+def test_kernel_memory_is_bounded_on_equal_and_shifted_vectors():
+    import tracemalloc
+    rng = np.random.default_rng(0)
+    for q, t in ((np.ones((2048, 784)),) * 2, (rng.normal(size=(2048, 64)) + 1e6, rng.normal(size=(2048, 64)) + 1e6)):
+        tracemalloc.start()
+        rows, cols, dist, rank = nn.block_top_k(q, t, np.arange(len(t)), 5)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 160 << 20, peak
+        assert len(rows) == 5 * len(q)
+    brute = ((q[7] - t) ** 2).sum(axis=1)
+    assert set(cols[rows == 7]) == set(np.lexsort((np.arange(len(t)), brute))[:5])

@@ -23,11 +23,29 @@ EXPECTED = [
 ]
 
 
-def test_split_quoted_methods_agree(spark):
+def test_split_quoted(spark):
     df = spark.createDataFrame([(x,) for x in LINES], "line string")
-    for method in ("scan", "lookahead"):
-        got = [list(r[0]) for r in df.select(textio.split_quoted("line", method)).collect()]
-        assert got == EXPECTED, method
+    got = [list(r[0]) for r in df.select(textio.split_quoted("line")).collect()]
+    assert got == EXPECTED
+
+
+def _split_brute(line):
+    fields, start = [], 0
+    for i, c in enumerate(line):
+        if c == "," and line[i:].count('"') % 2 == 0:
+            fields.append(line[start:i])
+            start = i + 1
+    return [*fields, line[start:]]
+
+
+def test_split_quoted_on_stray_quotes(spark):
+    import random
+    rng = random.Random(1)
+    lines = ['a,5" disc,x', 'id,say "hi,b,c', '"', '",', ',"', '', ',', 'x"y,z"', '"a","b,c']
+    lines += ["".join(rng.choice('a",b') for _ in range(rng.randrange(12))) for _ in range(400)]
+    df = spark.createDataFrame([(x,) for x in [*lines, None]], "line string")
+    got = [r[0] and list(r[0]) for r in df.select(textio.split_quoted("line")).collect()]
+    assert got == [*map(_split_brute, lines), None]
 
 
 def test_short_lines_give_null_fields(spark):
@@ -100,11 +118,74 @@ def test_confusion_csv_roundtrip(spark):
     from quarry.operators import evaluation as ev
     pred = spark.createDataFrame([(0, 0), (1, 1), (1, 0), (2, 2), (2, 2)], "actual int, predicted int")
     m = ev.confusion_matrix(pred, 3)
-    for with_label in (False, True):
-        path = scratch_path(spark, "test-confusion")
-        csvio.write_confusion_csv(ev.confusion_wide(m, 3), path, 3, include_row_label=with_label)
-        back = csvio.read_confusion_csv(spark, path, 3, has_row_label=with_label)
-        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, m.collect()))
+    path = scratch_path(spark, "test-confusion")
+    csvio.write_confusion_csv(ev.confusion_wide(m, 3), path)
+    back = csvio.read_confusion_csv(spark, path)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, m.collect()))
+
+
+def test_confusion_csv_keeps_labels_outside_the_grid(spark):
+    from quarry.operators import evaluation as ev
+    pred = spark.createDataFrame([(0, -1), (1, 1), (12, 0), (None, 2), (2, None), (2, 2)], "actual int, predicted int")
+    m = ev.confusion_matrix(pred, 3)
+    wide = ev.confusion_wide(m, 3)
+    assert wide.columns == ["predicted", "actual_-1", "actual_0", "actual_1", "actual_2", "actual_12", "actual_null"]
+    path = scratch_path(spark, "test-confusion")
+    csvio.write_confusion_csv(wide, path)
+    several = scratch_path(spark, "test-confusion")
+    wide.repartition(3).write.option("header", True).csv(several)
+    for p in (path, several):
+        got = {(r.predicted, r.actual): r.n for r in csvio.read_confusion_csv(spark, p).collect() if r.n}
+        assert got == {(-1, 0): 1, (1, 1): 1, (0, 12): 1, (2, None): 1, (None, 2): 1, (2, 2): 1}
+
+
+def test_plain_matrix_needs_one_file_of_n_rows(spark):
+    import pytest
+    path = scratch_path(spark, "test-plain")
+    os.makedirs(_local(path), exist_ok=True)
+    with open(os.path.join(_local(path), "part-0.csv"), "w") as f:
+        f.write("1.0,2\n3,4.0\n")
+    got = {(r.predicted, r.actual): r.n for r in csvio.read_plain_confusion_csv(spark, path, 2).collect()}
+    assert got == {(0, 0): 1, (0, 1): 2, (1, 0): 3, (1, 1): 4}
+    with pytest.raises(ValueError):
+        csvio.read_plain_confusion_csv(spark, path, 3)
+    with open(os.path.join(_local(path), "part-1.csv"), "w") as f:
+        f.write("5,6\n")
+    with pytest.raises(ValueError):
+        csvio.read_plain_confusion_csv(spark, path, 2)
+
+
+def test_wide_samples_ragged_arrays_and_bad_cells(spark):
+    import pytest
+    for width in (1024, 3072):
+        path = scratch_path(spark, "test-wide")
+        os.makedirs(_local(path), exist_ok=True)
+        with open(os.path.join(_local(path), "part-0.csv"), "w") as f:
+            f.write("".join(f"{i}," + ",".join(str(i + j) for j in range(width)) + "\n" for i in range(3)))
+        rows = sorted(csvio.read_labelled_csv(spark, path).collect(), key=lambda r: r.label)
+        assert [(r.label, len(r.features), r.features[width - 1]) for r in rows] == [(i, width, i + width - 1.0) for i in range(3)]
+    ragged = spark.createDataFrame([(1, [0.5, 2.0]), (0, [3.0]), (2, None)], "label int, f array<double>")
+    path = scratch_path(spark, "test-ragged")
+    csvio.write_labelled_csv(ragged, "label", "f", path)
+    assert sorted(r.value for r in spark.read.text(path).collect()) == ["0,3.0,", "1,0.5,2.0", "2,,"]
+    with pytest.raises(Exception, match="missing or non-numeric feature in .*test-ragged"):
+        csvio.read_labelled_csv(spark, path, n_features=2).collect()
+
+
+def test_intermediate_folder_is_refused_off_a_local_master():
+    import pytest
+    from types import SimpleNamespace
+
+    from quarry import session
+
+    def spark(master, conf):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None, getConf=lambda: conf, setCheckpointDir=lambda d: None)
+        return SimpleNamespace(sparkContext=sc)
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.checkpoint_dir(spark(master, {}))
+    assert session.checkpoint_dir(spark("yarn", {"spark.checkpoint.dir": "hdfs:///x"})) == "hdfs:///x"
 
 
 def test_keyed_text_keeps_tabs_inside_values(spark):

@@ -111,3 +111,19 @@ def test_overlap_ignores_null_market_and_keeps_null_item_group(spark):
     out = {r.category: (r.count_m1, r.overlap) for r in tr.category_overlap(obs, "US", "GB").collect()}
     # the NULL item is one group (seen in both markets); the NULL category is its own group
     assert out == {"c1": (2, 1), None: (1, 0)}
+
+
+def test_tied_dates_put_a_missing_count_last(spark):
+    rows = [("m", "i", 170101, None), ("m", "i", 170101, 5), ("m", "i", 170101, 100)]
+    obs = spark.createDataFrame(rows, "market string, item_id string, date_key int, views long")
+    r = tr.growth_first_two(obs, tiebreak="views").first()
+    assert (r.early, r.late, r.n_used, r.pct) == (5, 100, 2, 1900.0)
+
+
+def test_date_key_pieces(spark):
+    from quarry.functions.scalars import date_key, is_well_formed_date
+    texts = ["17.14.11", "17.14.", "17.14.11.", "17..11", "17.14.11.x", "a.b.c", "", "...", None, ".14.11"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(date_key("t").alias("k"), is_well_formed_date("t").alias("w"))
+    got = df.collect()
+    assert [r.k for r in got] == [171114, None, 171114, 1711, None, None, None, None, None, 1114]
+    assert [r.w for r in got] == [True, False, True, True, False, True, False, False, None, True]
