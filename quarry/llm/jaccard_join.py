@@ -43,6 +43,8 @@ LEAST, KEYS = 16, 4
 #: Part of the shingle space dealt out first; texts up to ALL shingles deal out all.
 PART, ALL = 0.3, 100
 FLUSH = 2_000_000
+#: Small tables up to this size are broadcast to the texts, larger ones are joined by shuffle.
+BROADCAST_BYTES = 16 << 20
 _LIMIT = np.uint64(int(PART * (1 << 48)))
 _SETS = "doc_id long, tag long, n_shingles long, one long, two long, least array<long>"
 _TABLE = {"doc": "<i8", "tag": "<u4", "size": "<u4", "known": "<u4", "class": "<i8"}
@@ -111,7 +113,7 @@ def _beside(texts: DataFrame, rows: DataFrame, keys: list[str], how: str = "inne
     """``texts`` joined with a table of ``n`` entries of few bytes, which is
     broadcast only if all of it stays under a fixed size."""
     n = rows.count() if n is None else n
-    return texts.join(F.broadcast(rows) if n * 64 <= repeats.BROADCAST_BYTES else rows.hint("merge"), keys, how)
+    return texts.join(F.broadcast(rows) if n * 64 <= BROADCAST_BYTES else rows.hint("merge"), keys, how)
 
 
 # ------------------------------------------------------------------ verifying
@@ -266,49 +268,63 @@ def _lists(batches: Iterator[pa.RecordBatch]):
     return token, node, table, length, spans
 
 
-def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_COUNTS = _TABLE | {"n": "<u4"}
+_LENGTHS = {"doc": "<i8", "tag": "<u4", "size": "<u4", "class": "<i8", "token": "<u8", "length": "<u4"}
+
+
+def _packed(kinds: dict[str, str]) -> str:
+    return "bucket int, " + ", ".join(f"{c} binary" for c in kinds)
+
+
+def _shared_counts(buckets: int):
     """Per row: how many of its counted shingles are shared with other classes."""
-    if (found := _lists(batches)) is None:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if (found := _lists(batches)) is None:
+            return
+        token, node, table, _, spans = found
+        counted = spans & ((token < _LIMIT) | (table["size"][node] <= PERCENT * ALL // 100))
+        n = np.bincount(node[counted], minlength=len(table["doc"]))
+        # Rows without any are silent, but those of which too few shingles are known must go on.
+        few = table["known"].astype(np.int64) <= table["size"] - required(table["size"].astype(np.int64))
+        own = np.flatnonzero((n > 0) | few)
+        yield from repeats.pack({c: v[own] for c, v in table.items()} | {"n": n[own]}, _COUNTS, buckets)
+
+    return run
+
+
+def _left_over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows that may have a partner: too few of their shingles stay within the class."""
+    if (x := repeats.unpack(batches, _COUNTS)) is None:
         return
-    token, node, table, _, spans = found
-    counted = spans & ((token < _LIMIT) | (table["size"][node] <= PERCENT * ALL // 100))
-    n = np.bincount(node[counted], minlength=len(table["doc"]))
-    # Rows without any are silent, but those of which too few shingles are known must go on.
-    few = table["known"].astype(np.int64) <= table["size"] - required(table["size"].astype(np.int64))
-    own = np.flatnonzero((n > 0) | few)
-    yield pa.RecordBatch.from_pydict({"doc_id": table["doc"][own], "tag": table["tag"][own].astype(np.int64), "class": table["class"][own],
-                                      "size": table["size"][own].astype(np.int64), "known": table["known"][own].astype(np.int64), "n": n[own].astype(np.int64)})
+    x, at, _ = repeats.grouped(x)
+    alone = x["known"][at] - np.add.reduceat(x["n"], at)
+    at = at[alone <= x["size"][at] - required(x["size"][at])]
+    yield pa.RecordBatch.from_pydict({"doc_id": x["doc"][at], "tag": x["tag"][at], "class": x["class"][at]})
 
 
-def _list_lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _list_lengths(buckets: int):
     """Per row: its shingles that are shared with other classes, and the lengths of their lists."""
-    if (found := _lists(batches)) is None:
-        return
-    token, node, table, length, spans = found
-    order = np.flatnonzero(spans)
-    order = order[np.argsort(node[order], kind="stable")]
-    own, at = np.unique(node[order], return_index=True)
-    cut = np.append(at, len(order)).tolist()
-    yield pa.RecordBatch.from_pydict({
-        "doc_id": table["doc"][own], "tag": table["tag"][own].astype(np.int64), "class": table["class"][own], "size": table["size"][own].astype(np.int64),
-        "token": pa.array([token[order[a:b]].astype("<u8").tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
-        "length": pa.array([length[order[a:b]].astype("<u4").tobytes() for a, b in zip(cut, cut[1:])], pa.binary())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if (found := _lists(batches)) is None:
+            return
+        token, node, table, length, spans = found
+        own = np.flatnonzero(spans)
+        yield from repeats.pack({c: table[c][node[own]] for c in ("doc", "tag", "size", "class")} | {"token": token[own], "length": length[own]}, _LENGTHS, buckets)
+
+    return run
 
 
 def _shortest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The shortest lists of each row, with the shingle's place in the order by length."""
-    for batch in batches:
-        for r in batch.to_pylist():
-            token = np.frombuffer(b"".join(r["tokens"]), dtype="<u8")
-            length = np.frombuffer(b"".join(r["lengths"]), dtype="<u4")
-            alone = r["size"] - len(token)  # lists without another class come first
-            merge = int(r["size"] - required(np.int64(r["size"])) + 1 - alone)
-            if merge > 0:
-                order = np.lexsort((token, length))[:merge]
-                n = len(order)
-                yield pa.RecordBatch.from_pydict({
-                    "token": token[order].astype(np.int64), "doc": np.full(n, r["doc_id"]), "tag": np.full(n, r["tag"]), "class": np.full(n, r["class"]),
-                    "size": np.full(n, r["size"]), "place": np.arange(n) + alone})
+    if (x := repeats.unpack(batches, _LENGTHS)) is None:
+        return
+    x, at, row = repeats.grouped(x, "length", "token")
+    alone = x["size"] - np.diff(np.append(at, len(row)))[row]  # lists without another class come first
+    place = np.arange(len(row)) - at[row] + alone
+    keep = place <= x["size"] - required(x["size"])
+    yield pa.RecordBatch.from_pydict({"token": x["token"][keep].astype(np.int64), "place": place[keep]} | {c: x[c][keep] for c in ("doc", "tag", "class", "size")})
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -391,18 +407,12 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     special = _written(classes.where(~F.col("_rep") | F.col("class").isNotNull()), "special")
     marked = _beside(texts.where(F.col("doc_id").isNotNull()), special, ["doc_id", "tag"], "left")
     marked = marked.where(F.coalesce("_rep", F.lit(True))).select("doc_id", "tag", "text", F.coalesce("class", "doc_id").alias("class"))
-    counts = marked.mapInArrow(_deal(False, shingle, 2 * n), _DEALT).repartition(n, "bucket").mapInArrow(
-        _shared_counts, "doc_id long, tag long, class long, size long, known long, n long")
-    left = counts.groupBy("doc_id", "tag").agg(F.max("class").alias("class"), F.max("size").alias("size"), F.max("known").alias("known"), F.sum("n").alias("n"))
-    alone = F.col("known") - F.col("n")
-    left = _written(left.where(alone <= F.col("size") - F.ceil(F.col("size") * PERCENT / 100)).select("doc_id", "tag", "class"), "left")
+    counts = marked.mapInArrow(_deal(False, shingle, 2 * n), _DEALT).repartition(n, "bucket").mapInArrow(_shared_counts(2 * n), _packed(_COUNTS))
+    left = _written(counts.repartition(n, "bucket").mapInArrow(_left_over, "doc_id long, tag long, class long"), "left")
 
     rest = _beside(texts, left, ["doc_id", "tag"]).select("doc_id", "tag", "text", "class")
-    lengths = rest.mapInArrow(_deal(True, shingle, 2 * n), _DEALT).repartition(n, "bucket").mapInArrow(
-        _list_lengths, "doc_id long, tag long, class long, size long, token binary, length binary")
-    by_text = lengths.groupBy("doc_id", "tag", "class", "size").agg(F.collect_list(F.struct("token", "length")).alias("l"))
-    short = by_text.select("doc_id", "tag", "class", "size", F.col("l.token").alias("tokens"), F.col("l.length").alias("lengths")).mapInArrow(
-        _shortest, "token long, doc long, tag long, class long, size long, place long")
+    lengths = rest.mapInArrow(_deal(True, shingle, 2 * n), _DEALT).repartition(n, "bucket").mapInArrow(_list_lengths(2 * n), _packed(_LENGTHS))
+    short = lengths.repartition(n, "bucket").mapInArrow(_shortest, "token long, place long, doc long, tag long, class long, size long")
     pairs = short.repartition(n, "token").mapInArrow(_merge, "x_doc long, x_tag long, y_doc long, y_tag long")
     late = verified(texts, pairs, shingle, "late")
 

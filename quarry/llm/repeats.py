@@ -20,12 +20,13 @@ settled there. Corpus order is (doc_id, start).
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import kernels as kn
@@ -34,12 +35,12 @@ from quarry.session import scratch_path
 #: Entries a task gathers before it settles and ships them.
 FLUSH = 2_000_000
 SEND, REPEAT, EDGE = 0, 1, 2
-#: Edge entries up to this many bytes are broadcast to the texts; beyond it they are joined by shuffle.
-BROADCAST_BYTES = 16 << 20
 
 _DTYPES = {"trigger": "<u8", "whole": "<u8", "doc": "<i8", "tag": "<u4", "start": "<u4", "count": "<u2"}
 _PACKED = "bucket int, kind int, " + ", ".join(f"{c} binary" for c in _DTYPES)
-_SPANS = "doc_id long, tag long, kind int, start binary, count binary"
+_SPAN = {"doc": "<i8", "tag": "<u4", "start": "<u4", "count": "<u2"}
+_SPANS = "bucket int, kind int, " + ", ".join(f"{c} binary" for c in _SPAN)
+_ROWS = "doc_id long, tag long, starts binary, counts binary"
 
 
 @dataclass(frozen=True)
@@ -203,7 +204,8 @@ def _windows(tokens, at, length, bases, doc, tag):
         if len(own):
             lo, hi = int(own[0]), int(own[-1]) + length
             one, two = kn.window_hashes(tokens[lo:hi], bases, length)
-            yield {"trigger": one[own - lo], "whole": two[own - lo], "doc": np.full(len(own), doc), "tag": np.full(len(own), tag, dtype=np.uint32),
+            # 96 bits tell windows apart; the zeros above take no room when shipped
+            yield {"trigger": one[own - lo], "whole": two[own - lo] & np.uint64(0xFFFFFFFF), "doc": np.full(len(own), doc), "tag": np.full(len(own), tag, dtype=np.uint32),
                    "start": own.astype(np.uint32), "count": np.ones(len(own), dtype=np.uint16)}
 
 
@@ -216,8 +218,8 @@ def starts_of(part: pa.RecordBatch, row: int) -> np.ndarray:
 
 
 def _row_spans(part: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray]:
-    starts, counts = part.column("starts")[row].as_py() or [], part.column("counts")[row].as_py() or []
-    return (np.frombuffer(b"".join(starts), dtype="<u4").astype(np.int64), np.frombuffer(b"".join(counts), dtype="<u2").astype(np.int64))
+    start, count = part.column("starts")[row].as_py() or b"", part.column("counts")[row].as_py() or b""
+    return np.frombuffer(start, dtype="<u4").astype(np.int64), np.frombuffer(count, dtype="<u2").astype(np.int64)
 
 
 def removed_runs(part: pa.RecordBatch, row: int, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -226,37 +228,63 @@ def removed_runs(part: pa.RecordBatch, row: int, length: int) -> tuple[np.ndarra
     return kn.covered(start, count + length - 1)
 
 
-def _finish(spec_within: bool, edges: bool) -> Callable:
+def pack(x: dict[str, np.ndarray], kinds: dict[str, str], buckets: int, **fixed: int) -> Iterator[pa.RecordBatch]:
+    """Entries dealt out by the row (doc, tag) they belong to, one packed batch for each bucket."""
+    bucket = (kn.mix(x["doc"].astype(np.uint64) ^ (x["tag"].astype(np.uint64) << np.uint64(32))) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((x["doc"], bucket))
+    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for b in np.flatnonzero(np.diff(cuts)):
+        own = order[cuts[b]: cuts[b + 1]]
+        yield pa.RecordBatch.from_pydict({k: pa.array([v], pa.int32()) for k, v in ({"bucket": b} | fixed).items()}
+                                         | {c: pa.array([_planes(x[c][own], d)], pa.binary()) for c, d in kinds.items()})
+
+
+def unpack(batches: Iterator[pa.RecordBatch], kinds: dict[str, str]) -> dict[str, np.ndarray] | None:
+    parts = [{c: _unplanes(r[c], d) for c, d in kinds.items()} for batch in batches for r in batch.to_pylist()]
+    return {c: np.concatenate([x[c] for x in parts]).astype(np.uint64 if d == "<u8" else np.int64) for c, d in kinds.items()} if parts else None
+
+
+def grouped(x: dict[str, np.ndarray], *within: str) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """Entries sorted by row and then by ``within``; first entry of each row, number of the row."""
+    x = _take(x, np.lexsort((*(x[c] for c in reversed(within)), x["tag"], x["doc"])))
+    new = np.ones(len(x["doc"]), dtype=bool)
+    new[1:] = (x["doc"][1:] != x["doc"][:-1]) | (x["tag"][1:] != x["tag"][:-1])
+    return x, np.flatnonzero(new), np.cumsum(new) - 1
+
+
+def _finish(within: bool, edges: bool, buckets: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: list[dict[str, np.ndarray]] = []
+        known: dict[int, list[dict[str, np.ndarray]]] = {REPEAT: [], EDGE: []}
         for batch in batches:
             for r in batch.to_pylist():
                 if r["kind"] == SEND:
                     sent.append({k: _unplanes(r[k], d) for k, d in _DTYPES.items()})
                 else:
-                    yield from _by_document(r["kind"], {k: _unplanes(r[k], d) for k, d in _DTYPES.items() if k not in ("trigger", "whole")})
-        if sent:
-            for kind, x in _settle(_joined(sent), spec_within, edges, final=True):
-                yield from _by_document(kind, x)
+                    known[r["kind"]].append({k: _unplanes(r[k], d) for k, d in _SPAN.items()})
+        for kind, x in _settle(_joined(sent), within, edges, final=True) if sent else []:
+            known[kind].append({k: x[k] for k in _SPAN})
+        for kind, found in known.items():
+            if found:
+                yield from pack(_joined(found), _SPAN, buckets, kind=kind)
 
     return run
 
 
-def _by_document(kind: int, x: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    if len(x["doc"]) == 0:
+def _by_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of each row, together."""
+    if (x := unpack(batches, _SPAN)) is None:
         return
-    x = _take(x, np.lexsort((x["tag"], x["doc"])))
-    new = np.ones(len(x["doc"]), dtype=bool)
-    new[1:] = (x["doc"][1:] != x["doc"][:-1]) | (x["tag"][1:] != x["tag"][:-1])
-    at = np.flatnonzero(new)
-    cut = np.append(at, len(new)).astype(np.int64)
-
-    def lists(name: str, kind_of: str) -> pa.Array:
-        raw = x[name].astype(kind_of).tobytes()
-        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(cut * np.dtype(kind_of).itemsize), pa.py_buffer(raw)]).cast(pa.binary())
-
-    yield pa.RecordBatch.from_pydict({"doc_id": x["doc"][at], "tag": x["tag"][at].astype(np.int64), "kind": pa.array(np.full(len(at), kind, dtype=np.int32)),
-                                      "start": lists("start", "<u4"), "count": lists("count", "<u2")})
+    x, at, _ = grouped(x)
+    cut = np.append(at, len(x["doc"]))
+    for a in range(0, len(at), 10_000):
+        own = cut[a: a + 10_001]
+        lists = {}
+        for name, column in (("starts", "start"), ("counts", "count")):
+            raw = x[column][own[0]: own[-1]].astype(_SPAN[column])
+            offsets = ((own - own[0]) * raw.itemsize).astype(np.int64)
+            lists[name] = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(own) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(raw)]).cast(pa.binary())
+        yield pa.RecordBatch.from_pydict({"doc_id": x["doc"][own[:-1]], "tag": x["tag"][own[:-1]]} | lists)
 
 
 def _buckets(docs: DataFrame) -> int:
@@ -266,20 +294,30 @@ def _buckets(docs: DataFrame) -> int:
 def _round(source: DataFrame, emit: Callable, within: bool, edges: bool, buckets: int) -> DataFrame:
     """One round, written to the shared folder and read again."""
     dealt = source.mapInArrow(emit, _PACKED).repartition(buckets, "bucket")
-    spans = dealt.mapInArrow(_finish(within, edges), _SPANS)
+    spans = dealt.mapInArrow(_finish(within, edges, 2 * buckets), _SPANS)
     path = scratch_path(source.sparkSession, "repeats")
     spans.write.parquet(path)
+    del dealt, spans
+    release_shuffles(source.sparkSession)
     return source.sparkSession.read.schema(_SPANS).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """After a table is written, the shuffle files behind it serve nothing.
+    Spark deletes them once the driver has collected the plans that own them,
+    which on an idle driver may be long after; this asks for it now."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     """doc_id, text and a tag of the text, which tells apart rows that share an id."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *more,
                        F.xxhash64(F.col(text_col)).bitwiseAND(F.lit(0xFFFFFFFF)).alias("tag"))
 
 
-def _collected(spans: DataFrame) -> DataFrame:
-    return spans.groupBy("doc_id", "tag").agg(F.collect_list("start").alias("starts"), F.collect_list("count").alias("counts"))
+def _collected(spans: DataFrame, buckets: int) -> DataFrame:
+    return spans.repartition(buckets, "bucket").mapInArrow(_by_row, _ROWS)
 
 
 def with_repeats(source: DataFrame, spec: Windows, likely=None) -> DataFrame:
@@ -290,12 +328,10 @@ def with_repeats(source: DataFrame, spec: Windows, likely=None) -> DataFrame:
     buckets = _buckets(source)
     slim = source.where(F.col("doc_id").isNotNull()).select("doc_id", "tag", "text")
     spans = _round(slim, _emit_phrases(spec, buckets * 2, likely), spec.within, True, buckets)
-    edge = _collected(spans.where(F.col("kind") == EDGE))
-    weight = spans.where(F.col("kind") == EDGE).agg(F.sum(F.length("start") + F.length("count") + 48)).first()[0] or 0
-    small = weight <= BROADCAST_BYTES
-    texts = slim.join(F.broadcast(edge) if small else edge.hint("merge"), ["doc_id", "tag"])
+    edge = _collected(spans.where(F.col("kind") == EDGE), buckets)
+    texts = slim.join(edge.hint("merge"), ["doc_id", "tag"])
     single = _round(texts.select("doc_id", "tag", "text", "starts", "counts"), _emit_windows(spec, buckets * 2), spec.within, False, buckets)
-    repeats = _collected(spans.where(F.col("kind") == REPEAT).unionByName(single).select("doc_id", "tag", "start", "count"))
+    repeats = _collected(spans.where(F.col("kind") == REPEAT).unionByName(single), buckets)
     return source.join(repeats.hint("merge"), ["doc_id", "tag"], "left")
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from quarry.llm import components, jaccard_join as jj
 from quarry.llm import kernels as kn
 from quarry.llm import queries as Q
-from quarry.llm import repeats
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -61,7 +60,7 @@ def corpus(seed, n):
 @pytest.mark.parametrize("seed,flush,most", [(1, 2_000_000, 16 << 20), (2, 300, 0)])
 def test_components_match_all_pairs(spark, documents, monkeypatch, seed, flush, most):
     monkeypatch.setattr(jj, "FLUSH", flush)
-    monkeypatch.setattr(repeats, "BROADCAST_BYTES", most)
+    monkeypatch.setattr(jj, "BROADCAST_BYTES", most)
     rows = corpus(seed, 220)
     rng = random.Random(seed)
     rng.shuffle(rows)
