@@ -8,7 +8,7 @@ distinct phrases, the parse their occurrences in corpus order (doc_id, start).
 A phrase that the parse holds before is removed whole. Where one trigger has
 several dictionary phrases, their suffixes are sorted by rank and then by the
 parse; only the first suffix of each rank stays. Removal asks only
-whether two suffixes agree in their first 100 bytes, so a rank is the 128-bit
+whether two suffixes agree in their first 100 bytes, so a rank is the 96-bit
 fingerprint of those bytes instead of their alphabetical place. Highly
 repetitive text has few dictionary phrases and almost all work ends there.
 """
@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 from quarry.llm import kernels as kn
 from quarry.llm import repeats
 
-#: Bytes hashed by the trigger; 77 grams compete in a window of 100.
-GRAM = 24
+#: Bytes hashed by the trigger; 61 grams compete in a window of 100.
+GRAM = 40
 _OUT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
 
 
