@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.columns import gram_hashes, token_words
+from quarry.session import scratch_path
 
 GRAM = 6
 #: Low bits of a fingerprint that hold its place; a text has fewer words.
 PLACE_BITS = 30
 #: Distinct benchmark windows up to this number are broadcast, more are joined by shuffle.
 BROADCAST_WINDOWS = 100_000
+#: Contaminated documents up to this number are broadcast to be left out, more are joined by shuffle.
+BROADCAST_HITS = 500_000
 
 def _longs() -> Column:
     return F.array().cast("array<bigint>")
@@ -137,3 +140,14 @@ def merged_runs(hits: Column) -> Column:
                         F.when(apart, h["end"]).otherwise(F.greatest(a["end"], h["end"])).alias("end"))
 
     return F.aggregate(F.array_sort(hits), empty, step, lambda a: F.when(a["end"].isNull(), a["done"]).otherwise(F.concat(a["done"], run(a["start"], a["end"]))))
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """Rows of ``docs`` without any hit, all columns as they are."""
+    found = find_contamination(docs, benchmark, id_col, text_col, **options).where(F.size("hits") > 0)
+    path = scratch_path(docs.sparkSession, "contaminated")
+    found.select(F.col("doc_id").alias("_hit_id"), F.col("tag").alias("_hit_tag")).distinct().write.parquet(path)
+    hits = docs.sparkSession.read.parquet(path)
+    small = hits.count() <= BROADCAST_HITS
+    same = F.col(id_col).eqNullSafe(F.col("_hit_id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_hit_tag"))
+    return docs.join(F.broadcast(hits) if small else hits.hint("merge"), same, "left_anti")

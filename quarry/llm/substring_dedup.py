@@ -18,8 +18,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quarry.llm import kernels as kn
 from quarry.llm import repeats
@@ -30,7 +31,7 @@ BLOCK_BITS = 18
 #: Words hashed by the trigger; 41 grams compete in a window of 50.
 GRAM = 10
 _BLOCKS = "block int, salt int, cells binary, counts binary"
-_OUT = "doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept string"
+_OUT = "n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept string"
 
 
 def cells_of(triggers: np.ndarray, row: int, bits: int) -> np.ndarray:
@@ -156,7 +157,7 @@ def _cut(length: int, join_words: bool):
 
 
 def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50,
-                            join_words: bool = True, sketch_bits: int = SKETCH_BITS) -> DataFrame:
+                            join_words: bool = True, sketch_bits: int = SKETCH_BITS, carry: Column | None = None) -> DataFrame:
     """doc_id, n_words, n_removed, spans (maximal removed runs, in words), kept,
     one row per input row.
 
@@ -165,15 +166,18 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     is the words that stay joined by one space, or with ``join_words=False``
     the text without the removed words and the space behind them. Ids are
     integers; rows that share an id do not remove each other's words; rows with
-    a null id stay whole and remove nothing. A null text has no words.
+    a null id stay whole and remove nothing. A null text has no words. ``carry``
+    is passed through as the column carried.
     """
     spec = repeats.Windows(words=True, length=window, gram=min(GRAM, window), within=False)
-    source = repeats.keyed(docs, id_col, text_col)
+    source = repeats.keyed(docs, id_col, text_col, *([] if carry is None else [carry.alias("carried")]))
     slim = source.where(F.col("doc_id").isNotNull()).select("doc_id", "tag", "text")
     hot = repeated_cells(slim, spec, sketch_bits)
     shared = source.sparkSession.sparkContext.broadcast(hot)
     joined = repeats.with_repeats(source, spec, _likely(shared, sketch_bits, SKETCH_ROWS))
-    return joined.select("doc_id", "text", "starts", "counts").mapInArrow(_cut(window, join_words), _OUT)
+    more = [] if carry is None else ["carried"]
+    schema = StructType([source.schema["doc_id"], *(source.schema[c] for c in more), *StructType.fromDDL(_OUT).fields])
+    return joined.select("doc_id", *more, "text", "starts", "counts").mapInArrow(_cut(window, join_words), schema)
 
 
 kn.ship(__name__)
