@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import packing, quality_rules
+from quarry.llm import decontaminate, jaccard_join, packing, quality_rules, substring_dedup
 from quarry.session import scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -26,12 +26,32 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select("_doc.*")
 
 
+def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one of least id."""
+    classes = jaccard_join.similarity_classes(docs)
+    first = classes.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    return docs.join(first, "doc_id").dropDuplicates(["doc_id"]).select(*COLUMNS)
+
+
+def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the word windows of earlier documents; a text of nothing else goes."""
+    out = substring_dedup.remove_repeated_windows(docs, join_words=False, carry=F.struct("lang", "source"))
+    out = out.where((F.col("n_removed") < F.col("n_words")) | (F.col("n_words") == 0))
+    return out.select("doc_id", F.col("kept").alias("text"), "carried.lang", "carried.source", F.length("kept").cast("long").alias("n_chars"))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no window with the benchmark."""
+    return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*COLUMNS)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of power-of-two lengths."""
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("quality_rules", quality), ("packing", pack)]
+STAGES = [("quality_rules", quality), ("jaccard_join", jaccard), ("substring_dedup", substring), ("decontamination", decontaminated),
+          ("packing", pack)]
 ORACLE_SQL = None
 
 
