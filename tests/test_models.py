@@ -65,7 +65,10 @@ def test_cross_validate_holds_out_every_row_once(spark):
 
 
 def test_pca_projection_shape(spark):
-    rows = catalog.q_pca_project(spark, SF001).collect()
+    assert catalog.q_pca_project(spark, SF001).count() == 500
+    vectors = ml.assemble_features(fx.embeddings(spark, SF001), "vec", "features", keep=["vec_id"])
+    _, projected, _ = ml.pca_project(vectors, [], 10)
+    rows = projected.select(ml.vector_as_array("pca").alias("pca")).collect()
     assert len(rows) == 500 and all(len(r.pca) == 10 for r in rows)
 
 
