@@ -21,6 +21,7 @@ settled there. Corpus order is (doc_id, start).
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -305,8 +306,10 @@ def _round(source: DataFrame, emit: Callable, within: bool, edges: bool, buckets
 def release_shuffles(spark: SparkSession) -> None:
     """After a table is written, the shuffle files behind it serve nothing.
     Spark deletes them once the driver has collected the plans that own them,
-    which on an idle driver may be long after; this asks for it now."""
+    which on an idle driver may be long after; this asks for it now. Python's
+    side lets go of its plans with a delay of about a second."""
     gc.collect()
+    time.sleep(2)
     spark.sparkContext._jvm.System.gc()
 
 
