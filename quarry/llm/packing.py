@@ -9,10 +9,13 @@ Tokenizing and cutting need no shuffle; the work is one pass over the rows.
 
 from __future__ import annotations
 
+import json
 import os
+import sys
 import unicodedata
 from collections.abc import Iterator
 from itertools import repeat
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +38,8 @@ class ChunkEncoder:
     The tokenizer lower-cases, drops white space, and its pre-tokens never hold
     any, so the ids of a text are those of its chunks in turn; each distinct
     chunk is encoded once while it is remembered. Chunks of plain letters are
-    one pre-token each; they are encoded together and told apart by the ids
-    that end a word.
+    one pre-token each; they are encoded together, without the normalizer that
+    has nothing to do there, and told apart by the ids that end a word.
     """
 
     def __init__(self, path: str):
@@ -44,6 +47,10 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        parts = json.loads(self.tokenizer.to_str())
+        *_, level = parts["pre_tokenizer"]["pretokenizers"]
+        parts |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, level]}}
+        self.plain = Tokenizer.from_str(json.dumps(parts))
         words = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(words.values()) + 1, dtype=bool)
         self.ends_word[[i for w, i in words.items() if w.endswith("</w>")]] = True
@@ -71,7 +78,7 @@ class ChunkEncoder:
         for c in chunks:
             (plain if c.islower() and c.isalpha() or is_plain(c) else other).append(c)
         if plain:
-            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(plain).decode()], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            ids = np.array(self.plain.encode_batch_fast([b" ".join(plain).decode()], add_special_tokens=False)[0].ids, dtype=np.uint32)
             last = np.flatnonzero(self.ends_word[ids])
             if len(last) == len(plain) and last[-1] == len(ids) - 1:
                 self._store(plain, ids, np.diff(last, prepend=-1))
@@ -119,6 +126,14 @@ class ChunkEncoder:
         return ids, upto[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])]
 
 
+def worker_encoder(path: str) -> ChunkEncoder:
+    """One encoder for all tasks that a Python worker runs, with what it remembers."""
+    held = sys.modules.setdefault("quarry_worker_encoders", ModuleType("quarry_worker_encoders")).__dict__
+    if path not in held:
+        held[path] = ChunkEncoder(path)
+    return held[path]
+
+
 def is_plain(chunk: bytes) -> bool:
     """Lower-case letters of Latin blocks, composed: surely one pre-token."""
     text = chunk.decode("utf-8", "replace")
@@ -134,26 +149,30 @@ def piece_lengths(n: int, most: int) -> list[int]:
 
 def _pack(path: str, end_id: int, most: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(path)
-        for batch in batches:
-            for part in kn.slices(batch, "text"):
-                texts = [x or b"" for x in part.column("text").cast(pa.binary()).to_pylist()]
-                ids, off = encoder.encode(texts)
-                rows, start, length, piece, total = [], [], [], [], []
-                for r in range(len(texts)):
-                    own = np.append(ids[off[r]: off[r + 1]], np.uint32(end_id)).astype("<u4").tobytes()
-                    n, at = len(own) // 4, 0
-                    for size in piece_lengths(n, most):
-                        rows.append(r)
-                        start.append(at)
-                        length.append(size)
-                        piece.append(own[4 * at: 4 * (at + size)])
-                        total.append(n)
-                        at += size
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(start, pa.int64()),
-                     pa.array(length, pa.int64()), pa.array(piece, pa.binary()), pa.array(total, pa.int64())],
-                    schema=schema)
+        encoder = worker_encoder(path)
+        try:
+            for batch in batches:
+                for part in kn.slices(batch, "text"):
+                    texts = [x or b"" for x in part.column("text").cast(pa.binary()).to_pylist()]
+                    ids, off = encoder.encode(texts)
+                    rows, start, length, piece, total = [], [], [], [], []
+                    for r in range(len(texts)):
+                        own = np.append(ids[off[r]: off[r + 1]], np.uint32(end_id)).astype("<u4").tobytes()
+                        n, at = len(own) // 4, 0
+                        for size in piece_lengths(n, most):
+                            rows.append(r)
+                            start.append(at)
+                            length.append(size)
+                            piece.append(own[4 * at: 4 * (at + size)])
+                            total.append(n)
+                            at += size
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(start, pa.int64()),
+                         pa.array(length, pa.int64()), pa.array(piece, pa.binary()), pa.array(total, pa.int64())],
+                        schema=schema)
+        except BaseException:  # a task that breaks off leaves nothing half learned to the next
+            encoder.forget()
+            raise
 
     return run
 
