@@ -90,10 +90,10 @@ def collision_bound(template: Template, bands: int = BANDS) -> float:
 
 
 def anchor_words(template: Template, common: dict[str, int]) -> set[str]:
-    """Words, rarest among the templates first, such that the shingles without
-    any of them fall short of ``CONTAINED``."""
+    """Words, the longest first (which other text rarely holds), such that the
+    shingles without any of them fall short of ``CONTAINED``."""
     left, chosen = set(template.shingles), set()
-    for word in sorted(set(template.words), key=lambda w: (-common.get(w, 0), -len(w), w)):
+    for word in sorted(set(template.words), key=lambda w: (-len(w), common.get(w, 0), w)):
         if len(left) < CONTAINED * len(template.shingles):
             break
         chosen.add(word)
