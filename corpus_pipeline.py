@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from quarry.llm import decontaminate, jaccard_join, packing, quality_rules, substring_dedup
 from quarry.session import scratch_path
 
+#: Near copies of the Jaccard stage: words of a shingle, least percent of common shingles.
+SHINGLE, PERCENT = 5, 80
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -27,8 +29,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one of least id."""
-    classes = jaccard_join.similarity_classes(docs)
+    """One document of each group of near copies (from 80 % of common five-word
+    shingles on): the one of least id."""
+    classes = jaccard_join.similarity_classes(docs, shingle=SHINGLE, percent=PERCENT)
     first = classes.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     return docs.join(first, "doc_id").dropDuplicates(["doc_id"]).select(*COLUMNS)
 

@@ -1,8 +1,8 @@
 """Similarity classes by T-occurrence search over shingle lists (DivideSkip).
 
-Two texts are linked when 100 * |A and B| >= 85 * |A or B| for their sets of
+Two texts are linked when 100 * |A and B| >= percent * |A or B| for their sets of
 word shingles. A partner of a text x lacks at most e = |x| - T of its shingles,
-where T = ceil(0.85 |x|) is the least overlap. So of the lists (which texts hold
+where T = ceil(percent |x| / 100) is the least overlap. So of the lists (which texts hold
 a shingle) of x, the T - 1 longest can be skipped and only the e + 1 shortest
 are merged: any partner is in one of those. Texts found there are retained if
 they still can reach the overlap, and decided by binary search in the sorted
@@ -37,6 +37,7 @@ from quarry.llm import repeats
 from quarry.llm.components import component_minimum
 from quarry.session import scratch_path
 
+#: Percent and words of a shingle where none are asked for.
 PERCENT, SHINGLE = 85, 4
 #: Least hashes kept of a text, and how many of them look for an early partner.
 LEAST, KEYS = 16, 4
@@ -51,13 +52,13 @@ _TABLE = {"doc": "<i8", "tag": "<u4", "size": "<u4", "known": "<u4", "class": "<
 _DEALT = "bucket int, token binary, node binary, " + ", ".join(f"{c} binary" for c in _TABLE)
 
 
-def required(size: np.ndarray) -> np.ndarray:
+def required(size: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Least overlap of a text of so many shingles with any partner."""
-    return -(-PERCENT * size // 100)
+    return -(-percent * size // 100)
 
 
-def required_pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return -(-PERCENT * (a + b) // (100 + PERCENT))
+def required_pair(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    return -(-percent * (a + b) // (100 + percent))
 
 
 def shingle_sets(column: pa.Array, powers: kn.Powers, shingle: int = SHINGLE) -> list[np.ndarray]:
@@ -161,19 +162,22 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        xs, ys = batch.column("x_set"), batch.column("y_set")
-        for r in range(batch.num_rows):
-            a, b = (np.frombuffer(c[r].as_buffer(), dtype=np.uint64) for c in (xs, ys))
-            both = overlap(a, b)
-            keep.append(100 * both >= PERCENT * (len(a) + len(b) - both))
-        keep = pa.array(keep, pa.bool_())
-        yield pa.RecordBatch.from_pydict({"a": batch.column("x_doc").filter(keep), "b": batch.column("y_doc").filter(keep)})
+def _linked(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            xs, ys = batch.column("x_set"), batch.column("y_set")
+            for r in range(batch.num_rows):
+                a, b = (np.frombuffer(c[r].as_buffer(), dtype=np.uint64) for c in (xs, ys))
+                both = overlap(a, b)
+                keep.append(100 * both >= percent * (len(a) + len(b) - both))
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_pydict({"a": batch.column("x_doc").filter(keep), "b": batch.column("y_doc").filter(keep)})
+
+    return run
 
 
-def verified(texts: DataFrame, pairs: DataFrame, shingle: int, name: str) -> DataFrame:
+def verified(texts: DataFrame, pairs: DataFrame, shingle: int, percent: int, name: str) -> DataFrame:
     """a, b: the ids of the pairs (x_doc, x_tag, y_doc, y_tag) that are linked."""
     pairs = _written(pairs.distinct(), f"{name}-pairs")
     by_x = pairs.groupBy(F.col("x_doc").alias("doc_id"), F.col("x_tag").alias("tag")).agg(F.collect_list(F.struct("y_doc", "y_tag")).alias("ys"))
@@ -181,12 +185,12 @@ def verified(texts: DataFrame, pairs: DataFrame, shingle: int, name: str) -> Dat
     left = _beside(texts, by_x, ["doc_id", "tag"], n=pairs.count()).select("doc_id", "tag", "text", "ys").mapInArrow(_sets_for(True, shingle), "y_doc long, y_tag long, x_doc long, x_set binary")
     right = _beside(texts, ys, ["doc_id", "tag"]).select("doc_id", "tag", "text").mapInArrow(_sets_for(False, shingle), "y_doc long, y_tag long, y_set binary")
     both = left.join(right.hint("merge"), ["y_doc", "y_tag"]).select("x_doc", "x_set", "y_doc", "y_set")
-    return _written(both.mapInArrow(_linked, "a long, b long").distinct(), f"{name}-links")
+    return _written(both.mapInArrow(_linked(percent), "a long, b long").distinct(), f"{name}-links")
 
 
 # ------------------------------------------------------------- dealing shingles
 
-def _deal(everything: bool, shingle: int, buckets: int):
+def _deal(everything: bool, shingle: int, percent: int, buckets: int):
     """Shingles of the rows by bucket, packed with a table of the rows that hold them."""
 
     def ship(rows: list[tuple], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +219,7 @@ def _deal(everything: bool, shingle: int, buckets: int):
                     n = len(s)
                     s = s >> np.uint64(16)
                     sampled = s[: np.searchsorted(s, _LIMIT)]
-                    known = n if everything or n <= PERCENT * ALL // 100 else len(sampled)
+                    known = n if everything or n <= percent * ALL // 100 else len(sampled)
                     s = s if everything or n <= ALL else sampled if known else s[:1]  # at least one, to be heard of
                     if len(s):
                         rows.append((doc, tag, n, known, cls))
@@ -276,31 +280,35 @@ def _packed(kinds: dict[str, str]) -> str:
     return "bucket int, " + ", ".join(f"{c} binary" for c in kinds)
 
 
-def _shared_counts(buckets: int):
+def _shared_counts(percent: int, buckets: int):
     """Per row: how many of its counted shingles are shared with other classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if (found := _lists(batches)) is None:
             return
         token, node, table, _, spans = found
-        counted = spans & ((token < _LIMIT) | (table["size"][node] <= PERCENT * ALL // 100))
+        counted = spans & ((token < _LIMIT) | (table["size"][node] <= percent * ALL // 100))
         n = np.bincount(node[counted], minlength=len(table["doc"]))
         # Rows without any are silent, but those of which too few shingles are known must go on.
-        few = table["known"].astype(np.int64) <= table["size"] - required(table["size"].astype(np.int64))
+        few = table["known"].astype(np.int64) <= table["size"] - required(table["size"].astype(np.int64), percent)
         own = np.flatnonzero((n > 0) | few)
         yield from repeats.pack({c: v[own] for c, v in table.items()} | {"n": n[own]}, _COUNTS, buckets)
 
     return run
 
 
-def _left_over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _left_over(percent: int):
     """Rows that may have a partner: too few of their shingles stay within the class."""
-    if (x := repeats.unpack(batches, _COUNTS)) is None:
-        return
-    x, at, _ = repeats.grouped(x)
-    alone = x["known"][at] - np.add.reduceat(x["n"], at)
-    at = at[alone <= x["size"][at] - required(x["size"][at])]
-    yield pa.RecordBatch.from_pydict({"doc_id": x["doc"][at], "tag": x["tag"][at], "class": x["class"][at]})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if (x := repeats.unpack(batches, _COUNTS)) is None:
+            return
+        x, at, _ = repeats.grouped(x)
+        alone = x["known"][at] - np.add.reduceat(x["n"], at)
+        at = at[alone <= x["size"][at] - required(x["size"][at], percent)]
+        yield pa.RecordBatch.from_pydict({"doc_id": x["doc"][at], "tag": x["tag"][at], "class": x["class"][at]})
+
+    return run
 
 
 def _list_lengths(buckets: int):
@@ -316,44 +324,52 @@ def _list_lengths(buckets: int):
     return run
 
 
-def _shortest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shortest(percent: int):
     """The shortest lists of each row, with the shingle's place in the order by length."""
-    if (x := repeats.unpack(batches, _LENGTHS)) is None:
-        return
-    x, at, row = repeats.grouped(x, "length", "token")
-    alone = x["size"] - np.diff(np.append(at, len(row)))[row]  # lists without another class come first
-    place = np.arange(len(row)) - at[row] + alone
-    keep = place <= x["size"] - required(x["size"])
-    yield pa.RecordBatch.from_pydict({"token": x["token"][keep].astype(np.int64), "place": place[keep]} | {c: x[c][keep] for c in ("doc", "tag", "class", "size")})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if (x := repeats.unpack(batches, _LENGTHS)) is None:
+            return
+        x, at, row = repeats.grouped(x, "length", "token")
+        alone = x["size"] - np.diff(np.append(at, len(row)))[row]  # lists without another class come first
+        place = np.arange(len(row)) - at[row] + alone
+        keep = place <= x["size"] - required(x["size"], percent)
+        yield pa.RecordBatch.from_pydict({"token": x["token"][keep].astype(np.int64), "place": place[keep]} | {c: x[c][keep] for c in ("doc", "tag", "class", "size")})
+
+    return run
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _merge(percent: int):
     """Pairs of rows of different classes that share a merged list and can
     still reach the overlap required of their sizes."""
-    parts = [b for b in batches if b.num_rows]
-    if not parts:
-        return
-    x = {c: np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in parts]) for c in parts[0].schema.names}
-    order = np.lexsort((x["size"], x["token"]))
-    x = {c: v[order] for c, v in x.items()}
-    cut = np.flatnonzero(np.diff(x["token"], prepend=x["token"][0] - 1))
-    seen: set[tuple] = set()
-    for a, b in zip(cut, np.append(cut[1:], len(order))):
-        if b - a < 2 or (x["class"][a:b] == x["class"][a]).all():
-            continue
-        size, rest, cls = x["size"][a:b], x["size"][a:b] - x["place"][a:b], x["class"][a:b]
-        names, counts = np.unique(cls, return_counts=True)
-        for i in np.flatnonzero(cls != names[counts.argmax()]):  # every pair sought has one outside the largest class
-            lo, hi = np.searchsorted(size, required(size[i])), np.searchsorted(size, size[i] * 100 // PERCENT, side="right")
-            reach = np.minimum(rest[lo:hi], rest[i]) >= required_pair(size[lo:hi], size[i])
-            for j in lo + np.flatnonzero(reach & (cls[lo:hi] != cls[i])):
-                one, two = ((int(x["doc"][a + k]), int(x["tag"][a + k])) for k in (i, j))
-                seen.add((max(one, two), min(one, two)))
-        if len(seen) > 200_000:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
+            return
+        x = {c: np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in parts]) for c in parts[0].schema.names}
+        order = np.lexsort((x["size"], x["token"]))
+        x = {c: v[order] for c, v in x.items()}
+        cut = np.flatnonzero(np.diff(x["token"], prepend=x["token"][0] - 1))
+        seen: set[tuple] = set()
+        for a, b in zip(cut, np.append(cut[1:], len(order))):
+            if b - a < 2 or (x["class"][a:b] == x["class"][a]).all():
+                continue
+            size, rest, cls = x["size"][a:b], x["size"][a:b] - x["place"][a:b], x["class"][a:b]
+            names, counts = np.unique(cls, return_counts=True)
+            for i in np.flatnonzero(cls != names[counts.argmax()]):  # every pair sought has one outside the largest class
+                lo, hi = np.searchsorted(size, required(size[i], percent)), np.searchsorted(size, size[i] * 100 // percent, side="right")
+                reach = np.minimum(rest[lo:hi], rest[i]) >= required_pair(size[lo:hi], size[i], percent)
+                for j in lo + np.flatnonzero(reach & (cls[lo:hi] != cls[i])):
+                    one, two = ((int(x["doc"][a + k]), int(x["tag"][a + k])) for k in (i, j))
+                    seen.add((max(one, two), min(one, two)))
+            if len(seen) > 200_000:
+                yield _as_pairs(seen)
+                seen = set()
+        if seen:
             yield _as_pairs(seen)
-            seen = set()
-    if seen:
-        yield _as_pairs(seen)
+
+    return run
 
 
 def _as_pairs(seen: set[tuple]) -> pa.RecordBatch:
@@ -367,9 +383,9 @@ def _early_pairs(sets: DataFrame) -> DataFrame:
     """Each text with the first of those that share one of its least hashes,
     if their least hashes agree enough to make a link likely."""
     node = F.struct(F.col("doc_id").alias("y_doc"), F.col("tag").alias("y_tag"), F.col("n_shingles").alias("y_n"), F.col("least").alias("y_least"))
-    keyed = sets.select("doc_id", "tag", "n_shingles", "least", F.explode(F.slice("least", 1, KEYS)).alias("key"))
+    keyed = sets.select("doc_id", "tag", "n_shingles", "percent", "least", F.explode(F.slice("least", 1, KEYS)).alias("key"))
     first = keyed.groupBy("key").agg(F.min(node).alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first.*")
-    near = (F.least("n_shingles", "y_n") * 100 >= F.greatest("n_shingles", "y_n") * PERCENT) & (
+    near = (F.least("n_shingles", "y_n") * 100 >= F.greatest("n_shingles", "y_n") * F.col("percent")) & (
         F.size(F.array_intersect("least", "y_least")) * 2 >= F.least(F.size("least"), F.size("y_least")))
     other = (F.col("doc_id") != F.col("y_doc")) | (F.col("tag") != F.col("y_tag"))
     return keyed.join(first, "key").where(other & near).select(F.col("doc_id").alias("x_doc"), F.col("tag").alias("x_tag"), "y_doc", "y_tag")
@@ -382,8 +398,10 @@ def _early_classes(links: DataFrame) -> DataFrame:
     return one.join(two, "class", "left").select("doc_id", F.coalesce("next", "class").alias("class"))
 
 
-def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
+def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                       percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (least id reachable by links, itself included), one row per input row.
+    Texts are linked from ``percent`` of common among all their shingles on (1 to 100).
 
     Words are runs without ASCII white space, A-Z lower-cased; a text of fewer
     than ``shingle`` words is one shingle. Texts without words have no shingles
@@ -400,21 +418,22 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     held = held.join(equal, ["one", "two"]).select("doc_id", "tag", "n_shingles", "least", F.col("rep.doc_id").alias("rep"), F.col("rep.tag").alias("rep_tag"))
     held = _written(held, "held")
     is_rep = (F.col("doc_id") == F.col("rep")) & (F.col("tag") == F.col("rep_tag"))
-    early = verified(texts, _early_pairs(held.where(is_rep).select("doc_id", "tag", "n_shingles", "least").distinct()), shingle, "early")
+    reps = held.where(is_rep).select("doc_id", "tag", "n_shingles", "least").distinct().withColumn("percent", F.lit(percent))
+    early = verified(texts, _early_pairs(reps), shingle, percent, "early")
 
     # Texts that are no representative, or whose class is not their own id: a small part.
     classes = held.select("doc_id", "tag", is_rep.alias("_rep")).distinct().join(_early_classes(early), "doc_id", "left")
     special = _written(classes.where(~F.col("_rep") | F.col("class").isNotNull()), "special")
     marked = _beside(texts.where(F.col("doc_id").isNotNull()), special, ["doc_id", "tag"], "left")
     marked = marked.where(F.coalesce("_rep", F.lit(True))).select("doc_id", "tag", "text", F.coalesce("class", "doc_id").alias("class"))
-    counts = marked.mapInArrow(_deal(False, shingle, 2 * n), _DEALT).repartition(n, "bucket").mapInArrow(_shared_counts(2 * n), _packed(_COUNTS))
-    left = _written(counts.repartition(n, "bucket").mapInArrow(_left_over, "doc_id long, tag long, class long"), "left")
+    counts = marked.mapInArrow(_deal(False, shingle, percent, 2 * n), _DEALT).repartition(n, "bucket").mapInArrow(_shared_counts(percent, 2 * n), _packed(_COUNTS))
+    left = _written(counts.repartition(n, "bucket").mapInArrow(_left_over(percent), "doc_id long, tag long, class long"), "left")
 
     rest = _beside(texts, left, ["doc_id", "tag"]).select("doc_id", "tag", "text", "class")
-    lengths = rest.mapInArrow(_deal(True, shingle, 2 * n), _DEALT).repartition(n, "bucket").mapInArrow(_list_lengths(2 * n), _packed(_LENGTHS))
-    short = lengths.repartition(n, "bucket").mapInArrow(_shortest, "token long, place long, doc long, tag long, class long, size long")
-    pairs = short.repartition(n, "token").mapInArrow(_merge, "x_doc long, x_tag long, y_doc long, y_tag long")
-    late = verified(texts, pairs, shingle, "late")
+    lengths = rest.mapInArrow(_deal(True, shingle, percent, 2 * n), _DEALT).repartition(n, "bucket").mapInArrow(_list_lengths(2 * n), _packed(_LENGTHS))
+    short = lengths.repartition(n, "bucket").mapInArrow(_shortest(percent), "token long, place long, doc long, tag long, class long, size long")
+    pairs = short.repartition(n, "token").mapInArrow(_merge(percent), "x_doc long, x_tag long, y_doc long, y_tag long")
+    late = verified(texts, pairs, shingle, percent, "late")
 
     twice = held.groupBy("doc_id").agg(F.collect_set("rep").alias("reps")).where(F.size("reps") > 1).select(F.array_min("reps").alias("a"), F.explode("reps").alias("b"))
     reached = component_minimum(early.unionByName(late).unionByName(twice))

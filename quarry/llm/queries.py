@@ -100,4 +100,4 @@ def op4_toxicity(spark, sf_dir):
 
 @register("op7_jaccard_join")
 def op7_jaccard_join(spark, sf_dir):
-    return jaccard_join.similarity_classes(table(spark, sf_dir, "documents"))
+    return jaccard_join.similarity_classes(table(spark, sf_dir, "documents"), shingle=4, percent=85)

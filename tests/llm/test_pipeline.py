@@ -91,3 +91,26 @@ def test_stages_on_empty_and_odd_tables(spark, documents):
             done = stage(spark, table, SF)  # each stage on a written table, as run() does
             table = spark.createDataFrame(done.collect(), done.schema)
         assert {r.doc_id for r in table.select("doc_id").distinct().collect()} <= {3, None}
+
+
+def near_copies(rows, shingle=5, percent=80):
+    """Least id of each row's group, from all pairs."""
+    label = {i: i for i, _ in rows}
+    words = [(i, jaccard.WORD.findall(t.lower())) for i, t in rows]
+    sets = [(i, {tuple(w[k: k + shingle]) for k in range(max(1, len(w) - shingle + 1))} if w else set()) for i, w in words]
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            if a and b and label[i] != label[j] and 100 * len(a & b) >= percent * len(a | b):
+                one, two = sorted((label[i], label[j]))
+                label = {x: one if y == two else y for x, y in label.items()}
+    return label
+
+
+def test_near_copies_are_linked_from_four_fifths_of_five_word_shingles(spark, documents):
+    base = [f"v{i}" for i in range(50)]
+    near = base[:25] + ["other"] + base[26:]  # 41 of 51 shingles of five words, 43 of 51 of four
+    rows = jaccard.corpus(4, 220) + [(9000, " ".join(base)), (9001, " ".join(near))]
+    kept = {r.doc_id: r.text for r in cp.jaccard(spark, documents(rows, 4).select(*cp.COLUMNS), SF).collect()}
+    label = near_copies(rows)
+    assert kept == {i: t for i, t in rows if label[i] == i} and 9000 in kept and 9001 not in kept
+    assert set(kept) != {i for i, x in jaccard.brute(rows).items() if i == x}
