@@ -9,7 +9,7 @@ and read again, so a lost executor never repeats more than one stage.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.llm import decontaminate, jaccard_join, packing, quality_rules, substring_dedup
@@ -29,11 +29,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (from 80 % of common five-word
-    shingles on): the one of least id."""
-    classes = jaccard_join.similarity_classes(docs, shingle=SHINGLE, percent=PERCENT)
-    first = classes.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(first, "doc_id").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    """One text of each group of near copies (from 80 % of common five-word
+    shingles on): the one of least id, of rows that share this id the one of
+    least hash of id and text; null ids come last.
+
+    Every text takes part for itself, also where its id is null or other rows
+    share it: such rows go only as near copies of a text that stays. Rows equal
+    in id and text are one (the first by lang, source and n_chars); null texts
+    and texts without words have no copies.
+    """
+    own = F.xxhash64("doc_id", "text")  # 64 bits stand for id and text, as for a shingle
+    keyed = docs.select(*COLUMNS, own.alias("_key"))
+    classes = jaccard_join.similarity_classes(keyed, "_key", shingle=SHINGLE, percent=PERCENT)
+    classes = classes.select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_key"))
+    first = keyed.select("doc_id", "_key").distinct().join(classes.hint("merge"), "_key").groupBy("component_id").agg(F.min(order).alias("_first"))
+    kept = keyed.join(first.select("_first._key").hint("merge"), "_key")
+    turn = F.row_number().over(Window.partitionBy("_key", "doc_id", "text").orderBy("lang", "source", "n_chars"))
+    return kept.withColumn("_turn", turn).where("_turn = 1").select(*COLUMNS)
 
 
 def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

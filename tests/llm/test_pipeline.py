@@ -114,3 +114,22 @@ def test_near_copies_are_linked_from_four_fifths_of_five_word_shingles(spark, do
     label = near_copies(rows)
     assert kept == {i: t for i, t in rows if label[i] == i} and 9000 in kept and 9001 not in kept
     assert set(kept) != {i for i, x in jaccard.brute(rows).items() if i == x}
+
+
+def test_clean_rows_of_null_or_shared_ids_stay(spark, documents):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect() if r.text]
+    clean = []
+    for t in texts:
+        if len(clean) < 5 and t not in clean and len(t.split()) > 100 and not quality.brute(t)[-1] and not leaks.brute(t, items)[1]:
+            clean.append(t)
+    a, b, c = 100_007, 100_009, 100_005  # not labelled
+    rows = [(None, clean[0]), (None, clean[1]), (a, clean[2]), (a, clean[3]), (a, clean[3]), (b, clean[3]), (c, clean[4]), (None, clean[4])]
+    table = documents(rows).select(*cp.COLUMNS)
+    for name, stage in cp.STAGES:
+        done = stage(spark, table, SF)
+        table = spark.createDataFrame(done.collect(), done.schema)
+        if name == "jaccard_join":
+            assert {(r.doc_id, r.text) for r in table.collect()} == {(None, clean[0]), (None, clean[1]), (a, clean[2]), (a, clean[3]), (c, clean[4])}
+            assert table.count() == 5
+    assert sorted((r.doc_id for r in table.where("start = 0").collect()), key=str) == [c, a, a, None, None]
