@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 from quarry.llm import kernels as kn
 from quarry.session import scratch_path
 
-#: Hash buckets of a model; labelled documents that the target model may read.
-BUCKETS, SAMPLE_ROWS = 1 << 16, 20_000
+#: Hash buckets of a model.
+BUCKETS = 1 << 16
 _COUNTS = "part int, raw binary, target binary"
 
 
@@ -64,15 +64,13 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"part": pa.array([p], pa.int32()), "raw": [s[0].tobytes()], "target": [s[1].tobytes()]})
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
+def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     """Log probability ratio of every bucket (smoothed by one): target over raw.
 
-    Raw counts cover all documents. The target model reads at most
-    ``sample_rows`` documents labelled good (lowest id hash first).
+    Raw counts cover all documents, target counts all that are labelled good.
     """
-    picked = (labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
-    marked = docs.join(F.broadcast(picked.withColumn("_good", F.lit(True))), "doc_id", "left")  # at most sample_rows ids
+    picked = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    marked = docs.join(picked.withColumn("_good", F.lit(True)), "doc_id", "left")
     counts = marked.select("text", F.coalesce("_good", F.lit(False)).alias("good")).mapInArrow(_count(buckets), _COUNTS)
     n = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     step = max(1, buckets // 16)

@@ -60,3 +60,9 @@ def test_no_labels_and_empty_table(spark, documents):
     assert [r.selected for r in im.resample(docs.withColumn("good", F.lit(2)), none).collect()] == [True, True]
     assert im.resample(docs.limit(0), none).count() == 0
     assert im.resample(docs, none, share=0.0).where("selected").count() == 0
+
+
+def test_target_counts_cover_all_good_documents(spark):
+    docs = spark.range(20_500).select(F.col("id").alias("doc_id"), F.lit("word").alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    assert not im.log_ratios(docs, labels, buckets=64).any()  # target and raw counts are the same
