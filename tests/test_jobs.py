@@ -9,7 +9,7 @@ from quarry.session import scratch_path
 from quarry.sources import csv as csvio
 from quarry.sources import text as textio
 
-from conftest import SF0001
+from sf_paths import SF0001
 
 
 def test_overlap_job_matches_query(spark):

@@ -5,7 +5,7 @@ from quarry.operators import neighbors as nn
 from quarry.plans import catalog
 from quarry.plans import fixtures as fx
 
-from conftest import SF001
+from sf_paths import SF001
 
 
 def test_row_position_matches_global_order(spark):

@@ -5,7 +5,7 @@ from quarry.functions.scalars import squared_distance
 from quarry.operators import neighbors as nn
 from quarry.plans import fixtures as fx
 
-from conftest import SF001
+from sf_paths import SF001
 
 
 def brute_force(q, qids, t, tids, tlabels, k):

@@ -6,7 +6,7 @@ import re
 
 from quarry.plans import catalog
 
-from conftest import SF001
+from sf_paths import SF001
 
 
 def _plan(df) -> str:

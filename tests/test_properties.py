@@ -12,7 +12,7 @@ from quarry.plans import catalog
 from quarry.plans import fixtures as fx
 from quarry.sources import text as textio
 
-from conftest import SF001
+from sf_paths import SF001
 
 FIELD = st.text(alphabet=st.sampled_from(list('ab ,"x1')), max_size=8)
 
