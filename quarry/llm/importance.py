@@ -22,7 +22,9 @@ from quarry.session import scratch_path
 
 #: Hash buckets of a model.
 BUCKETS = 1 << 16
-_COUNTS = "part int, raw binary, target binary"
+#: Cells of the table of good ids that spares other texts the join (a few bytes each, whatever the number of ids).
+CELLS = 1 << 20
+_COUNTS = "part int, counts binary"
 
 
 def features(part: pa.RecordBatch, powers: kn.Powers, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -39,17 +41,13 @@ def features(part: pa.RecordBatch, powers: kn.Powers, buckets: int) -> tuple[np.
 def _count(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = kn.Powers()
-        total = np.zeros((2, buckets), dtype=np.int64)
+        total = np.zeros(buckets, dtype=np.int64)
         for batch in batches:
             for part in kn.slices(batch, "text"):
-                bucket, row, _ = features(part, powers, buckets)
-                good = part.column("good").to_numpy(zero_copy_only=False).astype(bool)
-                total[0] += np.bincount(bucket, minlength=buckets)
-                total[1] += np.bincount(bucket[good[row]], minlength=buckets)
+                total += np.bincount(features(part, powers, buckets)[0], minlength=buckets)
         step = max(1, buckets // 16)  # in sixteen parts, to be added up side by side
         yield pa.RecordBatch.from_pydict({"part": pa.array(range(0, buckets, step), pa.int32()),
-                                          "raw": [total[0, i: i + step].tobytes() for i in range(0, buckets, step)],
-                                          "target": [total[1, i: i + step].tobytes() for i in range(0, buckets, step)]})
+                                          "counts": [total[i: i + step].tobytes() for i in range(0, buckets, step)]})
 
     return run
 
@@ -58,10 +56,31 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for r in batch.to_pylist():
-            own = np.stack([np.frombuffer(r[c], dtype=np.int64) for c in ("raw", "target")])
+            own = np.frombuffer(r["counts"], dtype=np.int64)
             sums[r["part"]] = sums[r["part"]] + own if r["part"] in sums else own
-    for p, s in sums.items():
-        yield pa.RecordBatch.from_pydict({"part": pa.array([p], pa.int32()), "raw": [s[0].tobytes()], "target": [s[1].tobytes()]})
+    yield pa.RecordBatch.from_pydict({"part": pa.array(list(sums), pa.int32()), "counts": pa.array([x.tobytes() for x in sums.values()], pa.binary())})
+
+
+def bucket_counts(docs: DataFrame, buckets: int) -> np.ndarray:
+    """Occurrences of every bucket in the column text."""
+    n = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    counts = docs.select("text").mapInArrow(_count(buckets), _COUNTS).repartition(n, "part").mapInArrow(_add, _COUNTS)
+    total = np.zeros(buckets, dtype=np.int64)
+    for r in counts.collect():  # 8 bytes a bucket in all
+        own = np.frombuffer(bytes(r["counts"]), dtype=np.int64)
+        total[r["part"]: r["part"] + len(own)] += own
+    return total
+
+
+def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that are labelled good. Only texts whose id falls into
+    a cell of the good ids are shuffled for the join (all, once the good ids
+    fill the ``CELLS`` cells); a null id is in none."""
+    good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_good")).distinct()
+    cell = lambda c: F.pmod(F.xxhash64(F.col(c).cast("string")), F.lit(CELLS))
+    cells = good.select(cell("_good").alias("_cell")).distinct()
+    near = docs.join(F.broadcast(cells), cell("doc_id") == F.col("_cell"), "left_semi")
+    return near.join(good.hint("merge"), F.col("doc_id") == F.col("_good"), "left_semi")
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
@@ -69,16 +88,9 @@ def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> np
 
     Raw counts cover all documents, target counts all that are labelled good.
     """
-    picked = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    marked = docs.join(picked.withColumn("_good", F.lit(True)), "doc_id", "left")
-    counts = marked.select("text", F.coalesce("_good", F.lit(False)).alias("good")).mapInArrow(_count(buckets), _COUNTS)
-    n = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    step = max(1, buckets // 16)
-    total = np.ones((2, buckets))
-    for r in counts.repartition(n, "part").mapInArrow(_add, _COUNTS).collect():  # 16 bytes a bucket in all
-        total[0, r["part"]: r["part"] + step] += np.frombuffer(bytes(r["raw"]), dtype=np.int64)
-        total[1, r["part"]: r["part"] + step] += np.frombuffer(bytes(r["target"]), dtype=np.int64)
-    return np.log(total[1] / total[1].sum()) - np.log(total[0] / total[0].sum())
+    raw = bucket_counts(docs, buckets) + 1.0
+    target = bucket_counts(good_documents(docs, labels), buckets) + 1.0
+    return np.log(target / target.sum()) - np.log(raw / raw.sum())
 
 
 def _score(ratios: np.ndarray, schema: pa.Schema):

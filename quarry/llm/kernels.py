@@ -236,8 +236,9 @@ def covered(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def ship(name: str) -> None:
     """Send the functions of a module with the task, so that Python workers
-    need no access to this package's folder."""
-    cloudpickle.register_pickle_by_value(sys.modules[name])
+    need no access to this package's folder. A module that these refer to goes
+    along with all it refers to, so the whole package is sent by value."""
+    cloudpickle.register_pickle_by_value(sys.modules[name.partition(".")[0]])
 
 
 ship(__name__)

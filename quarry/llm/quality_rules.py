@@ -42,7 +42,10 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A null text counts as empty: all zero. Repeated rows are counted each by
     itself. Window repeats inside a text are found by sorting its window
-    hashes, so a very long text costs n log n.
+    hashes, so a very long text costs n log n. The counts come out of a
+    generator: a caller's filter on them stays above it. Pushed below, it would
+    be rewritten in terms of the text, and every step above computed again for
+    every window.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(F.col(id_col).alias("doc_id"), *keep, text.alias("_text"))
@@ -61,14 +64,15 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     inside = F.aggregate(at, start, lambda a, i: F.struct((a["n"] + F.least(F.lit(WINDOW), i - a["last"])).alias("n"), i.alias("last")),
                          lambda a: a["n"])
     count = lambda keep_class: F.length(F.regexp_replace("_text", f"[^{keep_class}]+", ""))
-    return base.select(
-        "doc_id", *keep, F.size("_words").cast("long").alias("n_words"),
+    counts = [
+        F.size("_words").cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         count("#*$%&|<>").cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(inside, F.lit(0)).cast("long").alias("n_repeat_words"),
         F.size("_lines").cast("long").alias("n_lines"), count("!?").cast("long").alias("n_marks"),
-        count("A-Z").cast("long").alias("n_capitals"), count("0-9").cast("long").alias("n_digits"))
+        count("A-Z").cast("long").alias("n_capitals"), count("0-9").cast("long").alias("n_digits")]
+    return base.select("doc_id", *keep, F.inline(F.array(F.struct(*counts))))
 
 
 def ratio(name: str) -> Column:
