@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, importance, jaccard_join, license_scan, packing, quality_rules, substring_dedup, suffix_dedup, toxicity, url_filter
+from quarry.llm import (collocations, decontaminate, importance, jaccard_join, license_scan, packing, prefix_trie, quality_rules, spot_signatures,
+                        substring_dedup, suffix_dedup, toxicity, url_filter)
 from quarry.llm import sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +102,21 @@ def op4_toxicity(spark, sf_dir):
 @register("op7_jaccard_join")
 def op7_jaccard_join(spark, sf_dir):
     return jaccard_join.similarity_classes(table(spark, sf_dir, "documents"), shingle=4, percent=85)
+
+
+@register("op11_document_fingerprints")
+def op11_document_fingerprints(spark, sf_dir):
+    found = spot_signatures.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+                        spot_signatures.fingerprint("signatures").alias("fingerprint"),
+                        spot_signatures.fingerprint("edited_signatures").alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+@register("op12_conversation_trie", sql.TRIE)
+def op12_conversation_trie(spark, sf_dir):
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+@register("op13_phrase_collocations", sql.COLLOCATIONS)
+def op13_phrase_collocations(spark, sf_dir):
+    return collocations.top_collocations(collocations.collocations(table(spark, sf_dir, "documents")))
