@@ -31,7 +31,7 @@ from quarry.llm import kernels as kn
 from quarry.session import scratch_path
 
 #: Text of a shard, words of a step within it (its word numbers fit 21 bits), bits of the table of what passed.
-SHARD_BYTES = 8_000_000
+SHARD_BYTES = 6_000_000
 STEP_WORDS = 1 << 20
 TABLE_BITS = 26
 #: Languages whose local supports are raised with a shard's part of them; in all others one occurrence is enough for a report.
@@ -149,7 +149,7 @@ def _steps(parts: list[pa.RecordBatch], powers: kn.Powers) -> Iterator[tuple[Wor
     with (two more follow), language names, whether this is the whole shard."""
     names: dict[str, int] = {}
     data, lengths, langs, joined = [], [], [], []
-    for part in parts:
+    for part in (x for p in parts for x in kn.slices(p, "text")):
         code = np.array([names.setdefault(x, len(names)) for x in part.column("lang").to_pylist()], dtype=np.int64)
         buf, off = kn.text_buffer(part.column("text"))
         starts, ends, rows = kn.word_spans(buf, off, SEPARATOR)
