@@ -218,7 +218,7 @@ def verified(turns: Running, entries: DataFrame, nodes: DataFrame) -> bool:
     if not nodes.where("torn").isEmpty():
         return False
     mixed = nodes.where("mixed").select(*_KEY)
-    refs = entries.join(mixed.hint("merge"), _KEY, "left_semi").select(*_KEY, "ref_conv", "ref_at").distinct()
+    refs = entries.join(mixed.hint("merge"), _KEY, "left_semi").select(*_KEY, "ref_conv", "ref_at")
     texts = turns.select("role", "text").select(F.col("conv_id").alias("ref_conv"), F.col("at").alias("ref_at"), F.struct("role", "text").alias("turn"))
     meet = refs.join(texts.hint("merge"), ["ref_conv", "ref_at"]).groupBy(*_KEY).agg(F.min("turn").alias("lo"), F.max("turn").alias("hi"))
     return meet.where("lo != hi").isEmpty()
