@@ -61,7 +61,7 @@ def test_stages_match_brute_force(spark):
         assert docs.columns == list(cp.COLUMNS), name
         docs = spark.createDataFrame(docs.collect(), docs.schema)
         if name == "jaccard_join":
-            label = jaccard.brute(sorted(texts.items()))
+            label = near_copies(sorted(texts.items()))
             texts = {i: t for i, t in texts.items() if label[i] == i}
         if name == "substring_dedup":
             flags = removed_flags(sorted(texts.items()))
@@ -133,3 +133,23 @@ def test_clean_rows_of_null_or_shared_ids_stay(spark, documents):
             assert {(r.doc_id, r.text) for r in table.collect()} == {(None, clean[0]), (None, clean[1]), (a, clean[2]), (a, clean[3]), (c, clean[4])}
             assert table.count() == 5
     assert sorted((r.doc_id for r in table.where("start = 0").collect()), key=str) == [c, a, a, None, None]
+
+
+def test_all_queries_run_on_workers_without_the_package(tmp_path):
+    """Loaded by path from another folder, with Python workers that cannot import the package."""
+    import subprocess
+    import sys
+    code = (
+        "import importlib.util\n"
+        f"spec = importlib.util.spec_from_file_location('e', {os.path.join(ROOT, '__spark_entry__.py')!r})\n"
+        "m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[4]').config('spark.ui.enabled', 'false').config('spark.sql.shuffle.partitions', '4').getOrCreate()\n"
+        "for n, q in sorted(m.queries().items()):\n"
+        "    if n.startswith('op') and n[2].isdigit() or n == 'pipeline':\n"
+        f"        print('ROWS', n, q(s, {SF!r}).count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    done = [x.split()[1] for x in out.stdout.splitlines() if x.startswith("ROWS")]
+    assert len(done) == 14 and "pipeline" in done, out.stderr[-2000:]

@@ -71,3 +71,15 @@ def test_without_labels_and_empty_tables(spark, documents):
     got = sorted((r.doc_id, r.n_words, r.kept) for r in qr.judge_quality(docs, labels).collect())
     assert got == [(1, 2, False), (2, 0, False), (2, 40, True)]
     assert qr.judge_quality(docs.limit(0), labels.limit(0)).count() == 0
+
+
+def test_a_filter_on_the_verdict_stays_linear_in_the_text(spark, documents):
+    """The counts are not computed again for every window when a caller filters on them."""
+    import time
+
+    docs = documents([(i, " ".join(f"w{(i * k) % 977}" for k in range(2000))) for i in range(1, 9)])
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    began = time.time()
+    kept = {r.doc_id for r in qr.judge_quality(docs, labels).where("kept").collect()}
+    assert time.time() - began < 60
+    assert kept == {r.doc_id for r in qr.judge_quality(docs, labels).collect() if r.kept}
