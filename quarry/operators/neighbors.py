@@ -239,7 +239,8 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
     are never neighbours (e.g. a fold id, for held-out-fold prediction), and
     NULL equals NULL there.
     A train vector with a missing, NaN or infinite entry is nobody's
-    neighbour; a query vector with one stops the job with its id.
+    neighbour; a query vector with one stops the job with its id. Queries
+    without any such train row stop the job, too.
     ``carry`` lists query-side columns copied onto each of the query's
     candidate rows (no join back needed).
     One sizing job counts the rows and id multiplicities of both sides:
@@ -267,6 +268,8 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
         train_copies = stats[1]["copies"]
     else:
         train_copies = 1  # the caller vouches for unique ids and gives the sizes
+    if n_query and train.where(_finite(tvec)).isEmpty():
+        raise ValueError("no train row with a finite vector")
     n_qb, n_tb = block_counts(n_query, n_train, block_rows, default_parallelism(spark))
     # Copies of one train row all hash to one block. When they are many, a
     # per-row salt spreads them; the salted side is checkpointed first, so a

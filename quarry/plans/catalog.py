@@ -18,6 +18,7 @@ from quarry.functions.scalars import date_key, parse_long, squared_distance, to_
 from quarry.operators import evaluation as ev
 from quarry.operators import models as ml
 from quarry.operators import neighbors as nn
+from quarry.operators import pivots as pv
 from quarry.operators import trending as tr
 from quarry.plans import fixtures as fx
 from quarry.plans import jobs
@@ -223,6 +224,13 @@ def q_knn_topk(spark, sf_dir):
                                                  F.round("dist", 6).alias("dist"))
 
 
+@register("knn_pruned", sql.KNN_TOPK)
+def q_knn_pruned(spark, sf_dir):
+    """The neighbours by pivot cells: only cells that may hold one are compared."""
+    q, t = fx.knn_sides(spark, sf_dir)
+    return pv.knn_pruned(q, t, fx.K_NEIGHBOURS).select("qid", "qlabel", "tid", "tlabel", "rank", F.round("dist", 6).alias("dist"))
+
+
 @register("knn_distance", sql.KNN_TOPK)
 def q_knn_distance(spark, sf_dir):
     """The native distance expression on the selected neighbour pairs only:
