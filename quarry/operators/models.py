@@ -18,6 +18,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.fold_statistics import fold_moments, project, training_moments
 from quarry.operators.neighbors import knn_classify
 from quarry.session import checkpoint_dir, default_parallelism
 
@@ -206,3 +207,24 @@ def cross_validate(df: DataFrame, make_estimator: Callable[[], Estimator], n_fol
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select(fold_col, *keep, "actual", "predicted")
+
+
+def cross_validate_arrays(df: DataFrame, make_estimator: Callable[[], Estimator], n_folds: int, pca_k: int, vec_col: str,
+                          fold_col: str = "fold", label: str = "label", keep: Sequence[str] = (), parallelism: int = 4) -> DataFrame:
+    """``cross_validate`` over array vectors, with the PCA of every fold taken
+    from the moments of one pass (``fold_statistics``) instead of a fit each."""
+    matrices = {i: m.components(pca_k)[0] for i, m in training_moments(fold_moments(df, vec_col, fold_col)).items()}
+
+    def one(i: int) -> DataFrame:
+        vectors = project(df.select(*keep, fold_col, label, vec_col), vec_col, matrices[i])
+        rows = vectors.select(*keep, fold_col, label, array_to_vector(vec_col).alias("features"))
+        rest = rows.where(F.col(fold_col).isNull() | (F.col(fold_col) != i))
+        return train_and_predict(make_estimator(), rest, rows.where(F.col(fold_col) == i), label, keep).withColumn(fold_col, F.lit(i))
+
+    held = [i for i in range(n_folds) if i in matrices]
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_folds))) as pool:
+        parts = list(pool.map(one, held))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select(fold_col, *keep, "actual", "predicted")

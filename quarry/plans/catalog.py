@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from quarry.functions.scalars import date_key, parse_long, squared_distance, to_int
 from quarry.operators import evaluation as ev
+from quarry.operators import fold_statistics as fs
 from quarry.operators import models as ml
 from quarry.operators import neighbors as nn
 from quarry.operators import pivots as pv
@@ -25,6 +26,7 @@ from quarry.plans import jobs
 from quarry.plans import oracle as sql
 from quarry.session import scratch_path
 from quarry.sources import csv as csvio
+from quarry.sources import records
 from quarry.sources import text as textio
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,6 +170,18 @@ def q_multiline_observations(spark, sf_dir):
     return obs.select("item_id", "category", "views", "market", "body")
 
 
+@register("multiline_split_observations", sql.MULTILINE_OBSERVATIONS)
+def q_multiline_split_observations(spark, sf_dir):
+    """The same records from split files: each file is read by as many tasks as its size asks for."""
+    path = scratch_path(spark, "multiline-split")
+    docs = fx.table(spark, sf_dir, "documents")
+    textio.write_observations(docs, {"item_id": F.col("doc_id"), "obs_date": F.lit("01.01.01"), 2: F.col("text"),
+                            "category": F.col("lang"), "views": F.col("n_chars"), "market": F.col("source")},
+                     path)
+    obs = records.read_split_observations(spark, path, more={"body": 2})
+    return obs.select("item_id", "category", "views", "market", "body")
+
+
 # --------------------------------------------------------------- projections
 
 @register("project_cast", sql.PROJECT_CAST)
@@ -404,6 +418,13 @@ def q_metrics_from_stored_matrix(spark, sf_dir):
     return ev.metrics_from_matrix(_stored_matrix(spark, sf_dir), compat=True)
 
 
+@register("fold_covariances", sql.FOLD_COVARIANCES)
+def q_fold_covariances(spark, sf_dir):
+    """Covariances of the rows outside each contiguous fold, by subtraction from the totals of one pass."""
+    folded = ml.contiguous_folds(fx.embeddings(spark, sf_dir), "vec_id", fx.N_FOLDS)
+    return fs.fold_covariances(folded, "vec").withColumn("cov", F.round("cov", 7) + 0.0)
+
+
 @register("contiguous_folds", sql.CONTIGUOUS_FOLDS)
 def q_contiguous_folds(spark, sf_dir):
     e = fx.table(spark, sf_dir, "embeddings").select("vec_id")

@@ -268,6 +268,15 @@ folds AS (
 
 CONTIGUOUS_FOLDS = "WITH " + _FOLDS + "SELECT vec_id, pos, fold FROM folds"
 
+FOLD_COVARIANCES = "WITH " + _FOLDS + """,
+x AS (SELECT f.fold, f.vec_id, unnest(e.embedding) AS v, generate_subscripts(e.embedding, 1) - 1 AS i FROM folds f JOIN embeddings e ON e.vec_id = f.vec_id),
+p AS (SELECT a.fold, a.i, b.i AS j, count(*) AS n, sum(a.v::DOUBLE) AS sx, sum(b.v::DOUBLE) AS sy, sum(a.v::DOUBLE * b.v::DOUBLE) AS sxy
+      FROM x a JOIN x b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY ALL),
+held AS (SELECT DISTINCT fold FROM folds),
+t AS (SELECT held.fold, i, j, sum(n) AS n, sum(sx) AS sx, sum(sy) AS sy, sum(sxy) AS sxy FROM held JOIN p ON p.fold <> held.fold GROUP BY held.fold, i, j)
+SELECT fold, n::BIGINT AS n, i::INT AS i, j::INT AS j, round((sxy - sx * sy / n) / (n - 1), 7) + 0.0 AS cov FROM t
+"""
+
 _FOLD_PRED = "WITH " + _FOLDS + f""",
 d AS (
   SELECT q.vec_id AS qid, q.label AS qlabel, q.fold, t.vec_id AS tid, t.label AS tlabel,
