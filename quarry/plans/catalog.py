@@ -28,6 +28,7 @@ from quarry.session import scratch_path
 from quarry.sources import csv as csvio
 from quarry.sources import records
 from quarry.sources import text as textio
+from quarry.sources.positions import with_file_position
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -203,6 +204,16 @@ def q_row_id(spark, sf_dir):
                     F.count_distinct("row_id").cast("bigint").alias("n_distinct"))
 
 
+@register("file_position", sql.FILE_POSITION)
+def q_file_position(spark, sf_dir):
+    """Row ids by place in the files of a table written in the order of its key."""
+    path = scratch_path(spark, "file-position")
+    e = fx.embeddings(spark, sf_dir).orderBy("vec_id")
+    csvio.write_labelled_csv(e, "label", "vec", path, n_features=64)
+    rows = with_file_position(csvio.read_labelled_csv(spark, path, 64, True))
+    return rows.select("row_id", F.col("label").cast("int").alias("label"), ml.vector_as_array("features")[0].alias("f0"))
+
+
 @register("assemble_features", sql.ASSEMBLE_FEATURES)
 def q_assemble_features(spark, sf_dir):
     """All values of the assembled vectors, one row each."""

@@ -268,6 +268,8 @@ folds AS (
 
 CONTIGUOUS_FOLDS = "WITH " + _FOLDS + "SELECT vec_id, pos, fold FROM folds"
 
+FILE_POSITION = "SELECT row_number() OVER (ORDER BY vec_id) - 1 AS row_id, label, embedding[1]::DOUBLE AS f0 FROM embeddings"
+
 FOLD_COVARIANCES = "WITH " + _FOLDS + """,
 x AS (SELECT f.fold, f.vec_id, unnest(e.embedding) AS v, generate_subscripts(e.embedding, 1) - 1 AS i FROM folds f JOIN embeddings e ON e.vec_id = f.vec_id),
 p AS (SELECT a.fold, a.i, b.i AS j, count(*) AS n, sum(a.v::DOUBLE) AS sx, sum(b.v::DOUBLE) AS sy, sum(a.v::DOUBLE * b.v::DOUBLE) AS sxy
