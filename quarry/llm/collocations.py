@@ -31,7 +31,7 @@ from quarry.llm import kernels as kn
 from quarry.session import scratch_path
 
 #: Text of a shard, words of a step within it (its word numbers fit 21 bits), bits of the table of what passed.
-SHARD_BYTES = 6_000_000
+SHARD_BYTES = 2_000_000
 STEP_WORDS = 1 << 20
 TABLE_BITS = 26
 #: Languages whose local supports are raised with a shard's part of them; in all others one occurrence is enough for a report.
@@ -39,6 +39,8 @@ MOST_LANGS = 256
 
 BREAK = kn.byte_class(b".,;:!?\n\x0b\x0c\r")
 SEPARATOR = BREAK | kn.byte_class(b" \t")
+#: Rows of a batch that goes back to Spark.
+BATCH_ROWS = 1 << 16
 _REPORT = "key long, n long, spare int"
 _COUNT = "lang string, words int, phrase string, n long"
 Totals = dict[str, int]
@@ -68,7 +70,7 @@ def _lengths(column: str):
 
 
 def _text_sizes(batch: pa.RecordBatch) -> np.ndarray:
-    return np.diff(kn.text_buffer(batch.column("text"))[1])
+    return pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def local_supports(langs: list[str], sizes: np.ndarray, totals: Totals, min_count: int) -> dict[str, int]:
@@ -183,7 +185,8 @@ def _mine(totals: Totals, spare: Totals, min_count: int, passed: list[np.ndarray
                 *_, (_, counts, keys, lang) = words.phrases(n, passed)
                 at = np.flatnonzero((counts >= least[lang]) & (counts > 0))
                 rest = np.array([spare.get(x, 0) for x in names], dtype=np.int32)
-                yield pa.RecordBatch.from_pydict({"key": keys[at].view(np.int64), "n": counts[at] - least[lang[at]] + 1, "spare": rest[lang[at]]})
+                found = pa.RecordBatch.from_pydict({"key": keys[at].view(np.int64), "n": counts[at] - least[lang[at]] + 1, "spare": rest[lang[at]]})
+                yield from _cut(found)
 
     return run
 
@@ -202,11 +205,19 @@ def _count(passed: list[np.ndarray]):
                 for k, (numbers, counts, keys, own) in enumerate(words.phrases(n, passed[:2])):
                     at = np.flatnonzero(holds(passed[k], keys) & (counts > 0))
                     each = [text.take(pa.array(words.word[numbers[at, j]])) for j in range(k + 1)]
-                    yield _counted(lang.take(pa.array(own[at])), k + 1, pc.binary_join_element_wise(*each, " "), counts[at])
+                    yield from _cut(_counted(lang.take(pa.array(own[at])), k + 1, pc.binary_join_element_wise(*each, " "), counts[at]))
 
     return run
 
 
+def _cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in smaller ones; Arrow's unused memory goes back to the system,
+    as a worker lives through many shards."""
+    for a in range(0, batch.num_rows, BATCH_ROWS):
+        yield batch.slice(a, BATCH_ROWS)
+    pa.default_memory_pool().release_unused()
+
+
 def _counted(lang: pa.Array, words: int, phrase: pa.Array, n: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([lang, pa.array(np.full(len(n), words, dtype=np.int32)), phrase, pa.array(n.astype(np.int64))], names=["lang", "words", "phrase", "n"])
 
