@@ -5,12 +5,12 @@ A rolling hash puts a trigger wherever it is least among the grams of a
 window, so that each 100-byte string lies inside a phrase and equal strings lie
 at equal places of phrases with the same trigger. The dictionary is the set of
 distinct phrases, the parse their occurrences in corpus order (doc_id, start).
-A phrase that the parse holds before is removed whole. Where one trigger has
-several dictionary phrases, their suffixes are sorted by rank and then by the
-parse; only the first suffix of each rank stays. Removal asks only
-whether two suffixes agree in their first 100 bytes, so a rank is the 96-bit
-fingerprint of those bytes instead of their alphabetical place. Highly
-repetitive text has few dictionary phrases and almost all work ends there.
+A phrase that the parse holds before is removed whole. No suffix array is
+built: removal asks only whether two suffixes agree in their first 100 bytes,
+so where one trigger has several dictionary phrases, their windows are grouped
+by a 96-bit fingerprint of those bytes, and the first of each group in corpus
+order stays. Highly repetitive text has few dictionary phrases and almost all
+work ends there.
 """
 
 from __future__ import annotations
