@@ -95,7 +95,7 @@ def test_pca_knn_matches_brute_force_on_projection(spark):
     tp = np.array([np.array(r.tvec, dtype=np.float32).astype(np.float64) @ pc for r in trows])
     qp = np.array([np.array(r.qvec, dtype=np.float32).astype(np.float64) @ pc for r in qrows])
     want = brute_force(qp, [r.qid for r in qrows], tp, [r.tid for r in trows], [r.tlabel for r in trows], 5)
-    got = {r.qid: r.predicted for r in catalog.q_knn_pca_classify(spark, SF001).collect()}
+    got = {r.qid: r.predicted for r in ml.pca_knn_classify(t, q, dim=10, k=5).collect()}
     agree = sum(got[k] == v for k, v in want.items())
     assert len(got) == 100 and agree >= 98  # projection rounding may flip a near tie
 
