@@ -20,8 +20,6 @@ settled there. Corpus order is (doc_id, start).
 
 from __future__ import annotations
 
-import gc
-import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -36,6 +34,10 @@ from quarry.session import scratch_path
 #: Entries a task gathers before it settles and ships them.
 FLUSH = 2_000_000
 SEND, REPEAT, EDGE = 0, 1, 2
+#: Text behind one bucket, which a task holds in memory as packed entries of about the same size.
+BUCKET_BYTES = 128 << 20
+#: Public Spark setting: the shuffle files of a query go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _DTYPES = {"trigger": "<u8", "whole": "<u8", "doc": "<i8", "tag": "<u4", "start": "<u4", "count": "<u2"}
 _PACKED = "bucket int, kind int, " + ", ".join(f"{c} binary" for c in _DTYPES)
@@ -288,8 +290,10 @@ def _by_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"doc_id": x["doc"][own[:-1]], "tag": x["tag"][own[:-1]]} | lists)
 
 
-def _buckets(docs: DataFrame) -> int:
-    return max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def buckets_for(docs: DataFrame, text_col: str = "text") -> int:
+    """Buckets that grow with the bytes of all texts, so that one stays within a task's memory."""
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
 
 
 def _round(source: DataFrame, emit: Callable, within: bool, edges: bool, buckets: int) -> DataFrame:
@@ -297,20 +301,21 @@ def _round(source: DataFrame, emit: Callable, within: bool, edges: bool, buckets
     dealt = source.mapInArrow(emit, _PACKED).repartition(buckets, "bucket")
     spans = dealt.mapInArrow(_finish(within, edges, 2 * buckets), _SPANS)
     path = scratch_path(source.sparkSession, "repeats")
-    spans.write.parquet(path)
-    del dealt, spans
-    release_shuffles(source.sparkSession)
+    write_and_clean(spans, path)
     return source.sparkSession.read.schema(_SPANS).parquet(path)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """After a table is written, the shuffle files behind it serve nothing.
-    Spark deletes them once the driver has collected the plans that own them,
-    which on an idle driver may be long after; this asks for it now. Python's
-    side lets go of its plans with a delay of about a second."""
-    gc.collect()
-    time.sleep(2)
-    spark.sparkContext._jvm.System.gc()
+def write_and_clean(table: DataFrame, path: str) -> None:
+    """Writes ``table``; once written, the shuffle files behind it serve nothing
+    and Spark deletes them with the end of the query. ``table`` must not be run
+    again, as that would repeat its shuffles."""
+    conf = table.sparkSession.conf
+    before = conf.get(CLEANUP)
+    conf.set(CLEANUP, "true")
+    try:
+        table.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
@@ -328,14 +333,17 @@ def with_repeats(source: DataFrame, spec: Windows, likely=None) -> DataFrame:
     of window starts that repeat (null if none). Rows with a null id neither
     repeat nor are repeated. ``likely`` may rule out triggers that occur once.
     """
-    buckets = _buckets(source)
     slim = source.where(F.col("doc_id").isNotNull()).select("doc_id", "tag", "text")
+    buckets = buckets_for(slim)
     spans = _round(slim, _emit_phrases(spec, buckets * 2, likely), spec.within, True, buckets)
     edge = _collected(spans.where(F.col("kind") == EDGE), buckets)
     texts = slim.join(edge.hint("merge"), ["doc_id", "tag"])
     single = _round(texts.select("doc_id", "tag", "text", "starts", "counts"), _emit_windows(spec, buckets * 2), spec.within, False, buckets)
     repeats = _collected(spans.where(F.col("kind") == REPEAT).unionByName(single), buckets)
-    return source.join(repeats.hint("merge"), ["doc_id", "tag"], "left")
+    known, unknown = source.where(F.col("doc_id").isNotNull()), source.where(F.col("doc_id").isNull())
+    runs = [F.lit(None).cast("binary").alias(c) for c in ("starts", "counts")]
+    # null ids stay out of the join, where they would meet in one task
+    return known.join(repeats.hint("merge"), ["doc_id", "tag"], "left").unionByName(unknown.select("*", *runs))
 
 
 kn.ship(__name__)
