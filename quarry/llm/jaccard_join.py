@@ -39,6 +39,8 @@ from quarry.session import scratch_path
 
 #: Percent and words of a shingle where none are asked for.
 PERCENT, SHINGLE = 85, 4
+#: A shingle set held by one text in so many is joined by broadcast: there are no more such sets than this.
+HOT_SHARE = 1000
 #: Least hashes kept of a text, and how many of them look for an early partner.
 LEAST, KEYS = 16, 4
 #: Part of the shingle space dealt out first; texts up to ALL shingles deal out all.
@@ -398,6 +400,20 @@ def _early_classes(links: DataFrame) -> DataFrame:
     return one.join(two, "class", "left").select("doc_id", F.coalesce("next", "class").alias("class"))
 
 
+def _with_representative(held: DataFrame) -> DataFrame:
+    """Texts with the first text of an equal shingle set (rep, rep_tag). Sets that
+    one in ``HOT_SHARE`` texts or more have, ``HOT_SHARE`` sets at most, are
+    joined by broadcast, so that no copy group meets in one task."""
+    equal = _written(held.groupBy("one", "two").agg(F.min(F.struct("doc_id", "tag")).alias("rep"), F.count(F.lit(1)).alias("copies")), "equal")
+    total = equal.agg(F.sum("copies")).first()[0] or 0
+    is_hot = (F.col("copies") > 1) & (F.col("copies") * HOT_SHARE >= total)
+    hot = held.join(F.broadcast(equal.where(is_hot).select("one", "two", F.col("rep").alias("hot"))), ["one", "two"], "left")
+    rest = hot.where(F.col("hot").isNull()).join(equal.where(~is_hot).hint("merge"), ["one", "two"])
+    both = hot.where(F.col("hot").isNotNull()).withColumnRenamed("hot", "rep").select("doc_id", "tag", "n_shingles", "least", "rep").unionByName(
+        rest.select("doc_id", "tag", "n_shingles", "least", "rep"))
+    return both.select("doc_id", "tag", "n_shingles", "least", F.col("rep.doc_id").alias("rep"), F.col("rep.tag").alias("rep_tag"))
+
+
 def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                        percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (least id reachable by links, itself included), one row per input row.
@@ -409,14 +425,11 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     one document, linked by any of its texts; rows with a null id take no part
     and have a null component. An empty table gives none.
     """
-    spark = docs.sparkSession
-    n = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     texts = repeats.keyed(docs, id_col, text_col)
+    n = repeats.buckets_for(texts)
     sets = _written(texts.mapInArrow(_describe(shingle), _SETS), "sets")
     held = sets.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    equal = held.groupBy("one", "two").agg(F.min(F.struct("doc_id", "tag")).alias("rep"))
-    held = held.join(equal, ["one", "two"]).select("doc_id", "tag", "n_shingles", "least", F.col("rep.doc_id").alias("rep"), F.col("rep.tag").alias("rep_tag"))
-    held = _written(held, "held")
+    held = _written(_with_representative(held), "held")
     is_rep = (F.col("doc_id") == F.col("rep")) & (F.col("tag") == F.col("rep_tag"))
     reps = held.where(is_rep).select("doc_id", "tag", "n_shingles", "least").distinct().withColumn("percent", F.lit(percent))
     early = verified(texts, _early_pairs(reps), shingle, percent, "early")
