@@ -9,7 +9,7 @@ and read again, so a lost executor never repeats more than one stage.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import decontaminate, jaccard_join, packing, quality_rules, substring_dedup
@@ -44,9 +44,10 @@ def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     classes = classes.select(F.col("doc_id").alias("_key"), "component_id").distinct()
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_key"))
     first = keyed.select("doc_id", "_key").distinct().join(classes.hint("merge"), "_key").groupBy("component_id").agg(F.min(order).alias("_first"))
-    kept = keyed.join(first.select("_first._key").hint("merge"), "_key")
-    turn = F.row_number().over(Window.partitionBy("_key", "doc_id", "text").orderBy("lang", "source", "n_chars"))
-    return kept.withColumn("_turn", turn).where("_turn = 1").select(*COLUMNS)
+    # equal rows are combined before the shuffle
+    row = F.struct("lang", "source", "n_chars", "doc_id", "text")
+    distinct = keyed.groupBy("_key").agg(F.min(row).alias("_row"))
+    return distinct.join(first.select("_first._key").hint("merge"), "_key").select(*(f"_row.{c}" for c in COLUMNS))
 
 
 def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
