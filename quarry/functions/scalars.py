@@ -28,7 +28,7 @@ def _c(col: Column | str) -> Column:
 
 def _date_pieces(text: Column | str) -> Column:
     """Dot-separated pieces; empty ones at the end do not count."""
-    return F.split(F.regexp_replace(_c(text), r"\.+\z", ""), r"\.", -1)
+    return F.split(F.rtrim(_c(text), F.lit(".")), r"\.", -1)
 
 
 def date_key(text: Column | str) -> Column:

@@ -124,17 +124,25 @@ def mean_fold_accuracy(pred: DataFrame, fold: str = "fold", actual: str = "actua
 def class_counts(pred: DataFrame, n_classes: int = 10, actual: str = "actual",
                  predicted: str = "predicted") -> DataFrame:
     """Per class: ``tp``, ``n_actual`` (column sum), ``n_pred`` (row sum), and
-    ``total`` (all predictions), from the matrix of the predictions."""
-    return class_counts_from_matrix(confusion_matrix(pred, n_classes, actual, predicted))
+    ``total`` (all predictions). The cells that occur are counted once; classes
+    without predictions join as one row each, not as a grid."""
+    cells = pred.groupBy(F.col(predicted).cast("int").alias("predicted"), F.col(actual).cast("int").alias("actual")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"))
+    return class_counts_from_matrix(cells, n_classes)
 
 
-def class_counts_from_matrix(matrix: DataFrame) -> DataFrame:
-    """The same per-class counts from a long-form matrix ``predicted, actual, n``."""
+def class_counts_from_matrix(matrix: DataFrame, n_classes: int = 0) -> DataFrame:
+    """The same per-class counts from a long-form matrix ``predicted, actual, n``
+    and the classes ``0..n_classes-1``."""
     rows = matrix.select(F.explode(F.array(
         F.struct(F.col("actual").alias("label"), F.col("n").alias("is_a"), F.lit(0).cast("bigint").alias("is_p"),
                  F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0).alias("tp")),
         F.struct(F.col("predicted").alias("label"), F.lit(0).cast("bigint").alias("is_a"), F.col("n").alias("is_p"),
                  F.lit(0).cast("bigint").alias("tp")))).alias("r")).select("r.*")
+    if n_classes:
+        zero = F.lit(0).cast("bigint")
+        rows = rows.unionByName(matrix.sparkSession.range(n_classes).select(
+            F.col("id").cast("int").alias("label"), zero.alias("is_a"), zero.alias("is_p"), zero.alias("tp")))
     per = rows.groupBy("label").agg(
         F.sum("tp").cast("bigint").alias("tp"), F.sum("is_a").cast("bigint").alias("n_actual"),
         F.sum("is_p").cast("bigint").alias("n_pred"))

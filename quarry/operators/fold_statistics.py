@@ -183,3 +183,17 @@ def fold_covariances(df: DataFrame, vec_col: str, fold_col: str = "fold") -> Dat
     matrices = spark.createDataFrame(rows, "fold int, n long, cov array<array<double>>")
     cells = matrices.select("fold", "n", F.posexplode("cov").alias("i", "row")).select("fold", "n", "i", F.posexplode("row").alias("j", "cov"))
     return cells.where("i <= j")
+
+
+def principal_components(df: DataFrame, vec_col: str, k: int) -> DataFrame:
+    """component (from 0, greatest variance first), variance, i, loading: the
+    ``k`` principal directions of all rows (the largest entry of each positive),
+    from Gramian blocks that Spark adds up in one pass. Null vectors are left
+    out; without rows there are no components."""
+    moments = fold_moments(df.select(vec_col, F.lit(None).cast("int").alias("fold")), vec_col).get(None)
+    rows = []
+    if moments is not None and moments.n > 1:
+        vectors, variances = moments.components(k)
+        rows = [(c, float(v), vectors[:, c].tolist()) for c, v in enumerate(variances)]
+    found = df.sparkSession.createDataFrame(rows, "component int, variance double, vector array<double>")
+    return found.select("component", "variance", F.posexplode("vector").alias("i", "loading"))

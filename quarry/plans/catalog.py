@@ -232,6 +232,13 @@ def q_pca_project(spark, sf_dir):
     return train_p.unionByName(test_p).select("vec_id", "label", F.round(norm, 6).alias("norm"))
 
 
+@register("principal_components", sql.PRINCIPAL_COMPONENTS)
+def q_principal_components(spark, sf_dir):
+    """The ten principal directions of all vectors, with their variances."""
+    found = fs.principal_components(fx.embeddings(spark, sf_dir), "vec", 10)
+    return found.select("component", F.round("variance", 7).alias("variance"), "i", (F.round("loading", 5) + 0.0).alias("loading"))
+
+
 # ----------------------------------------------------------------------- KNN
 
 def _knn_neighbours(spark, sf_dir, block_rows=None):

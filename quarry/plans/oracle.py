@@ -156,6 +156,32 @@ SELECT vec_id, label, round(list_sum(list_transform(embedding, lambda x: CAST(x
 FROM embeddings
 """
 
+# The ten greatest eigenvalues of the covariance: a matrix squared 24 times over
+# keeps its first direction only (step % 25 = 24 takes it out and goes on with the rest).
+PRINCIPAL_COMPONENTS = """
+WITH RECURSIVE
+x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+y AS (SELECT vec_id, i, v - avg(v) OVER (PARTITION BY i) AS v FROM x),
+c AS (SELECT a.i, b.i AS j, sum(a.v * b.v) / (count(*) - 1) AS cov FROM y a JOIN y b ON a.vec_id = b.vec_id GROUP BY a.i, b.i),
+r AS (SELECT i, list(cov ORDER BY j) AS cells FROM c GROUP BY i),
+it AS (
+  SELECT 0 AS step, list(cells ORDER BY i) AS cov, list(cells ORDER BY i) AS p, NULL::DOUBLE AS variance, NULL::DOUBLE[] AS vec FROM r
+  UNION ALL
+  SELECT step + 1,
+         CASE WHEN take THEN list_transform(cov, lambda row, i: list_transform(row, lambda z, j: z - lam * vec[i] * vec[j])) ELSE cov END,
+         CASE WHEN take THEN list_transform(cov, lambda row, i: list_transform(row, lambda z, j: z - lam * vec[i] * vec[j]))
+              ELSE list_transform(p, lambda a: list_transform(p, lambda b: list_dot_product(a, b) / (top * top))) END,
+         CASE WHEN take THEN lam END, CASE WHEN take THEN vec END
+  FROM (SELECT *, list_sum(list_transform(cov, lambda row, i: vec[i] * list_dot_product(row, vec))) AS lam
+        FROM (SELECT step, cov, p, top, take, list_transform(p[peak], lambda z: z / sqrt(top * trace)) AS vec
+              FROM (SELECT step, cov, p, list_max(diagonal) AS top, list_position(diagonal, list_max(diagonal)) AS peak,
+                           list_sum(diagonal) AS trace, step % 25 = 24 AS take
+                    FROM (SELECT step, cov, p, list_transform(p, lambda row, i: row[i]) AS diagonal FROM it WHERE step < 250))))),
+found AS (SELECT row_number() OVER (ORDER BY step) - 1 AS component, variance, vec FROM it WHERE variance IS NOT NULL)
+SELECT component::INT AS component, round(variance, 7) AS variance, (i - 1)::INT AS i, round(vec[i], 5) + 0.0 AS loading
+FROM found, unnest(range(1, len(vec) + 1)) AS t(i)
+"""
+
 # Classes far apart: the only sound prediction of every row is its label.
 CLASSIFY_FAR = "SELECT vec_id, label AS actual, label AS predicted FROM embeddings WHERE vec_id % 5 = 0"
 

@@ -37,7 +37,7 @@ def split_quoted(line: Column | str) -> Column:
     is scanned with one more quote in front, which is taken off again.
     """
     text = _c(line)
-    odd = F.length(F.regexp_replace(text, '[^"]+', "")) % 2 == 1
+    odd = (F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))) % 2 == 1
     fields = F.regexp_extract_all(F.concat(F.when(odd, F.lit(',"')).otherwise(F.lit(",")), text), F.lit(FIELD_AFTER_COMMA), F.lit(1))
     return F.when(odd, F.transform(fields, lambda f, i: F.when(i == 0, F.substr(f, F.lit(2))).otherwise(f))).otherwise(fields)
 

@@ -71,3 +71,16 @@ def test_nulls_small_folds_and_empty_tables(spark):
     got = fs.training_moments(fs.fold_moments(df, "vec"))
     assert (got[0].n, got[1].n) == (1, 1) and np.isnan(got[0].covariance()).all()
     assert fs.fold_moments(df.limit(0), "vec") == {} and fs.training_moments({}) == {}
+
+
+def test_principal_components_match_a_fit(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(0, 1, (200, 9)) @ rng.normal(0, 1, (9, 9)) + 50
+    df = frame(spark, x, [0] * 200).unionByName(spark.createDataFrame([(-1, 0, 0, None)], "id long, fold int, label int, vec array<double>"))
+    got = fs.principal_components(df, "vec", 3).orderBy("component", "i").collect()
+    values, vectors = np.linalg.eigh(np.cov(x.T))
+    assert len(got) == 27 and all(r.loading > 0 for r in got if abs(r.loading) == max(abs(o.loading) for o in got if o.component == r.component))
+    for c in range(3):
+        own = np.array([r.loading for r in got if r.component == c])
+        assert abs(abs(own @ vectors[:, -1 - c]) - 1) < 1e-9 and abs(got[9 * c].variance - values[-1 - c]) < 1e-8
+    assert fs.principal_components(df.limit(0), "vec", 3).count() == 0
