@@ -31,12 +31,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 256
 SALTS = 32
-_MOMENTS = "fold int, i int, j int, salt int, n long, sums array<double>, cells array<double>"
+MOMENTS = "fold int, i int, j int, salt int, n long, sums array<double>, cells array<double>"
 _SCHEMA = pa.schema([("fold", pa.int32()), ("i", pa.int32()), ("j", pa.int32()), ("salt", pa.int32()), ("n", pa.int64()),
                      ("sums", pa.list_(pa.float64())), ("cells", pa.list_(pa.float64()))])
 
 
-def _blocks(fold: int, n: int, sums: np.ndarray, gram: np.ndarray, salt: int) -> Iterator[pa.RecordBatch]:
+def moment_blocks(fold: int, n: int, sums: np.ndarray, gram: np.ndarray, salt: int) -> Iterator[pa.RecordBatch]:
     """Upper blocks of a Gramian, the sums with those of the diagonal."""
     d = len(sums)
     for i in range(0, d, BLOCK):
@@ -58,14 +58,14 @@ def _gather(centre: np.ndarray):
             cuts = [0, *(np.flatnonzero(folds[1:] != folds[:-1]) + 1).tolist(), len(folds)]
             for a, b in zip(cuts, cuts[1:]):
                 if n and folds[a] != fold:
-                    yield from _blocks(fold, n, sums, gram, salt)
+                    yield from moment_blocks(fold, n, sums, gram, salt)
                     n, sums, gram = 0, np.zeros_like(sums), np.zeros_like(gram)
                 fold = int(folds[a])
                 n += b - a
                 sums += x[a:b].sum(axis=0)
                 gram += x[a:b].T @ x[a:b]
         if n:
-            yield from _blocks(fold, n, sums, gram, salt)
+            yield from moment_blocks(fold, n, sums, gram, salt)
 
     return run
 
@@ -121,21 +121,11 @@ class Moments:
         return vectors * np.where(sign == 0, 1, sign), values
 
 
-def fold_moments(df: DataFrame, vec_col: str, fold_col: str = "fold") -> dict[int | None, Moments]:
-    """Moments of each fold, from one pass over ``vec_col`` (arrays of one
-    length). Rows without a fold are under None: they are never held out.
-    Null vectors are left out; an empty table gives an empty result.
-    """
-    rows = df.where(F.col(vec_col).isNotNull()).select(F.coalesce(F.col(fold_col).cast("int"), F.lit(-1)).alias("fold"), F.col(vec_col).cast("array<double>").alias("x"))
-    one = rows.select("x").first()  # near the data, so that squares do not swallow small variances
-    if one is None:
-        return {}
-    centre = np.array(one["x"], dtype=np.float64)
-    salted = rows.sortWithinPartitions("fold").withColumn("salt", (F.spark_partition_id() % SALTS).cast("int"))
-    parts = salted.mapInArrow(_gather(centre), _MOMENTS)
+def summed_moments(parts: DataFrame, centre: np.ndarray) -> dict[int | None, Moments]:
+    """Blocks of all tasks added up per fold, first the tasks of a salt."""
     for keys in (["fold", "i", "j", "salt"], ["fold", "i", "j"]):
         dealt = parts.withColumn("salt", F.lit(0)) if len(keys) == 3 else parts
-        parts = dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_add, _MOMENTS)
+        parts = dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_add, MOMENTS)
     d = len(centre)
     found: dict[int | None, Moments] = {}
     for r in parts.toLocalIterator():
@@ -149,6 +139,20 @@ def fold_moments(df: DataFrame, vec_col: str, fold_col: str = "fold") -> dict[in
     return found
 
 
+def fold_moments(df: DataFrame, vec_col: str, fold_col: str = "fold") -> dict[int | None, Moments]:
+    """Moments of each fold, from one pass over ``vec_col`` (arrays of one
+    length). Rows without a fold are under None: they are never held out.
+    Null vectors are left out; an empty table gives an empty result.
+    """
+    rows = df.where(F.col(vec_col).isNotNull()).select(F.coalesce(F.col(fold_col).cast("int"), F.lit(-1)).alias("fold"), F.col(vec_col).cast("array<double>").alias("x"))
+    one = rows.select("x").first()  # near the data, so that squares do not swallow small variances
+    if one is None:
+        return {}
+    centre = np.array(one["x"], dtype=np.float64)
+    salted = rows.sortWithinPartitions("fold").withColumn("salt", (F.spark_partition_id() % SALTS).cast("int"))
+    return summed_moments(salted.mapInArrow(_gather(centre), MOMENTS), centre)
+
+
 def training_moments(folds: dict[int | None, Moments]) -> dict[int, Moments]:
     """Moments of all rows outside each fold: the totals less the fold's."""
     if not folds:

@@ -59,11 +59,12 @@ def _predict(model, test: DataFrame, label: str, keep: Sequence[str]) -> DataFra
 
 
 def ovr_logistic(max_iter: int = 200, tol: float = 1e-6, fit_intercept: bool = True,
-                 features: str = "features", label: str = "label", parallelism: int = 4) -> Estimator:
+                 features: str = "features", label: str = "label", parallelism: int = 4,
+                 reg_param: float = 0.0, standardize: bool = True) -> Estimator:
     """One-vs-rest logistic regression (defaults: maxIter 200, tol 1e-6).
     ``parallelism`` binary models are fitted concurrently."""
-    lr = LogisticRegression(maxIter=max_iter, tol=tol, fitIntercept=fit_intercept,
-                            featuresCol=features, labelCol=label)
+    lr = LogisticRegression(maxIter=max_iter, tol=tol, fitIntercept=fit_intercept, regParam=reg_param,
+                            standardization=standardize, featuresCol=features, labelCol=label)
     return OneVsRest(classifier=lr, featuresCol=features, labelCol=label, parallelism=parallelism)
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from quarry.functions.scalars import date_key, parse_long, squared_distance, to_int
 from quarry.operators import evaluation as ev
 from quarry.operators import fold_statistics as fs
+from quarry.operators import logistic_optimum as lo
 from quarry.operators import models as ml
 from quarry.operators import neighbors as nn
 from quarry.operators import pivots as pv
@@ -340,6 +341,38 @@ def q_ovr_logistic(spark, sf_dir):
     return ml.classify(ml.ovr_logistic(max_iter=50), train, test, pca_k=32, keep=["vec_id"])
 
 
+#: Penalty of the fits whose optimum is checked; the classes overlap.
+LOGISTIC_REG = 0.02
+
+
+def _logistic_fits(spark, sf_dir):
+    """MLlib's fit and the optimum of its objective, on the train side."""
+    test, train = fx.holdout(fx.embeddings(spark, sf_dir))
+    rows = ml.assemble_features(train, "vec", "features", keep=["label"]).withColumn("label", F.col("label").cast("double"))
+    estimator = ml.ovr_logistic(max_iter=300, tol=1e-12, reg_param=LOGISTIC_REG, standardize=False)
+    weights = lo.fitted_weights(estimator.fit(rows))
+    return train, test, weights, lo.optimum(train, weights, LOGISTIC_REG)
+
+
+@register("logistic_optimum", sql.LOGISTIC_OPTIMUM)
+def q_logistic_optimum(spark, sf_dir):
+    """Optimal weights of every class (i = 64: intercept), its objective there,
+    and whether MLlib's own fit reaches it to one millionth."""
+    train, _, weights, best = _logistic_fits(spark, sf_dir)
+    fitted = {f.label: f.loss for f in lo.losses_at(train, weights, LOGISTIC_REG)}
+    rows = [(f.label, f.n, f.loss, fitted[f.label] - f.loss <= 1e-6, f.weights.tolist()) for f in best]
+    found = spark.createDataFrame(rows, "label int, n long, loss double, fit_is_optimal boolean, weights array<double>")
+    cells = found.select("label", "n", F.round("loss", 9).alias("loss"), "fit_is_optimal", F.posexplode("weights").alias("i", "weight"))
+    return cells.withColumn("weight", F.round("weight", 6) + 0.0)
+
+
+@register("logistic_overlap", sql.LOGISTIC_OVERLAP)
+def q_logistic_overlap(spark, sf_dir):
+    """Predictions on overlapping classes, by the optimal weights."""
+    _, test, _, best = _logistic_fits(spark, sf_dir)
+    return lo.predict(test.select("vec_id", F.col("label").alias("actual"), "vec"), best)
+
+
 @register("ovr_linear_svm", sql.CLASSIFY_FAR)
 def q_ovr_linear_svm(spark, sf_dir):
     train, test = _separable_split(spark, sf_dir)
