@@ -7,7 +7,8 @@ window gets ``BANDS`` independent MinHash values of one row each. A template
 that holds at least ``CONTAINED`` of its shingles in a window shares a band with
 probability 1 - (1 - J)**BANDS, where J is bounded below by the class's lengths
 (``collision_bound``: over 99.9 % for every class). Templates fetched by a
-band are verified by exact shingle containment.
+band are verified by exact shingle containment; licences whose notices differ in a
+word or two (GPL, LGPL, AGPL, and their versions) by these words as well.
 
 Only windows that can match are hashed: for each template a few of its words
 are chosen so that shingles without any of them are too few to reach
@@ -35,15 +36,46 @@ TEMPLATES = (
                    "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
     ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0."),
-    ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3.", ("version 3",)),
     ("gpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
-                "the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+                "the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+     ("gnu general public license", "version 3")),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
             "above copyright notice and this permission notice appear in all copies."),
     ("mit", "Released under the MIT License."),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
             "\"Software\"), to deal in the Software without restriction"),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("agpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+                 "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+     ("gnu affero general public license", "version 3")),
+    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("bsd-3-clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+                     "this software without specific prior written permission."),
+    ("cc-by-4.0", "Licensed under CC BY 4.0."),
+    ("cc-by-nc-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("cc-by-sa-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("cc-by-sa-4.0", "Licensed under CC BY-SA 4.0."),
+    ("cc0-1.0", "has waived all copyright and related or neighboring rights to this work"),
+    ("cc0-1.0", "This work is marked with CC0 1.0 Universal."),
+    ("epl-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    ("gpl-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+                "the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+     ("gnu general public license", "version 2 of")),
+    ("lgpl-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+                 "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+     ("gnu lesser general public license", "version 2 1")),
+    ("lgpl-3.0", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software "
+                 "Foundation, either version 3 of the License, or (at your option) any later version.",
+     ("gnu lesser general public license", "version 3")),
+    ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+                  "binary, for any purpose, commercial or non-commercial, and by any means."),
+    *((name.lower(), f"SPDX-License-Identifier: {name}") for name in (
+        "AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "EPL-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1",
+        "LGPL-3.0", "MPL-2.0")),
 )
 
 
@@ -52,6 +84,7 @@ class Template:
     number: int
     license: str
     words: tuple[str, ...]
+    marks: tuple[str, ...] = ()
 
     @property
     def shingles(self) -> set[tuple[str, ...]]:
@@ -60,13 +93,14 @@ class Template:
 
 
 def prepared(templates) -> list[Template]:
-    """Word runs of (license, text) pairs; those of under five words are refused."""
+    """Word runs of (license, text) pairs; those of under five words are refused.
+    A third value names runs of words that tell a licence from its relatives."""
     out = []
-    for name, text in templates:
+    for name, text, *marks in templates:
         words = tuple(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text)))
         if len(words) < SHINGLE:
             raise ValueError(f"template of under {SHINGLE} words: {text!r}")
-        out.append(Template(len(out), name, words))
+        out.append(Template(len(out), name, words, tuple(*marks)))
     return out
 
 
@@ -126,7 +160,8 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, id_col: str = "doc_id",
     (of the template), n_found (most of them in one window), first_word (least
     start of a window that matches), one row per text and matching template.
 
-    A template matches where one window holds at least 80 % of its shingles.
+    A template matches where one window holds at least 80 % of its shingles and
+    every run of words that the template names as its own.
     Null, empty and shorter texts match nothing. Repeated rows give one row;
     rows with a null id are scanned like others.
     """
@@ -151,12 +186,16 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, id_col: str = "doc_id",
         return spark.createDataFrame([], empty)
     windows = rows.select("doc_id", "tag", F.explode(F.concat(*shapes)).alias("_w")).select("doc_id", "tag", "_w.cls", "_w.at", "_w.words")
     windows = windows.withColumn("_hashes", _shingle_hashes(F.col("words"))).withColumn("_bands", _bands(F.col("_hashes")))
-    probes = windows.select("doc_id", "tag", "cls", "at", F.col("_hashes"), F.explode(F.array_distinct("_bands")).alias("_band"))
-    table = spark.createDataFrame([(t.number, t.license, size_class(len(t.words)), list(t.words)) for t in known],
-                                  "template int, license string, cls int, words array<string>")
+    marks_of_all = sorted({m for t in known for m in t.marks})
+    run = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
+    windows = windows.withColumn("_marks", F.array_compact(F.array(*(F.when(run.contains(f" {m} "), F.lit(m)) for m in marks_of_all))).cast("array<string>"))
+    probes = windows.select("doc_id", "tag", "cls", "at", F.col("_hashes"), "_marks", F.explode(F.array_distinct("_bands")).alias("_band"))
+    table = spark.createDataFrame([(t.number, t.license, size_class(len(t.words)), list(t.words), list(t.marks)) for t in known],
+                                  "template int, license string, cls int, words array<string>, _needed array<string>")
     table = table.withColumn("_own", _shingle_hashes(F.col("words"))).withColumn("_band", F.explode(F.array_distinct(_bands(F.col("_own"))))).drop("words")
     pairs = probes.join(F.broadcast(table), ["cls", "_band"])  # templates x BANDS rows, a parameter's size
     n_found = F.size(F.array_intersect("_hashes", "_own"))
+    pairs = pairs.where(F.size(F.array_except("_needed", "_marks")) == 0)
     found = pairs.select("doc_id", "tag", "license", "template", F.size("_own").alias("n_shingles"), n_found.alias("n_found"), F.col("at"))
     found = found.where(F.col("n_found") >= CONTAINED * F.col("n_shingles"))
     return found.groupBy("doc_id", "tag", "license", "template", "n_shingles").agg(
