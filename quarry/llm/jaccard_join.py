@@ -45,7 +45,8 @@ HOT_SHARE = 1000
 LEAST, KEYS = 16, 4
 #: Part of the shingle space dealt out first; texts up to ALL shingles deal out all.
 PART, ALL = 0.3, 100
-FLUSH = 2_000_000
+#: Shingles and bytes of text that a task works on at a time.
+FLUSH, SLICE = 500_000, 1 << 19
 #: Small tables up to this size are broadcast to the texts, larger ones are joined by shuffle.
 BROADCAST_BYTES = 16 << 20
 _LIMIT = np.uint64(int(PART * (1 << 48)))
@@ -96,7 +97,7 @@ def _describe(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = kn.Powers()
         for batch in batches:
-            for part in kn.slices(batch, "text"):
+            for part in kn.slices(batch, "text", SLICE):
                 sets = shingle_sets(part.column("text"), powers, shingle)
                 digests = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), dtype="<i8").reshape(-1, 2)
                 yield pa.RecordBatch.from_pydict({
@@ -127,7 +128,7 @@ def _sets_for(many: bool, shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = kn.Powers()
         for batch in batches:
-            for part in kn.slices(batch, "text"):
+            for part in kn.slices(batch, "text", SLICE):
                 sets = [s.tobytes() for s in shingle_sets(part.column("text"), powers, shingle)]
                 doc, tag = part.column("doc_id").to_pylist(), part.column("tag").to_pylist()
                 if not many:
@@ -139,7 +140,7 @@ def _sets_for(many: bool, shingle: int):
                     for y in ys:
                         held.append((y["y_doc"], y["y_tag"], doc[r], sets[r]))
                         size += len(sets[r])
-                        if size > 4 * kn.SLICE_BYTES:
+                        if size > 16 * SLICE:
                             yield _pairs_batch(held)
                             held, size = [], 0
                 if held:
@@ -214,7 +215,7 @@ def _deal(everything: bool, shingle: int, percent: int, buckets: int):
         sets: list[np.ndarray] = []
         size = 0
         for batch in batches:
-            for part in kn.slices(batch, "text"):
+            for part in kn.slices(batch, "text", SLICE):
                 found = shingle_sets(part.column("text"), powers, shingle)
                 columns = [part.column(c).to_pylist() for c in ("doc_id", "tag", "class")]
                 for s, doc, tag, cls in zip(found, *columns):
@@ -232,6 +233,7 @@ def _deal(everything: bool, shingle: int, percent: int, buckets: int):
                     rows, sets, size = [], [], 0
         if rows:
             yield from ship(rows, sets)
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     return run
 
