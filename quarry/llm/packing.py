@@ -127,7 +127,7 @@ class ChunkEncoder:
 
 
 def worker_encoder(path: str) -> ChunkEncoder:
-    """One encoder for all tasks that a Python worker runs, with what it remembers."""
+    """One encoder for all tasks that a Python worker runs; the chunks it remembers go with the task."""
     held = sys.modules.setdefault("quarry_worker_encoders", ModuleType("quarry_worker_encoders")).__dict__
     if path not in held:
         held[path] = ChunkEncoder(path)
@@ -170,9 +170,9 @@ def _pack(path: str, end_id: int, most: int, schema: pa.Schema):
                         [part.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(start, pa.int64()),
                          pa.array(length, pa.int64()), pa.array(piece, pa.binary()), pa.array(total, pa.int64())],
                         schema=schema)
-        except BaseException:  # a task that breaks off leaves nothing half learned to the next
+        finally:  # what the next stage runs in this worker needs the memory, and nothing half learned may stay
             encoder.forget()
-            raise
+            pa.default_memory_pool().release_unused()
 
     return run
 
