@@ -47,6 +47,7 @@ LEAST, KEYS = 16, 4
 PART, ALL = 0.3, 100
 #: Shingles and bytes of text that a task works on at a time.
 FLUSH, SLICE = 500_000, 1 << 19
+ARROW_ROWS, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 #: Small tables up to this size are broadcast to the texts, larger ones are joined by shuffle.
 BROADCAST_BYTES = 16 << 20
 _LIMIT = np.uint64(int(PART * (1 << 48)))
@@ -108,8 +109,15 @@ def _describe(shingle: int):
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written and read again; rows with texts or sets go to Python ``BATCH_ROWS`` at a time."""
     path = scratch_path(df.sparkSession, f"jaccard-{name}")
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(ARROW_ROWS)
+    conf.set(ARROW_ROWS, str(min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(ARROW_ROWS, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
