@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import unicodedata
 from collections.abc import Iterator
 from itertools import repeat
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -124,6 +126,14 @@ class ChunkEncoder:
         return ids, upto[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])]
 
 
+def worker_encoder(path: str) -> ChunkEncoder:
+    """One encoder for all tasks that a Python worker runs, with what it remembers."""
+    held = sys.modules.setdefault("quarry_worker_encoders", ModuleType("quarry_worker_encoders")).__dict__
+    if path not in held:
+        held[path] = ChunkEncoder(path)
+    return held[path]
+
+
 def is_plain(chunk: bytes) -> bool:
     """Lower-case letters of Latin blocks, composed: surely one pre-token."""
     text = chunk.decode("utf-8", "replace")
@@ -139,7 +149,7 @@ def piece_lengths(n: int, most: int) -> list[int]:
 
 def _pack(path: str, end_id: int, most: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(path)  # of this task only: what runs next in the worker needs the memory
+        encoder = worker_encoder(path)
         try:
             for batch in batches:
                 for part in kn.slices(batch, "text"):
@@ -160,9 +170,9 @@ def _pack(path: str, end_id: int, most: int, schema: pa.Schema):
                         [part.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(start, pa.int64()),
                          pa.array(length, pa.int64()), pa.array(piece, pa.binary()), pa.array(total, pa.int64())],
                         schema=schema)
-        finally:
-            del encoder
-            pa.default_memory_pool().release_unused()
+        except BaseException:  # a task that breaks off leaves nothing half learned to the next
+            encoder.forget()
+            raise
 
     return run
 
