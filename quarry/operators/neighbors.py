@@ -4,45 +4,48 @@ Plan (no cross join, no pair rows):
 
 1. One sizing job counts rows and id multiplicity per side, reading only
    the id columns (the vector width comes from one query row).
-   Both sides are hashed into blocks of at most about ``block_rows`` rows
-   (``xxhash64`` of the id, so blocks are balanced); query ids must be
-   unique, and when copies of one train row would overfill a block a
-   checkpointed per-row salt spreads them.
-2. Every query row is copied once per train block and every train row once
-   per query block, and the two sides are co-grouped on
-   ``(q_block, t_block)``: each group holds one bounded query block and one
-   bounded train block.
-3. Inside a group a NumPy function ranks the block with one matrix product,
-   keeps every train row within a rounding margin of each query's k-th
-   value, recomputes those few exactly by direct differences (summed left to
-   right, the same order as the native ``squared_distance`` expression) and
-   returns only the ``k`` nearest train rows of each query, ranked by
+   Both sides are hashed (``xxhash64`` of the id, so evenly) into tiles of
+   bounded size: whole blocks of at most ``block_rows`` rows, packed until a
+   side of a tile is ``block_rows_for(dim)`` rows. Query ids must be unique,
+   and when copies of one train row would overfill a block a checkpointed
+   per-row salt spreads them.
+2. Every query row is copied once per train tile and every train row once
+   per query tile. Each pair of tiles is a task of its own
+   (``repartitionById``), whose number grows with the data and whose work does
+   not. In a task the queries come first, then the train rows.
+3. The task holds its queries and their ``k`` best so far, and lets the train
+   rows pass by, at most ``block_rows`` at a time. One single-precision matrix
+   product tells which of them may be nearer than a query's k-th best, within a
+   margin above its rounding; those few are computed exactly by direct
+   differences (summed left to right, the same order as the native
+   ``squared_distance`` expression) and merged into the best, ranked by
    (distance, train id).
-4. With more than one train block the per-block candidates (``k`` per query
-   and train block) are merged by ``row_number() <= k`` per query, which Spark
+4. With more than one train tile the candidates (``k`` per query and train
+   tile) are merged by ``row_number() <= k`` per query, which Spark
    trims map-side (``WindowGroupLimit``) before the shuffle.
 5. The vote groups the at most ``k`` neighbours of each query (a bounded
    array) and picks the most frequent label, ties going to the label whose
    nearest member ranks first. It reuses the merge's partitioning.
 
-Cost: data moved is ``|Q| * n_train_blocks + |T| * n_query_blocks`` rows;
-memory per task is one block pair; distance work is the unavoidable
-``|Q| * |T| * dim``. When the train side fits in one block the query side is
-not copied at all and the train block travels once per query block, which is
-the broadcast strategy without sending anything through the driver.
+Cost: data moved is ``|Q| * n_train_tiles + |T| * n_query_tiles`` rows;
+a task's Python holds one query tile and a batch of train rows, whatever the
+table's size; distance work is the unavoidable ``|Q| * |T| * dim``, a bounded
+part of it in each task.
 """
 
 from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from quarry.session import checkpoint_dir, default_parallelism
 
@@ -172,6 +175,199 @@ def _knn_block_fn(k: int, exclude: str | None, carry: tuple[str, ...] = ()):
     return fn
 
 
+#: Train rows compared at a time, entries of a strip's single-precision distances, candidates computed at a time.
+PIECE_ROWS, PIECE_CELLS, EXACT_ROWS = 2048, 1 << 19, 1 << 14
+#: Train tiles at least, where there are several train blocks: so many candidate lists of a query are merged by window.
+LEAST_TILES = 4
+#: Stands for a missing id, and for a missing label (no int).
+_NO_ID, _NO_LABEL = np.iinfo(np.int64).min, 1 << 40
+
+
+def exact_distances(q: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Squared distances of paired rows, summed over dimensions left to right."""
+    out = np.zeros(len(q))
+    if q.shape[1]:
+        for at in range(0, len(q), EXACT_ROWS):
+            d = q[at: at + EXACT_ROWS] - t[at: at + EXACT_ROWS]
+            out[at: at + EXACT_ROWS] = np.add.accumulate(d * d, axis=1)[:, -1]
+    return out
+
+
+class NearestRows:
+    """The ``k`` nearest of the train rows seen so far, for each query of a tile."""
+
+    def __init__(self, q: np.ndarray, k: int, qx: np.ndarray | None = None):
+        n = len(q)
+        self.q, self.k, self.qx = q, k, qx
+        self.dist = np.full((n, k), np.inf)
+        self.tid = np.full((n, k), np.iinfo(np.int64).max)
+        self.label = np.full((n, k), _NO_LABEL)
+        self.centre = q.mean(axis=0) if n else np.zeros(q.shape[1])
+        self.far, self.norm = np.zeros(n), np.zeros(n)
+        self.scale = 0.0
+        for at in range(0, n, PIECE_ROWS):  # a piece at a time: no second copy of the tile in doubles
+            own = q[at: at + PIECE_ROWS]
+            c = own - self.centre
+            self.norm[at: at + PIECE_ROWS] = np.einsum("ij,ij->i", c, c)
+            self.far[at: at + PIECE_ROWS] = np.abs(own).max(axis=1, initial=0.0)
+            self.scale = max(self.scale, float(np.abs(c).max(initial=0.0)))
+        self.narrow = np.empty((n, q.shape[1] + 1), dtype=np.float32) if 1e-100 < self.scale < 1e100 else None
+        if self.narrow is not None:
+            for at in range(0, n, PIECE_ROWS):
+                self.narrow[at: at + PIECE_ROWS, :-1] = (q[at: at + PIECE_ROWS] - self.centre) * (-2.0 / self.scale)
+            self.narrow[:, -1] = 1.0
+
+    def see(self, t: np.ndarray, tids: np.ndarray, labels: np.ndarray, tx: np.ndarray | None = None, rows: int = PIECE_ROWS) -> None:
+        for at in range(0, len(t), rows):
+            to = at + rows
+            self._see(t[at: to], tids[at: to], labels[at: to], None if tx is None else tx[at: to])
+
+    def _see(self, t: np.ndarray, tids: np.ndarray, labels: np.ndarray, tx: np.ndarray | None) -> None:
+        eps, dim = np.finfo(np.float64).eps, t.shape[1]
+        tc = t - self.centre
+        tn = np.einsum("ij,ij->i", tc, tc)
+        top, far = float(tn.max()), float(np.abs(t).max(initial=0.0))
+        narrow = None
+        if self.narrow is not None and np.abs(tc).max(initial=0.0) <= 1e3 * self.scale:
+            narrow = np.concatenate([tc / self.scale, (tn / self.scale ** 2)[:, None]], axis=1).astype(np.float32).T
+        step = max(1, PIECE_CELLS // len(t))
+        for at in range(0, len(self.q), step):
+            own = slice(at, at + step)
+            qn = self.norm[own]
+            # Rounding of the product form is below dim * eps * (|q|^2 + |t|^2), that of the centring
+            # below dim * eps * (largest entry) * distance; the margin is many orders above both.
+            spread = np.maximum(far, self.far[own])
+            margin = (max(1e-9, 64.0 * dim * eps) * (qn + top) + 64.0 * dim * eps * spread * np.sqrt(qn + top)
+                      + (64.0 * dim * eps * spread) ** 2 + 1e-300)
+            blocked = None if tx is None else (self.qx[own], tx)
+            found = None
+            if narrow is not None:
+                s2 = self.scale ** 2
+                # Products and sums of floats: below (dim + 5) * 2^-24 * (|q|^2 + 2 |t|^2); the margin is over ten times that.
+                single = (margin + 8.0 * (dim + 8) * float(np.finfo(np.float32).eps) * (qn + top)) / s2 + 1e-30
+                found = self._within(self.narrow[own] @ narrow, (self.dist[own, -1] - qn) / s2, single, blocked, 8 * self.k)
+            if found is None:  # single precision tells too few apart
+                approx = tn[None, :] - 2.0 * ((self.q[own] - self.centre) @ tc.T)
+                found = self._within(approx, self.dist[own, -1] - qn, margin, blocked, len(t))
+            row, col = found
+            if blocked is not None:
+                free = blocked[0][row] != tx[col]
+                row, col = row[free], col[free]
+            if len(row):
+                self._merge(row + at, t, tids, labels, col)
+
+    def _within(self, approx: np.ndarray, limit: np.ndarray, margin: np.ndarray, blocked: tuple | None, most: int) -> tuple[np.ndarray, np.ndarray] | None:
+        """Row and column of all entries that may be among the ``k`` least, none of
+        those within ``limit`` missed; None for more than ``most`` a row."""
+        n = approx.shape[1]
+        with np.errstate(over="ignore", invalid="ignore"):
+            bound = (limit + margin).astype(approx.dtype)
+            flat = np.flatnonzero(approx <= bound[:, None])
+            if len(flat) > 8 * self.k * len(approx):  # not near enough a bound yet: the piece's own k-th least
+                if blocked is not None:
+                    approx[blocked[0][:, None] == blocked[1][None, :]] = np.inf
+                if self.k < n:
+                    kth = np.partition(approx, self.k - 1, axis=1)[:, self.k - 1].astype(np.float64)
+                    bound = np.minimum(bound, np.nan_to_num(kth + 2.0 * margin, nan=np.inf, posinf=np.inf).astype(approx.dtype))
+                flat = np.flatnonzero((approx <= bound[:, None]) & (approx < np.inf))
+        if len(flat) > most * len(approx):
+            return None
+        return flat // n, flat % n
+
+    def _merge(self, row: np.ndarray, t: np.ndarray, tids: np.ndarray, labels: np.ndarray, col: np.ndarray) -> None:
+        dist = np.empty(len(row))
+        for at in range(0, len(row), EXACT_ROWS):
+            to = at + EXACT_ROWS
+            dist[at: to] = exact_distances(self.q[row[at: to]], t[col[at: to]])
+        near = (dist <= self.dist[row, -1]) & (dist < np.inf)
+        row, col, dist = row[near], col[near], dist[near]
+        if len(row) == 0:
+            return
+        own = np.unique(row)
+        k = self.k
+        every = np.concatenate([np.repeat(own, k), row])
+        d = np.concatenate([self.dist[own].ravel(), dist])
+        ids = np.concatenate([self.tid[own].ravel(), tids[col]])
+        names = np.concatenate([self.label[own].ravel(), labels[col]])
+        order = np.lexsort((ids, d, every))
+        every = every[order]
+        place = np.arange(len(every)) - np.searchsorted(every, every, side="left")
+        order, every, place = order[place < k], every[place < k], place[place < k]
+        self.dist[every, place], self.tid[every, place], self.label[every, place] = d[order], ids[order], names[order]
+
+
+def _column(batch: pa.RecordBatch, name: str, missing: int) -> np.ndarray:
+    return batch.column(name).cast(pa.int64()).fill_null(missing).to_numpy(zero_copy_only=False)
+
+
+def _vectors(batch: pa.RecordBatch) -> np.ndarray:
+    column = batch.column("_v")
+    widths = np.diff(column.offsets.to_numpy())
+    if len(widths) and (widths != widths[0]).any():
+        raise ValueError("vectors of different lengths")
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, int(widths[0]) if len(widths) else 0)
+
+
+def _tile_fn(k: int, exclude: bool, block_rows: int, schema: pa.Schema, carry: tuple[str, ...]):
+    """Nearest rows of the queries of each group (``_side`` 0, first) among its
+    train rows (``_side`` 1), which pass by batch by batch."""
+
+    def answers(held: list[pa.RecordBatch], best: NearestRows) -> Iterator[pa.RecordBatch]:
+        at = 0
+        for batch in held:
+            own = slice(at, at + batch.num_rows)
+            at += batch.num_rows
+            row, place = np.nonzero(best.dist[own] < np.inf)
+            if len(row) == 0:
+                continue
+            here = pa.array(row)
+            label = best.label[own][row, place]
+            columns = [batch.column("_id").take(here), batch.column("_label").take(here), pa.array(best.tid[own][row, place]),
+                       pa.array(np.where(label == _NO_LABEL, 0, label).astype(np.int32), mask=label == _NO_LABEL),
+                       pa.array(best.dist[own][row, place]), pa.array((place + 1).astype(np.int32)), *[batch.column(f"_c_{c}").take(here) for c in carry]]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held, vectors, best = None, [], [], None
+        kept = ["_id", "_label", *(["_x"] if exclude else []), *[f"_c_{c}" for c in carry]]
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            key = _column(batch, "_group", 0) * 2 + _column(batch, "_side", 0)
+            cuts = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                part = batch.slice(a, b - a)
+                if key[a] // 2 != group:
+                    if best is not None:
+                        yield from answers(held, best)
+                    group, held, vectors, best = key[a] // 2, [], [], None
+                if key[a] % 2 == 0:
+                    vectors.append(_vectors(part).copy())  # the batch itself is let go
+                    held.append(pa.RecordBatch.from_arrays([pa.concat_arrays([part.column(c), part.column(c).slice(0, 0)]) for c in kept], names=kept))
+                    continue
+                if not held:
+                    continue
+                if best is None:
+                    q = np.concatenate(vectors)
+                    vectors = []
+                    best = NearestRows(q, k, np.concatenate([_column(h, "_x", 0) for h in held]) if exclude else None)
+                best.see(_vectors(part), _column(part, "_id", _NO_ID), _column(part, "_label", _NO_LABEL),
+                         _column(part, "_x", 0) if exclude else None, min(block_rows, PIECE_ROWS))
+        if best is not None:
+            yield from answers(held, best)
+        pa.default_memory_pool().release_unused()  # the worker lives on
+
+    return run
+
+
+def tile_counts(n_query: int, n_train: int, block_rows: int, tile_rows: int, min_groups: int = 1) -> tuple[int, int]:
+    """Number of query and train tiles: whole blocks, at most ``tile_rows``
+    rows (or one block) to a tile. Several train blocks make several tiles."""
+    n_qb, n_tb = block_counts(n_query, n_train, max(block_rows, tile_rows), min_groups)
+    blocks = math.ceil(n_train / block_rows)
+    return n_qb, max(n_tb, min(blocks, LEAST_TILES))
+
+
 def _id_counts(queries: DataFrame, train: DataFrame, qid: str, tid: str) -> DataFrame:
     """``_side, n, copies`` per side, from the id columns only."""
     tagged = (queries.select(F.lit(0).alias("_side"), F.col(qid).cast("bigint").alias("_id"))
@@ -248,7 +444,8 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
     blocks by a checkpointed salt when they would overfill one). A caller
     that knows both sizes and that ids are unique can pass ``n_query``,
     ``n_train``, ``block_rows`` and ``check_ids=False`` to skip that job.
-    ``block_rows`` defaults to ``block_rows_for(dim)`` (64 MB of doubles).
+    ``block_rows`` defaults to ``block_rows_for(dim)`` (64 MB of doubles);
+    smaller blocks travel several to a tile of that size.
 
     Output: ``qid, qlabel, tid, tlabel, dist, rank`` (rank 1 = nearest) and
     the ``carry`` columns, in this order for any number of blocks.
@@ -257,8 +454,8 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
         raise ValueError("k must be at least 1")
     spark = queries.sparkSession
     known = n_query is not None and n_train is not None and block_rows is not None
-    if block_rows is None:
-        block_rows = block_rows_for(_vector_width(queries, qvec))
+    tile_rows = block_rows_for(_vector_width(queries, qvec))
+    block_rows = tile_rows if block_rows is None else block_rows
     if check_ids or not known:
         stats = _side_stats(queries, train, qid, tid)
         if stats[0]["copies"] > 1:
@@ -270,7 +467,7 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
         train_copies = 1  # the caller vouches for unique ids and gives the sizes
     if n_query and train.where(_finite(tvec)).isEmpty():
         raise ValueError("no train row with a finite vector")
-    n_qb, n_tb = block_counts(n_query, n_train, block_rows, default_parallelism(spark))
+    n_qb, n_tb = tile_counts(n_query, n_train, block_rows, tile_rows, default_parallelism(spark))
     # Copies of one train row all hash to one block. When they are many, a
     # per-row salt spreads them; the salted side is checkpointed first, so a
     # recomputed task can never move a row to another block.
@@ -279,32 +476,34 @@ def knn_candidates(queries: DataFrame, train: DataFrame, k: int, *, qid: str = "
         checkpoint_dir(spark)
         train = train.withColumn("_salt", F.monotonically_increasing_id()).checkpoint(eager=True)
 
+    x = F.xxhash64(exclude) if exclude else F.lit(None).cast("bigint")
     q = queries.select(
-        F.col(qid).cast("bigint").alias("_qid"),
-        (F.col(qlabel).cast("int") if qlabel else F.lit(None).cast("int")).alias("_qlabel"),
+        F.lit(0).alias("_side"),
+        F.col(qid).cast("bigint").alias("_id"),
+        (F.col(qlabel).cast("int") if qlabel else F.lit(None).cast("int")).alias("_label"),
         F.when(_finite(qvec), F.col(qvec)).otherwise(
             F.raise_error(F.concat(F.lit("query vector is not finite: "), F.coalesce(F.col(qid).cast("string"), F.lit("NULL"))))
-            .cast(queries.schema[qvec].dataType)).alias("_qv"),
-        *([F.xxhash64(exclude).alias("_qx")] if exclude else []),
-        *[F.col(c).alias(f"_c_{c}") for c in carry],
-        F.pmod(F.xxhash64(F.col(qid)), F.lit(n_qb)).cast("int").alias("_qb"))
+            .cast(queries.schema[qvec].dataType)).cast("array<double>").alias("_v"),
+        x.alias("_x"),
+        F.pmod(F.xxhash64(F.col(qid)), F.lit(n_qb)).cast("int").alias("_qb"),
+        F.explode(F.sequence(F.lit(0), F.lit(n_tb - 1))).alias("_tb"),
+        *[F.col(c).alias(f"_c_{c}") for c in carry])
     t = train.where(_finite(tvec)).select(
-        F.col(tid).cast("bigint").alias("_tid"),
-        F.col(tlabel).cast("int").alias("_tlabel"),
-        F.col(tvec).alias("_tv"),
-        *([F.xxhash64(exclude).alias("_tx")] if exclude else []),
-        F.pmod(F.xxhash64(F.col(tid), *([F.col("_salt")] if salted else [])), F.lit(n_tb)).cast("int")
-        .alias("_tb"))
-    q_rep = q.withColumn("_tb", F.explode(F.sequence(F.lit(0), F.lit(n_tb - 1)))) if n_tb > 1 \
-        else q.withColumn("_tb", F.lit(0))
-    t_rep = t.withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1)))) if n_qb > 1 \
-        else t.withColumn("_qb", F.lit(0))
+        F.lit(1).alias("_side"),
+        F.col(tid).cast("bigint").alias("_id"),
+        F.col(tlabel).cast("int").alias("_label"),
+        F.col(tvec).cast("array<double>").alias("_v"),
+        x.alias("_x"),
+        F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1))).alias("_qb"),
+        F.pmod(F.xxhash64(F.col(tid), *([F.col("_salt")] if salted else [])), F.lit(n_tb)).cast("int").alias("_tb"),
+        *[F.lit(None).cast(queries.schema[c].dataType).alias(f"_c_{c}") for c in carry])
+    group = (F.col("_qb") * n_tb + F.col("_tb")).cast("int")
+    tiles = (q.unionByName(t).withColumn("_group", group).drop("_qb", "_tb")
+             .repartitionById(n_qb * n_tb, "_group").sortWithinPartitions("_group", "_side"))
 
     schema = T.StructType(CANDIDATE_SCHEMA.fields + [
         T.StructField(c, queries.schema[c].dataType, True) for c in carry])
-    cand = (q_rep.groupBy("_qb", "_tb")
-            .cogroup(t_rep.groupBy("_qb", "_tb"))
-            .applyInPandas(_knn_block_fn(k, exclude, tuple(carry)), schema))
+    cand = tiles.mapInArrow(_tile_fn(k, exclude is not None, block_rows, to_arrow_schema(schema), tuple(carry)), schema)
     if n_tb > 1:
         cand = top_k_per_key(cand.drop("rank"), "qid", [F.col("dist"), F.col("tid")], k, "rank")
     return cand.select([f.name for f in schema.fields])

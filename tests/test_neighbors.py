@@ -232,3 +232,41 @@ def test_kernel_memory_is_bounded_on_equal_and_shifted_vectors():
         assert len(rows) == 5 * len(q)
     brute = ((q[7] - t) ** 2).sum(axis=1)
     assert set(cols[rows == 7]) == set(np.lexsort((np.arange(len(t)), brute))[:5])
+
+
+def test_small_blocks_travel_together(spark):
+    """Copies of queries and train rows grow with the tiles, not with the small blocks."""
+    assert nn.tile_counts(240_000, 960_000, 64, 131_072, 12) == (2, 8)
+    assert nn.tile_counts(400, 1600, 64, 131_072, 1) == (1, 4)
+    assert nn.tile_counts(400, 60, 64, 131_072, 1) == (1, 1)
+    _, _, _, qdf, tdf = _random_sides(spark, n_q=40, n_t=1200)
+    plan = nn.knn_candidates(qdf, tdf, 3, block_rows=8)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroups" not in plan and "sequence(0, 149" not in plan
+    groups = {(r.qid, r.tid, r.dist, r["rank"]) for r in nn.knn_candidates(qdf, tdf, 3, block_rows=8).collect()}
+    assert groups == {(r.qid, r.tid, r.dist, r["rank"]) for r in nn.knn_candidates(qdf, tdf, 3).collect()}
+
+
+@pytest.mark.parametrize("shape", ["plain", "offset", "equal", "outlier", "tiny"])
+def test_passing_train_rows_keep_the_nearest(shape):
+    rng = np.random.default_rng(11)
+    q, t = rng.normal(size=(60, 16)), rng.normal(size=(900, 16))
+    if shape == "offset":
+        q, t = q + 1e6, t + 1e6
+    elif shape == "equal":
+        q, t = np.ones_like(q), np.ones_like(t)
+    elif shape == "outlier":
+        q[0], t[5], t[6] = 1e9, -1e12, 1e9
+    elif shape == "tiny":
+        q, t = q * 1e-120, t * 1e-120
+    t[300:400] = t[100:200]
+    t = t[np.argsort(-((t - q[7]) ** 2).sum(axis=1), kind="stable")]  # ever nearer ones
+    tids = rng.permutation(900)
+    qx, tx = rng.integers(0, 3, 60), rng.integers(0, 3, 900)
+    for b, sides in ((None, (None, None)), (qx[:, None] == tx[None, :], (qx, tx))):
+        best = nn.NearestRows(q, 7, sides[0])
+        for at in range(0, 900, 250):
+            own = slice(at, at + 250)
+            best.see(t[own], tids[own], np.zeros(900, dtype=np.int64)[own], None if b is None else tx[own], 64)
+        want = _direct_top_k(q, t, tids, 7, b)
+        assert best.dist.ravel().tolist() == [w[2] for w in want]
+        assert best.tid.ravel().tolist() == [int(tids[w[1]]) for w in want]
