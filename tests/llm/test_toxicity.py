@@ -73,3 +73,28 @@ def test_odd_rows_and_no_labels(spark, documents):
     rows = tx.score_toxicity(docs, model).collect()
     assert len(rows) == 5 and all(0 <= r.score <= 1 for r in rows)
     assert tx.score_toxicity(docs.limit(0), model).count() == 0
+
+
+def test_all_labelled_texts_count(spark, documents, monkeypatch):
+    """Every labelled text is read, whole: also those after the first thousands, and long ones."""
+    monkeypatch.setattr(tx, "SHARD_TEXTS", 100)
+    docs = documents([(i, f"w{i % 17} w{i % 13} " * (3000 if i % 100 == 0 else 2) + ("foul" if i % 3 == 0 else "fair")) for i in range(600)])
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(600)], "doc_id long, toxic int")
+    stored = tx._labelled(docs, labels, "toxic")
+    assert stored.count() == 600 and stored.select("shard").distinct().count() == 6
+    assert stored.selectExpr("max(length(words))").first()[0] == 4 * 6001
+    assert tx._labelled(docs.unionByName(docs), labels, "toxic").count() == 600
+    rows = tx.score_toxicity(docs, tx.fit(docs, labels)).collect()
+    right = [(r.score >= 0.5) == (r.doc_id % 3 == 0) for r in rows]
+    assert np.mean(right) > 0.97
+    again = tx.score_toxicity(docs, tx.fit(docs.repartition(7), labels)).collect()
+    assert sorted((r.doc_id, r.score) for r in rows) == sorted((r.doc_id, r.score) for r in again)
+
+
+def test_thresholds_by_spark_match_the_small_ones(spark):
+    rng = np.random.default_rng(5)
+    value, label, language = np.round(rng.normal(size=400), 1), rng.integers(0, 2, 400), rng.integers(0, 3, 400)
+    got = tx.thresholds(spark.createDataFrame(list(zip(language.tolist(), label.tolist(), value.tolist())), "language long, label int, value double"))
+    for k in (-1, 0, 1, 2):
+        own = language == k if k >= 0 else np.ones(400, dtype=bool)
+        assert got[k] == (label[own].sum(), (1 - label[own]).sum(), pytest.approx(tx.best_threshold(value[own], label[own])))
