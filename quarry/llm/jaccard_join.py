@@ -193,10 +193,10 @@ def verified(texts: DataFrame, pairs: DataFrame, shingle: int, percent: int, nam
     pairs = _written(pairs.distinct(), f"{name}-pairs")
     by_x = pairs.groupBy(F.col("x_doc").alias("doc_id"), F.col("x_tag").alias("tag")).agg(F.collect_list(F.struct("y_doc", "y_tag")).alias("ys"))
     ys = pairs.select(F.col("y_doc").alias("doc_id"), F.col("y_tag").alias("tag")).distinct()
-    left = _beside(texts, by_x, ["doc_id", "tag"], n=pairs.count()).select("doc_id", "tag", "text", "ys").mapInArrow(_sets_for(True, shingle), "y_doc long, y_tag long, x_doc long, x_set binary")
-    right = _beside(texts, ys, ["doc_id", "tag"]).select("doc_id", "tag", "text").mapInArrow(_sets_for(False, shingle), "y_doc long, y_tag long, y_set binary")
+    left = _beside(texts, by_x, ["doc_id", "tag"], n=pairs.count()).select("doc_id", "tag", "text", "ys").mapInArrow(kn.tidy(_sets_for(True, shingle)), "y_doc long, y_tag long, x_doc long, x_set binary")
+    right = _beside(texts, ys, ["doc_id", "tag"]).select("doc_id", "tag", "text").mapInArrow(kn.tidy(_sets_for(False, shingle)), "y_doc long, y_tag long, y_set binary")
     both = left.join(right.hint("merge"), ["y_doc", "y_tag"]).select("x_doc", "x_set", "y_doc", "y_set")
-    return _written(both.mapInArrow(_linked(percent), "a long, b long").distinct(), f"{name}-links")
+    return _written(both.mapInArrow(kn.tidy(_linked(percent)), "a long, b long").distinct(), f"{name}-links")
 
 
 # ------------------------------------------------------------- dealing shingles
@@ -241,7 +241,6 @@ def _deal(everything: bool, shingle: int, percent: int, buckets: int):
                     rows, sets, size = [], [], 0
         if rows:
             yield from ship(rows, sets)
-        pa.default_memory_pool().release_unused()  # the worker lives on
 
     return run
 
@@ -437,7 +436,7 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     texts = repeats.keyed(docs, id_col, text_col)
     n = repeats.buckets_for(texts)
-    sets = _written(texts.mapInArrow(_describe(shingle), _SETS), "sets")
+    sets = _written(texts.mapInArrow(kn.tidy(_describe(shingle)), _SETS), "sets")
     held = sets.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     held = _written(_with_representative(held), "held")
     is_rep = (F.col("doc_id") == F.col("rep")) & (F.col("tag") == F.col("rep_tag"))
@@ -449,13 +448,13 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     special = _written(classes.where(~F.col("_rep") | F.col("class").isNotNull()), "special")
     marked = _beside(texts.where(F.col("doc_id").isNotNull()), special, ["doc_id", "tag"], "left")
     marked = marked.where(F.coalesce("_rep", F.lit(True))).select("doc_id", "tag", "text", F.coalesce("class", "doc_id").alias("class"))
-    counts = marked.mapInArrow(_deal(False, shingle, percent, 2 * n), _DEALT).repartition(n, "bucket").mapInArrow(_shared_counts(percent, 2 * n), _packed(_COUNTS))
-    left = _written(counts.repartition(n, "bucket").mapInArrow(_left_over(percent), "doc_id long, tag long, class long"), "left")
+    counts = marked.mapInArrow(kn.tidy(_deal(False, shingle, percent, 2 * n)), _DEALT).repartition(n, "bucket").mapInArrow(kn.tidy(_shared_counts(percent, 2 * n)), _packed(_COUNTS))
+    left = _written(counts.repartition(n, "bucket").mapInArrow(kn.tidy(_left_over(percent)), "doc_id long, tag long, class long"), "left")
 
     rest = _beside(texts, left, ["doc_id", "tag"]).select("doc_id", "tag", "text", "class")
-    lengths = rest.mapInArrow(_deal(True, shingle, percent, 2 * n), _DEALT).repartition(n, "bucket").mapInArrow(_list_lengths(2 * n), _packed(_LENGTHS))
-    short = lengths.repartition(n, "bucket").mapInArrow(_shortest(percent), "token long, place long, doc long, tag long, class long, size long")
-    pairs = short.repartition(n, "token").mapInArrow(_merge(percent), "x_doc long, x_tag long, y_doc long, y_tag long")
+    lengths = rest.mapInArrow(kn.tidy(_deal(True, shingle, percent, 2 * n)), _DEALT).repartition(n, "bucket").mapInArrow(kn.tidy(_list_lengths(2 * n)), _packed(_LENGTHS))
+    short = lengths.repartition(n, "bucket").mapInArrow(kn.tidy(_shortest(percent)), "token long, place long, doc long, tag long, class long, size long")
+    pairs = short.repartition(n, "token").mapInArrow(kn.tidy(_merge(percent)), "x_doc long, x_tag long, y_doc long, y_tag long")
     late = verified(texts, pairs, shingle, percent, "late")
 
     twice = held.groupBy("doc_id").agg(F.collect_set("rep").alias("reps")).where(F.size("reps") > 1).select(F.array_min("reps").alias("a"), F.explode("reps").alias("b"))

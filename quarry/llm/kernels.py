@@ -8,9 +8,11 @@ per task does not depend on the partition.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -234,6 +236,38 @@ def covered(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.nda
     return s[at], e[np.append(at[1:] - 1, len(s) - 1)]
 
 
+#: Stands for a module in a Python worker; its names hold what tasks keep for later ones.
+_HELD = "quarry_worker_held"
+
+
+def held() -> dict:
+    """What the tasks of one operator keep in a Python worker for its next tasks."""
+    return sys.modules.setdefault(_HELD, ModuleType(_HELD)).__dict__
+
+
+def give_back() -> None:
+    """Memory that a task has freed goes back to the system, as its worker lives on."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError, TypeError):  # another C library
+        pass
+
+
+def tidy(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``task`` in a worker that others have used and will use: what they hold
+    there is dropped first, and freed memory is given back at the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sys.modules.pop(_HELD, None)
+        try:
+            yield from task(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def ship(name: str) -> None:
     """Send the functions of a module with the task, so that Python workers
     need no access to this package's folder. A module that these refer to goes

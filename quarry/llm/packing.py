@@ -11,11 +11,9 @@ from __future__ import annotations
 
 import json
 import os
-import sys
 import unicodedata
 from collections.abc import Iterator
 from itertools import repeat
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -128,7 +126,7 @@ class ChunkEncoder:
 
 def worker_encoder(path: str) -> ChunkEncoder:
     """One encoder for all tasks that a Python worker runs, with what it remembers."""
-    held = sys.modules.setdefault("quarry_worker_encoders", ModuleType("quarry_worker_encoders")).__dict__
+    held = kn.held()
     if path not in held:
         held[path] = ChunkEncoder(path)
     return held[path]
@@ -173,6 +171,8 @@ def _pack(path: str, end_id: int, most: int, schema: pa.Schema):
         except BaseException:  # a task that breaks off leaves nothing half learned to the next
             encoder.forget()
             raise
+        finally:
+            kn.give_back()
 
     return run
 

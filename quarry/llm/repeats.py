@@ -298,8 +298,8 @@ def buckets_for(docs: DataFrame, text_col: str = "text") -> int:
 
 def _round(source: DataFrame, emit: Callable, within: bool, edges: bool, buckets: int) -> DataFrame:
     """One round, written to the shared folder and read again."""
-    dealt = source.mapInArrow(emit, _PACKED).repartition(buckets, "bucket")
-    spans = dealt.mapInArrow(_finish(within, edges, 2 * buckets), _SPANS)
+    dealt = source.mapInArrow(kn.tidy(emit), _PACKED).repartition(buckets, "bucket")
+    spans = dealt.mapInArrow(kn.tidy(_finish(within, edges, 2 * buckets)), _SPANS)
     path = scratch_path(source.sparkSession, "repeats")
     write_and_clean(spans, path)
     return source.sparkSession.read.schema(_SPANS).parquet(path)
@@ -325,7 +325,7 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
 
 
 def _collected(spans: DataFrame, buckets: int) -> DataFrame:
-    return spans.repartition(buckets, "bucket").mapInArrow(_by_row, _ROWS)
+    return spans.repartition(buckets, "bucket").mapInArrow(kn.tidy(_by_row), _ROWS)
 
 
 def with_repeats(source: DataFrame, spec: Windows, likely=None) -> DataFrame:

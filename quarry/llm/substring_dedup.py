@@ -103,8 +103,8 @@ def repeated_cells(source: DataFrame, spec: repeats.Windows, bits: int = SKETCH_
     """Bits of the merged sketch's cells that count two or more, by row (packed)."""
     spark = source.sparkSession
     n = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    partial = source.mapInArrow(_sketch(spec, bits, rows, n), _BLOCKS).repartition(n, "block", "salt").mapInArrow(_merge(False), _BLOCKS)
-    merged = partial.repartition(n, "block").mapInArrow(_merge(True), _BLOCKS).select("block", "cells")
+    partial = source.mapInArrow(kn.tidy(_sketch(spec, bits, rows, n)), _BLOCKS).repartition(n, "block", "salt").mapInArrow(kn.tidy(_merge(False)), _BLOCKS)
+    merged = partial.repartition(n, "block").mapInArrow(kn.tidy(_merge(True)), _BLOCKS).select("block", "cells")
     out = np.zeros((rows << (bits - BLOCK_BITS), (1 << BLOCK_BITS) // 8), dtype=np.uint8)
     for r in merged.toLocalIterator():  # at most SKETCH_ROWS * 2**SKETCH_BITS bits in all
         out[r["block"]] = np.frombuffer(bytes(r["cells"]), dtype=np.uint8)
@@ -177,7 +177,7 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     joined = repeats.with_repeats(source, spec, _likely(shared, sketch_bits, SKETCH_ROWS))
     more = [] if carry is None else ["carried"]
     schema = StructType([source.schema["doc_id"], *(source.schema[c] for c in more), *StructType.fromDDL(_OUT).fields])
-    return joined.select("doc_id", *more, "text", "starts", "counts").mapInArrow(_cut(window, join_words), schema)
+    return joined.select("doc_id", *more, "text", "starts", "counts").mapInArrow(kn.tidy(_cut(window, join_words)), schema)
 
 
 kn.ship(__name__)

@@ -63,7 +63,7 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     spec = repeats.Windows(words=False, length=length, gram=min(GRAM, length), within=True)
     joined = repeats.with_repeats(repeats.keyed(docs, id_col, text_col), spec)
-    return joined.select("doc_id", "text", "starts", "counts").mapInArrow(_cut(length), _OUT)
+    return joined.select("doc_id", "text", "starts", "counts").mapInArrow(kn.tidy(_cut(length)), _OUT)
 
 
 kn.ship(__name__)

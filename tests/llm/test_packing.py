@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -66,3 +67,14 @@ def test_query_digest(spark):
         ids = t.encode(docs[r.doc_id], add_special_tokens=False).ids + [2]
         assert r.ids_crc32 == zlib.crc32(np.array(ids[r.start: r.start + r.length], dtype="<u4").tobytes())
         assert r.doc_tokens == len(ids)
+
+
+def test_other_tasks_drop_the_encoder_of_the_worker():
+    """Python workers live on: an encoder that packing left there must not stand beside the Jaccard join's memory."""
+    from quarry.llm import jaccard_join, kernels
+    encoder = packing.worker_encoder(PATH)
+    assert packing.worker_encoder(PATH) is encoder and PATH in kernels.held()
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "tag": [0], "text": ["one two three four five"]})
+    alone = [b.to_pylist() for b in jaccard_join._describe(4)(iter([batch]))]
+    assert [b.to_pylist() for b in kernels.tidy(jaccard_join._describe(4))(iter([batch]))] == alone
+    assert PATH not in kernels.held()
