@@ -84,7 +84,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Rows of a batch in runs of at most ``most`` bytes of text (at least one row)."""
-    _, off = text_buffer(batch.column(column))
+    off = text_buffer(batch.column(column))[1]  # its bytes may be a copy, which must not live as long as the batch
     at = 0
     while at < batch.num_rows:
         to = max(at + 1, int(np.searchsorted(off, off[at] + most, side="right")) - 1)

@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 
 from quarry.llm import kernels as kn
 
-#: Distinct chunks and ids a task remembers before it starts afresh.
-CACHE_CHUNKS, CACHE_IDS = 600_000, 6_000_000
+#: Distinct chunks and ids a task remembers before it drops the half it used least; bytes of text and new chunks it encodes at once.
+CACHE_CHUNKS, CACHE_IDS, SLICE_BYTES, LEARN_CHUNKS = 500_000, 3_000_000, 1 << 19, 10_000
 #: Marks that end a chunk without being part of a contraction, and what may stand before them.
 MARKS = b".,;:!?"
 CLOSED = frozenset(bytes([c]) for c in b"abcdefghijklmnopqrstuvwxyz0123456789")
@@ -42,24 +42,37 @@ class ChunkEncoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        parts = json.loads(self.tokenizer.to_str())
-        *_, level = parts["pre_tokenizer"]["pretokenizers"]
-        parts |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, level]}}
-        self.plain = Tokenizer.from_str(json.dumps(parts))
+        steps = self.tokenizer.pre_tokenizer
+        level = steps[len(json.loads(steps.__getstate__())["pretokenizers"]) - 1]
+        self.plain = Tokenizer(self.tokenizer.model)  # both use one model in memory
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), level])
         words = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(words.values()) + 1, dtype=bool)
         self.ends_word[[i for w, i in words.items() if w.endswith("</w>")]] = True
+        del words
         self.forget()
+        kn.give_back()  # the vocabulary was read in many small parts
 
     def forget(self) -> None:
         self.codes: dict[bytes, int] = {}
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.ends = np.zeros(1 << 14, dtype=np.int64)
+        self.uses = np.zeros(0, dtype=np.int64)
         self.used = 0
 
+    def _make_room(self) -> None:
+        """Drop the chunks used least: most of a text's distinct chunks come once."""
+        uses = np.concatenate([self.uses, np.zeros(len(self.codes) - len(self.uses), dtype=np.int64)])
+        most = np.argsort(-uses, kind="stable")[: CACHE_CHUNKS // 2]
+        ids, upto = self._ids(most)
+        chunks = list(self.codes)  # in the order of their codes
+        self.forget()
+        if len(ids) <= CACHE_IDS // 2:
+            self._store([chunks[i] for i in most.tolist()], ids, np.diff(upto))
+
     def _store(self, chunks: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
@@ -104,7 +117,7 @@ class ChunkEncoder:
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the offsets of the texts."""
         if len(self.codes) > CACHE_CHUNKS or self.used > CACHE_IDS:
-            self.forget()
+            self._make_room()
         chunks: list[bytes] = []
         sizes = []
         for text in texts:
@@ -115,17 +128,22 @@ class ChunkEncoder:
         if len(unknown := np.flatnonzero(codes < 0).tolist()):
             missing = {chunks[i] for i in unknown}
             marked = [c for c in missing if len(body := c.rstrip(MARKS)) < len(c) and body[-1:] in CLOSED]
-            if rest := list(missing.difference(marked)):
-                self._learn(rest)
-            if marked := [c for c in marked if c not in self.codes]:
-                self._learn_marked(marked)
+            rest = list(missing.difference(marked))
+            for at in range(0, len(rest), LEARN_CHUNKS):
+                self._learn(rest[at: at + LEARN_CHUNKS])
+            marked = [c for c in marked if c not in self.codes]
+            for at in range(0, len(marked), LEARN_CHUNKS):
+                self._learn_marked(marked[at: at + LEARN_CHUNKS])
             codes[unknown] = [self.codes[chunks[i]] for i in unknown]
+        counts = np.bincount(codes, minlength=len(self.codes))
+        counts[: len(self.uses)] += self.uses
+        self.uses = counts
         ids, upto = self._ids(codes)
         return ids, upto[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])]
 
 
 def worker_encoder(path: str) -> ChunkEncoder:
-    """One encoder for all tasks that a Python worker runs, with what it remembers."""
+    """One encoder for all tasks that a Python worker runs; the chunks it remembers go with the task."""
     held = kn.held()
     if path not in held:
         held[path] = ChunkEncoder(path)
@@ -150,7 +168,7 @@ def _pack(path: str, end_id: int, most: int, schema: pa.Schema):
         encoder = worker_encoder(path)
         try:
             for batch in batches:
-                for part in kn.slices(batch, "text"):
+                for part in kn.slices(batch, "text", SLICE_BYTES):
                     texts = [x or b"" for x in part.column("text").cast(pa.binary()).to_pylist()]
                     ids, off = encoder.encode(texts)
                     rows, start, length, piece, total = [], [], [], [], []
@@ -168,10 +186,8 @@ def _pack(path: str, end_id: int, most: int, schema: pa.Schema):
                         [part.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(start, pa.int64()),
                          pa.array(length, pa.int64()), pa.array(piece, pa.binary()), pa.array(total, pa.int64())],
                         schema=schema)
-        except BaseException:  # a task that breaks off leaves nothing half learned to the next
+        finally:  # the worker lives on beside others: of the encoder only the model stays, and nothing half learned
             encoder.forget()
-            raise
-        finally:
             kn.give_back()
 
     return run

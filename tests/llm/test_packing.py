@@ -78,3 +78,35 @@ def test_other_tasks_drop_the_encoder_of_the_worker():
     alone = [b.to_pylist() for b in jaccard_join._describe(4)(iter([batch]))]
     assert [b.to_pylist() for b in kernels.tidy(jaccard_join._describe(4))(iter([batch]))] == alone
     assert PATH not in kernels.held()
+
+
+def test_a_task_leaves_the_model_alone_in_its_worker():
+    """Two workers beside 1800 MB of heap: of packing only the model, once, may stay when the task ends or breaks off."""
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64())])
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "text": ["one two, three", None, "two four!"]})
+    encoder = packing.worker_encoder(PATH)
+    rows = [r for b in packing._pack(PATH, 2, 4096, schema)(iter([batch])) for r in b.to_pylist()]
+    assert [r["doc_id"] for r in rows if r["start"] == 0] == [1, 2, 3]
+    assert packing.worker_encoder(PATH) is encoder and not encoder.codes and encoder.used == 0
+
+    task = packing._pack(PATH, 2, 4096, schema)(iter([batch, batch]))
+    next(task)
+    task.close()
+    assert not encoder.codes and encoder.used == 0
+
+
+def test_remembered_chunks_are_bounded_and_the_most_used_stay(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_CHUNKS", 200)
+    monkeypatch.setattr(packing, "LEARN_CHUNKS", 7)
+    encoder, t = packing.ChunkEncoder(PATH), Tokenizer.from_file(PATH)
+    texts = [f"the cat, {' '.join(f'w{k}x word{k}. zq{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}' for k in range(i, i + 30))} the cat" for i in range(0, 900, 30)]
+    held = 0
+    for text in texts:
+        ids, off = encoder.encode([text.encode(), b"the cat"])
+        want = [t.encode(x, add_special_tokens=False).ids for x in (text, "the cat")]
+        assert [ids[off[k]: off[k + 1]].tolist() for k in (0, 1)] == want
+        held = max(held, len(encoder.codes))
+        if len(encoder.codes) > packing.CACHE_CHUNKS:
+            encoder._make_room()
+            assert {b"the", b"cat"} <= encoder.codes.keys() and len(encoder.codes) == packing.CACHE_CHUNKS // 2
+    assert held < packing.CACHE_CHUNKS + 300 and len(encoder.flat) <= 1 << 16
